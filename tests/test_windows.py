@@ -1,0 +1,104 @@
+"""Row windows against a brute-force computation, with plain and with chunked plans."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickseries.operators.stats import lag_features, moving_average, rolling_correlation, rolling_stddev, simple_returns
+from tickseries.operators.windows import _chunks_to_reach, ordered_window
+
+SCHEMA = "asset string, t int, id long, price double"
+
+
+def skewed(n=600, seed=3):
+    """Two thirds of the rows in one asset, a third of those at one instant; one asset has a single row."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        if i % 3:
+            t = 50 if i % 2 else rng.randrange(100)
+            rows.append(("hot", t, i, float(rng.randrange(1, 50))))
+        else:
+            rows.append((f"x{rng.randrange(6)}", rng.randrange(100), i, float(rng.randrange(1, 50))))
+    rows.append(("single", 7, n, 1.0))
+    rng.shuffle(rows)
+    return rows
+
+
+def history(rows, i_row):
+    same = sorted(r for r in rows if r[0] == i_row[0])
+    return same[: same.index(i_row) + 1]
+
+
+@pytest.fixture(scope="module")
+def ticks(spark):
+    rows = skewed()
+    return rows, spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+@pytest.mark.parametrize("rows_per_task", [10_000, 150, 60, 7])
+@pytest.mark.parametrize("width", [2, 5, 40])
+def test_moving_average(ticks, rows_per_task, width):
+    rows, df = ticks
+    got = moving_average(df, ["asset"], ["t", "id"], "price", width, rows_per_task=rows_per_task)
+    want = []
+    for r in rows:
+        last = [h[3] for h in history(rows, r)[-width:]]
+        want.append((*r, round(sum(last) / len(last), 6)))
+    assert sorted((*r[:4], round(r[4], 6)) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("rows_per_task", [10_000, 60])
+def test_returns_and_lags(ticks, rows_per_task):
+    rows, df = ticks
+    got = simple_returns(df, ["asset"], ["t", "id"], ["price"], rows_per_task=rows_per_task)
+    lags = lag_features(df, ["asset"], ["t", "id"], "price", 3, rows_per_task=rows_per_task)
+    want, want_lags = [], []
+    for r in rows:
+        h = [x[3] for x in history(rows, r)]
+        want.append((r[2], None if len(h) < 2 else round(h[-1] / h[-2] - 1, 9)))
+        want_lags.append((r[2], *[h[-1 - k] if len(h) > k else None for k in (1, 2, 3)]))
+    assert sorted((r.id, None if r.price_return is None else round(r.price_return, 9)) for r in got.collect()) == sorted(want)
+    assert sorted((r.id, r.lag_1, r.lag_2, r.lag_3) for r in lags.collect()) == sorted(want_lags)
+
+
+def test_full_frames_only(ticks):
+    rows, df = ticks
+    plain = rolling_stddev(df, ["asset"], ["t", "id"], "price", 10)
+    split = rolling_stddev(df, ["asset"], ["t", "id"], "price", 10, rows_per_task=60)
+    key = lambda r: (r.id, None if r.rolling_stddev is None else round(r.rolling_stddev, 9))
+    assert sorted(map(key, plain.collect())) == sorted(map(key, split.collect()))
+    n_full = sum(len(history(rows, r)) >= 10 for r in rows)
+    assert split.where(F.col("rolling_stddev").isNotNull()).count() == n_full
+
+
+def test_no_group_columns_and_nulls_first(spark):
+    rows = [(None, 0.0), *[(i, float(i * i % 17)) for i in range(200)]]
+    df = spark.createDataFrame(rows, "t int, a double").withColumn("b", F.col("a") * 2 + F.col("t"))
+    plain = rolling_correlation(df, [], ["t"], "a", "b", 12)
+    split = rolling_correlation(df, [], ["t"], "a", "b", 12, rows_per_task=25)
+    key = lambda r: (str(r.t), None if r.rolling_corr is None else round(r.rolling_corr, 9))
+    assert sorted(map(key, plain.collect())) == sorted(map(key, split.collect()))
+
+
+def test_frame_longer_than_a_chunk_reaches_several(spark):
+    df = spark.createDataFrame([("a", i, c) for i, c in enumerate([0, 0, 1, 1, 1, 2, 2, 3])], "asset string, t int, _chunk int")
+    assert _chunks_to_reach(df, ["asset"], 1) == 1
+    assert _chunks_to_reach(df, ["asset"], 3) == 2
+    assert _chunks_to_reach(df.where("_chunk = 0"), ["asset"], 3) == 1
+
+
+def test_chunks_split_the_hot_asset(spark, ticks):
+    """No task holds the hot asset whole."""
+    _, df = ticks
+    per_task = (
+        df.repartitionByRange(10, "asset", "t", "id").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"))
+    )
+    assert per_task.first()[0] < 200
+
+
+def test_proven_bound_skips_the_count(spark):
+    df = spark.range(10).select(F.col("id").alias("t"), (F.col("id") * 1.0).alias("v"))
+    out = ordered_window(df, [], ["t"], 1, {"prev": lambda w: F.lag("v").over(w)}, longest=10)
+    assert [r.prev for r in out.orderBy("t").collect()] == [None, *[float(i) for i in range(9)]]

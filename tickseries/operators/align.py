@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tickseries.functions.times import CALENDAR
 
 
-def align_join(series: Sequence[DataFrame], keys: Sequence[str] = CALENDAR, drop: Sequence[str] = ("timestamp",)):
-    """Inner join of N wide series on the calendar minute.
+def align_join(series: Sequence[DataFrame], keys: Sequence[str] = CALENDAR) -> DataFrame:
+    """Inner join of N wide series on the calendar minute. Columns outside the keys need distinct names.
 
     A plain inner join: a null key never matches, and a minute that one series has twice appears twice. All
     joins use the same keys, so a chain shuffles every series once; AQE splits hot minutes. When
     each minute may have many rows, align bars instead or build the series in default mode.
     """
-    return reduce(lambda a, b: a.join(b, list(keys), "inner"), (s.drop(*drop) for s in series))
+    return reduce(lambda a, b: a.join(b, list(keys), "inner"), series)
 
 
 def fan_out(series: Sequence[DataFrame], keys: Sequence[str] = CALENDAR) -> DataFrame:

@@ -17,6 +17,9 @@ from tickseries.session import materialize
 
 ROWS_PER_TASK = 2_000_000
 
+# A shuffle has (map tasks x chunks) blocks. Beyond this many chunks they grow instead; a window sort spills.
+MAX_CHUNKS = 20_000
+
 _CHUNK = "_chunk"
 _CARRIED = "_carried"
 
@@ -54,7 +57,7 @@ def _longest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> DataFrame:
-    n_chunks = max(2, math.ceil(df.count() / rows_per_task))
+    n_chunks = min(max(2, math.ceil(df.count() / rows_per_task)), MAX_CHUNKS)
     # The sort key is unique, so range partitioning can cut any group and any instant. The chunk number
     # must be stored: planning the range exchange again could choose other bounds.
     ranged = df.repartitionByRange(n_chunks, *by, *order_by).withColumn(_CHUNK, F.spark_partition_id())

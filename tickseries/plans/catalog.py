@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tickseries.feeds import BTC, ETH
-from tickseries.functions.missing import complete_row
 from tickseries.functions.times import CALENDAR, event_time, time_bucket, with_calendar
 from tickseries.operators import align, bars, conform, quality, series, stats
 from tickseries.plans import daily
@@ -127,25 +126,22 @@ def parquet_scan(spark, sf_dir):
 
 def parquet_roundtrip(spark, sf_dir):
     path = work_dir(spark, "roundtrip")
-    write_parquet(table(spark, sf_dir, "orders"), path)
-    return read_parquet(spark, path)
+    return write_parquet(table(spark, sf_dir, "orders"), path)
 
 
 def partitioned_roundtrip(spark, sf_dir):
     path = work_dir(spark, "partitioned")
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    write_parquet(orders, path, partition_by=["year"], sort_by=["o_orderdate"])
+    write_parquet(orders, path, partition_by=["year"], sort_by=["o_orderdate", "o_orderkey"])
     return read_parquet(spark, path).where(F.col("year") == 1996)
 
 
 def partitioned_time_range(spark, sf_dir):
     """A condition on the time prunes both the year partitions and the row groups."""
-    from datetime import datetime
-
     path = work_dir(spark, "time_range")
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    write_parquet(orders, path, partition_by=["year"], sort_by=["o_orderdate"])
-    return between(read_parquet(spark, path), "o_orderdate", datetime(1996, 11, 1), datetime(1997, 2, 1))
+    write_parquet(orders, path, partition_by=["year"], sort_by=["o_orderdate", "o_orderkey"])
+    return between(read_parquet(spark, path), "o_orderdate", "1996-11-01", "1997-02-01")
 
 
 def sql_view_select(spark, sf_dir):
@@ -311,35 +307,36 @@ def _write_raw_feeds(spark, sf_dir, root: str) -> None:
     ).write.options(header=True).csv(f"{root}/{FEED_B.path}")
 
 
-def _run_job(spark, sf_dir, parity: bool) -> str:
+def _run_job(spark, sf_dir, parity: bool) -> dict[str, DataFrame]:
     root = work_dir(use_utc(spark), "job")
     _write_raw_feeds(spark, sf_dir, root)
-    daily.run_feeds(spark, [FEED_A, FEED_B], root, f"{root}/out", parity)
-    return f"{root}/out"
+    return daily.run_feeds(spark, [FEED_A, FEED_B], root, f"{root}/out", parity)
 
 
 def staged_feed(spark, sf_dir):
     """The staging table of feed A."""
     root = work_dir(use_utc(spark), "stage")
     _write_raw_feeds(spark, sf_dir, root)
-    return daily.stage(spark, FEED_A, root, f"{root}/out") and daily.read_staged(spark, FEED_A, f"{root}/out")
+    return daily.good_rows(daily.stage(spark, FEED_A, root, f"{root}/out"))
 
 
 def series_parity(spark, sf_dir):
     """The series table of feed A: incomplete rows gone, no close."""
-    return daily.read_series(spark, FEED_A, _run_job(spark, sf_dir, parity=True))
+    root = work_dir(use_utc(spark), "series")
+    _write_raw_feeds(spark, sf_dir, root)
+    return daily.run_series(spark, FEED_A, root, f"{root}/out", parity=True)[1]
 
 
 def combined_parity(spark, sf_dir):
-    return daily.read_combined(spark, _run_job(spark, sf_dir, parity=True))
+    return _run_job(spark, sf_dir, parity=True)[daily.COMBINED]
 
 
 def combined_default(spark, sf_dir):
-    return daily.read_combined(spark, _run_job(spark, sf_dir, parity=False))
+    return _run_job(spark, sf_dir, parity=False)[daily.COMBINED]
 
 
 def job_quality(spark, sf_dir):
-    return daily.report(spark, [FEED_A, FEED_B], _run_job(spark, sf_dir, parity=True))
+    return daily.report([FEED_A, FEED_B], _run_job(spark, sf_dir, parity=True))
 
 
 # Bars and statistics

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,88 +18,88 @@ from tickseries.sources.csv import BAD_ROW, read_feed, under
 COMBINED = "combined_timeseries"
 
 
-def staging_path(root: str, feed: FeedSpec) -> str:
-    return under(root, f"staging_{feed.name}")
+def staging_name(feed: FeedSpec) -> str:
+    return f"staging_{feed.name}"
 
 
-def series_path(root: str, feed: FeedSpec) -> str:
-    return under(root, f"{feed.name}_timeseries")
+def series_name(feed: FeedSpec) -> str:
+    return f"{feed.name}_timeseries"
 
 
 def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str) -> DataFrame:
-    """Copy one raw feed to Parquet under its staging names. Lines that do not fit the schema go to a table of their own.
+    """Copy one raw feed to Parquet under its staging names.
 
-    The CSV is parsed once; both tables come from that one copy.
+    With a schema the lines that do not fit it are kept too, in a partition of their own, so the CSV is parsed once.
+    Returns all rows; `good_rows` and `bad_lines` tell them apart.
     """
     raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
-    path = staging_path(output_root, feed)
+    path = under(output_root, staging_name(feed))
     if BAD_ROW not in raw.columns:
-        write_parquet(raw, path)
-        return spark.read.parquet(path)
-    # Partitioned by a flag, so that good rows are read without their marker column.
+        return write_parquet(raw, path)
     marked = raw.withColumn("is_bad", raw[BAD_ROW].isNotNull().cast("int"))
     marked.write.mode("overwrite").partitionBy("is_bad").parquet(path)
-    return read_staged(spark, feed, output_root)
+    return spark.read.schema(marked.schema).parquet(path)
 
 
-def read_staged(spark: SparkSession, feed: FeedSpec, output_root: str, bad: bool = False) -> DataFrame:
-    """The good rows of a staging table, or its bad lines."""
-    table = spark.read.parquet(staging_path(output_root, feed))
-    if BAD_ROW not in table.columns:
-        return table.limit(0) if bad else table
-    rows = table.where(table["is_bad"] == int(bad)).drop("is_bad")
-    return rows if bad else rows.drop(BAD_ROW)
+def good_rows(staged: DataFrame) -> DataFrame:
+    if BAD_ROW not in staged.columns:
+        return staged
+    return staged.where("is_bad = 0").drop("is_bad", BAD_ROW)
 
 
-def read_series(spark: SparkSession, feed: FeedSpec, output_root: str) -> DataFrame:
-    return spark.read.parquet(series_path(output_root, feed))
+def bad_lines(staged: DataFrame) -> DataFrame:
+    if BAD_ROW not in staged.columns:
+        return staged.limit(0)
+    return staged.where("is_bad = 1").drop("is_bad")
 
 
-def read_combined(spark: SparkSession, output_root: str) -> DataFrame:
-    return spark.read.parquet(under(output_root, COMBINED))
+def run_series(
+    spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, parity: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Write the staging and the series table of one feed."""
+    staged = good_rows(stage(spark, feed, input_root, output_root))
+    series = _write(build_series(staged, feed, parity), under(output_root, series_name(feed)), parity)
+    return staged, series
 
 
 def run_feeds(
     spark: SparkSession, feeds: Sequence[FeedSpec], input_root: str, output_root: str, parity: bool = False
-) -> DataFrame:
-    """Run the whole job and return its quality report. The input root applies to the reads, the output root to the writes.
+) -> dict[str, DataFrame]:
+    """Run the whole job and return its tables by name: two per feed and the combined one.
 
-    Parity mode writes the plain tables sorted by minute. Default mode adds closes and timestamps, has one row per
-    minute and partitions by year, which needs no global sort.
+    The input root applies to the reads, the output root to the writes. Parity mode writes the plain tables sorted by
+    minute. Default mode adds closes and timestamps, has one row per minute and partitions by year.
     """
     use_utc(spark)
+    tables: dict[str, DataFrame] = {}
     for feed in feeds:
-        staged = stage(spark, feed, input_root, output_root)
-        _write(build_series(staged, feed, parity), series_path(output_root, feed), parity)
+        staged, series = run_series(spark, feed, input_root, output_root, parity)
+        tables |= {staging_name(feed): staged, series_name(feed): series}
 
-    series = [read_series(spark, feed, output_root) for feed in feeds]
-    if parity:
-        combined = align_join(series)
-    else:
-        combined = align_join([series[0], *[s.drop("timestamp") for s in series[1:]]], drop=())
-    _write(combined, under(output_root, COMBINED), parity)
-    return report(spark, feeds, output_root)
+    # In default mode the combined table has one timestamp, that of the first feed.
+    series = [tables[series_name(feed)] for feed in feeds]
+    timed, untimed = ([], series) if parity else (series[:1], series[1:])
+    aligned = align_join([*timed, *[s.drop("timestamp") for s in untimed]])
+    tables[COMBINED] = _write(aligned, under(output_root, COMBINED), parity)
+    return tables
 
 
-def _write(df: DataFrame, path: str, parity: bool) -> None:
+def _write(df: DataFrame, path: str, parity: bool) -> DataFrame:
     if parity:
-        write_parquet(sort_rows(df), path)
-    else:
-        write_parquet(df, path, partition_by=["year"], sort_by=["timestamp"])
+        return write_parquet(sort_rows(df), path)
+    return write_parquet(df, path, partition_by=["year"], sort_by=["timestamp"])
 
 
-def report(spark: SparkSession, feeds: Sequence[FeedSpec], output_root: str) -> DataFrame:
-    """Check every table the job writes: two per feed and the combined one."""
-    tables = {}
+def report(feeds: Sequence[FeedSpec], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Check every table of the job by its key."""
+    keys = {COMBINED: "year"}
     for feed in feeds:
-        tables[f"staging_{feed.name}"] = (read_staged(spark, feed, output_root), feed.ts_column)
-        tables[f"{feed.name}_timeseries"] = (read_series(spark, feed, output_root), "timestamp")
-    tables[COMBINED] = (read_combined(spark, output_root), "year")
-    return quality_report(tables)
+        keys |= {staging_name(feed): feed.ts_column, series_name(feed): "timestamp"}
+    return quality_report({name: (table, keys[name]) for name, table in tables.items()})
 
 
 def run_checked(spark: SparkSession, feeds, input_root: str, output_root: str, parity: bool = False) -> DataFrame:
-    """`run_feeds` that fails when a check fails."""
-    result = run_feeds(spark, feeds, input_root, output_root, parity)
+    """`run_feeds` that fails when a check fails; returns the report."""
+    result = report(feeds, run_feeds(spark, feeds, input_root, output_root, parity))
     assert_quality(result)
     return result

@@ -31,8 +31,8 @@ HOURLY_CLOSES = f"""{HOUR_BARS}, closes AS (
     ON a.bucket = b.bucket)"""
 
 HOURLY_RETURNS = f"""{HOURLY_CLOSES}, returns AS (
-    SELECT bucket, click_close / lag(click_close) OVER (ORDER BY bucket) - 1 AS ra,
-        view_close / lag(view_close) OVER (ORDER BY bucket) - 1 AS rb
+    SELECT bucket, click_close / nullif(lag(click_close) OVER (ORDER BY bucket), 0) - 1 AS ra,
+        view_close / nullif(lag(view_close) OVER (ORDER BY bucket), 0) - 1 AS rb
     FROM closes)"""
 
 
@@ -51,8 +51,10 @@ JOB = f"""WITH {TICKS}, {bars('minutes', 'minute')},
     b AS (SELECT bucket, open AS b_open, high AS b_high, low AS b_low, close AS b_close,
             CAST(n_rows AS DOUBLE) AS b_volume FROM minutes WHERE asset = 'view')"""
 
+# A return after a price of zero is undefined, so null.
 SIMPLE_RETURNS = f"""WITH {TICKS} SELECT event_id, ts, asset, price,
-    round(price / lag(price) OVER (PARTITION BY asset ORDER BY ts, event_id) - 1, 6) AS price_return FROM ticks"""
+    round(price / nullif(lag(price) OVER (PARTITION BY asset ORDER BY ts, event_id), 0) - 1, 6) AS price_return
+    FROM ticks"""
 
 MOVING_AVERAGE = f"""WITH {TICKS} SELECT event_id, ts, asset, price,
     round(avg(price) OVER (PARTITION BY asset ORDER BY ts, event_id ROWS 4 PRECEDING), 6) AS moving_avg FROM ticks"""

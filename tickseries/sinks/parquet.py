@@ -20,20 +20,24 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
-) -> None:
-    """Write a table, optionally partitioned and sorted within its files.
+) -> DataFrame:
+    """Write a table, optionally partitioned and clustered, and return it as read back.
 
-    A partitioned write rebalances on the partition columns first: few files per partition, and
-    AQE splits a partition value that holds much of the table over several tasks.
+    `sort_by` range-partitions on the partition and sort columns: files are sorted and do not overlap, so a
+    condition on time skips files. The cut points come from a sample of the keys; a partition value that holds much of
+    the table is spread over many files, as is a single sort key if `sort_by` ends in a unique column.
+    Without `sort_by` the rows are only rebalanced, where AQE splits large partition values.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+        df = df.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    elif partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    # With its schema, since a partitioned table without rows has no file to take one from.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -48,19 +52,23 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 def append_new(batch: DataFrame, path: str, keys: Sequence[str], ts: str, tie_break: Sequence[str] = ()) -> None:
     """Append the rows of `batch` whose key is not in the table yet; running it again adds nothing.
 
-    Copies of a key within the batch are reduced to the latest one before any row is shuffled by key.
-    The keys of the table are read only for the years and times the batch covers, so the cost follows
-    the batch and not the table. The table is partitioned by the year of `ts`.
+    A key belongs to one time: a row with a known key and another `ts` counts as new only if that `ts` lies
+    outside the times of the batch. Copies within the batch are reduced to the latest one, in each task before the
+    shuffle. The keys of the table are read only for the years and times the batch covers, so the cost
+    follows the batch and not the table. The table is partitioned by the year of `ts`.
     """
     low, high, n_bad = batch.agg(
-        F.min(ts), F.max(ts), F.count_if(reduce(or_, (F.col(k).isNull() for k in keys)))
+        F.unix_micros(F.min(ts).cast("timestamp")),
+        F.unix_micros(F.max(ts).cast("timestamp")),
+        F.count_if(reduce(or_, (F.col(k).isNull() for k in (*keys, ts)))),
     ).first()
     if n_bad:
-        raise ValueError(f"{n_bad} rows have a null key {list(keys)}: a rerun could not tell them from new rows")
+        raise ValueError(f"{n_bad} rows lack a key {list(keys)} or {ts}: a rerun could not tell them from new rows")
     if low is None:
         return
     fresh = latest_per_key(batch, keys, [ts, *tie_break]).withColumn("year", F.year(ts))
     table = _existing(batch.sparkSession, path)
     if table is not None:
-        fresh = fresh.join(between(table, ts, low, high).select(*keys), list(keys), "left_anti")
-    write_parquet(fresh, path, partition_by=["year"], sort_by=[ts], mode="append")
+        known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+        fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
+    write_parquet(fresh, path, partition_by=["year"], sort_by=[ts, *(k for k in keys if k != ts)], mode="append")

@@ -12,12 +12,14 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def between(df: DataFrame, ts: str, low, high, year: str = "year") -> DataFrame:
-    """Rows with low <= ts <= high of a table partitioned by `year`.
+    """Rows with low <= ts <= high (texts, datetimes or constant columns) of a table partitioned by `year`.
 
-    Spark does not derive the year from a condition on `ts`, so both conditions are given: one
-    prunes partitions, the other reaches the row groups.
+    Spark does not derive the year from a condition on `ts`, so both conditions are given: one prunes
+    partitions, the other reaches the row groups. The bounds take the column's type, since a cast of
+    the column itself would not be pushed down.
     """
-    in_time = F.col(ts).between(F.lit(low), F.lit(high))
-    if year not in df.columns:
-        return df.where(in_time)
-    return df.where(F.col(year).between(low.year, high.year) & in_time)
+    low, high = (F.lit(bound).cast(df.schema[ts].dataType) for bound in (low, high))
+    rows = df.where(F.col(ts).between(low, high))
+    if year in df.columns:
+        rows = rows.where(F.col(year).between(F.year(low), F.year(high)))
+    return rows
