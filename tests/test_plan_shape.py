@@ -66,7 +66,8 @@ def test_partial_aggregates_before_the_shuffle(spark, sf_dir):
     assert plan(null_profile(rows)).count("FileScan") == 1
 
 
-def test_chunk_tails_are_limited_before_the_shuffle(spark, sf_dir):
+def test_chunk_ends_are_read_by_a_pushed_condition(spark, sf_dir):
     ticks = events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     text = plan(moving_average(ticks, ["event_type"], ["ts", "event_id"], "value", 5, rows_per_task=100))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "LessThan(_from_end,4)" in text
+    assert text.count("Exchange") == 1

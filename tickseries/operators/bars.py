@@ -21,15 +21,15 @@ def bar_columns(
 ) -> list[Column]:
     """Open, high, low, close, (volume) of a group of rows.
 
-    A unique `ts` keeps the hash aggregate; a tie break compares structs, for which Spark aggregates by sorting.
+    A unique `ts` keeps the hash aggregate. With a tie break the first and last rows are compared as structs, for
+    which Spark aggregates by sorting; rows that still tie are compared by price.
     """
-    order = F.struct(ts, *tie_break) if tie_break else F.col(ts)
-    bars = [
-        F.min_by(open, order).alias("open"),
-        F.max(high).alias("high"),
-        F.min(low).alias("low"),
-        F.max_by(close, order).alias("close"),
-    ]
+    if tie_break:
+        first = F.min(F.struct(ts, *tie_break, F.col(open).alias("_price")))["_price"]
+        last = F.max(F.struct(ts, *tie_break, F.col(close).alias("_price")))["_price"]
+    else:
+        first, last = F.min_by(open, ts), F.max_by(close, ts)
+    bars = [first.alias("open"), F.max(high).alias("high"), F.min(low).alias("low"), last.alias("close")]
     return bars + ([F.sum(volume).alias("volume")] if volume else [])
 
 

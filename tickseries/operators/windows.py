@@ -22,6 +22,10 @@ MAX_CHUNKS = 20_000
 
 _CHUNK = "_chunk"
 _CARRIED = "_carried"
+_FROM_END = "_from_end"
+
+# `monotonically_increasing_id` holds the row's position within its partition in the lower 33 bits.
+_ROW_IN_PARTITION = (1 << 33) - 1
 
 
 def ordered_window(
@@ -57,26 +61,31 @@ def _longest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> DataFrame:
+    keys = [*by, *order_by]
     n_chunks = min(max(2, math.ceil(df.count() / rows_per_task)), MAX_CHUNKS)
-    # The sort key is unique, so range partitioning can cut any group and any instant. The chunk number
-    # must be stored: planning the range exchange again could choose other bounds.
-    ranged = df.repartitionByRange(n_chunks, *by, *order_by).withColumn(_CHUNK, F.spark_partition_id())
+    # The sort key is unique, so range partitioning can cut any group and any instant. The chunk numbers
+    # must be stored: planning the range exchange again could choose other bounds. Rows are stored last
+    # first, so the end of each chunk is a condition on one column that skips all row groups but the first.
+    ranged = (
+        df.repartitionByRange(n_chunks, *keys)
+        .sortWithinPartitions(*[F.desc(c) for c in keys])
+        .withColumns(
+            {_CHUNK: F.spark_partition_id(), _FROM_END: F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION)}
+        )
+    )
     rows = materialize(ranged, "chunks")
 
     reach = _chunks_to_reach(rows, by, preceding)
-    newest_first = Window.partitionBy(*by, _CHUNK).orderBy(*[F.desc(c) for c in order_by])
-    carried = (
-        rows.withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") <= preceding)
-        .drop("_rank")
-        .withColumn(_CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + reach)))
+    # A group goes on into the next chunk only if it is the last of its chunk, so the last rows are those that matter.
+    carried = rows.where(F.col(_FROM_END) < preceding).withColumn(
+        _CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + reach))
     )
     both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(carried.withColumn(_CARRIED, F.lit(True)))
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order_by)
     return (
         both.withColumns({name: make(w) for name, make in columns.items()})
         .where(~F.col(_CARRIED))
-        .drop(_CHUNK, _CARRIED)
+        .drop(_CHUNK, _CARRIED, _FROM_END)
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickseries.feeds import FeedSpec
 from tickseries.operators.align import align_join
@@ -27,30 +28,21 @@ def series_name(feed: FeedSpec) -> str:
 
 
 def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str) -> DataFrame:
-    """Copy one raw feed to Parquet under its staging names.
+    """Copy one raw feed to Parquet under its staging names, in one pass over the CSV.
 
-    With a schema the lines that do not fit it are kept too, in a partition of their own, so the CSV is parsed once.
-    Returns all rows; `good_rows` and `bad_lines` tell them apart.
+    With a schema the table also has the lines that do not fit it; `good_rows` and `bad_lines` tell them apart.
     """
     raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
-    path = under(output_root, staging_name(feed))
-    if BAD_ROW not in raw.columns:
-        return write_parquet(raw, path)
-    marked = raw.withColumn("is_bad", raw[BAD_ROW].isNotNull().cast("int"))
-    marked.write.mode("overwrite").partitionBy("is_bad").parquet(path)
-    return spark.read.schema(marked.schema).parquet(path)
+    return write_parquet(raw, under(output_root, staging_name(feed)))
 
 
 def good_rows(staged: DataFrame) -> DataFrame:
-    if BAD_ROW not in staged.columns:
-        return staged
-    return staged.where("is_bad = 0").drop("is_bad", BAD_ROW)
+    """The rows that fit the schema. The condition reaches the row groups, where the marker is nearly always null."""
+    return staged.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW) if BAD_ROW in staged.columns else staged
 
 
 def bad_lines(staged: DataFrame) -> DataFrame:
-    if BAD_ROW not in staged.columns:
-        return staged.limit(0)
-    return staged.where("is_bad = 1").drop("is_bad")
+    return staged.where(F.col(BAD_ROW).isNotNull()) if BAD_ROW in staged.columns else staged.limit(0)
 
 
 def run_series(
