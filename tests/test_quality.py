@@ -48,6 +48,11 @@ def test_report_passes_and_fails(spark, gaps):
         quality.assert_quality(report)
 
 
+def test_unlikely_years(spark):
+    df = spark.createDataFrame([(1502942459999,), (1502942460,)], "t long").select(F.timestamp_seconds("t").alias("ts"))
+    assert one(quality.year_out_of_range_count(df, "ts")) == 1
+
+
 def test_preview(spark):
     assert [r.id for r in quality.preview(spark.range(100), ["id"], 3).collect()] == [0, 1, 2]
 

@@ -63,6 +63,18 @@ def test_partitions_and_files_are_skipped(spark, rows, tmp_path):
     assert whole.count() == 100 and read_parquet(spark, path, ["id"]).columns == ["id"]
 
 
+def test_partitions_without_a_sort_are_rebalanced(spark, rows, tmp_path):
+    df = rows.withColumn("year", F.year("ts"))
+    back = write_parquet(df, str(tmp_path / "t"), ["year"])
+    assert sorted(r.id for r in back.collect()) == list(range(100))
+    assert back.where("year = 2023").count() == 24
+
+
+def test_table_without_rows_can_be_read(spark, rows, tmp_path):
+    back = write_parquet(rows.limit(0).withColumn("year", F.year("ts")), str(tmp_path / "t"), ["year"], ["ts"])
+    assert back.count() == 0
+
+
 def test_one_hot_year_is_spread_over_files(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(20_000).selectExpr("id", "timestamp_seconds(1704067200 + id) AS ts", "2024 AS year")

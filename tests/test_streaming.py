@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from tests.frames import write_feeds
+from tickseries.feeds import BTC, ETH
 from tickseries.operators.bars import resample
 from tickseries.streaming import feeds as streaming
 
@@ -32,6 +34,14 @@ def test_bars_go_on_from_the_checkpoint(spark, tmp_path):
     assert sorted(got.select(columns).collect()) == sorted(closed.select(columns).collect())
 
 
+def test_raw_feed_as_a_stream(spark, tmp_path):
+    root = write_feeds(tmp_path)
+    rows = [streaming.run_available(streaming.feed_stream(spark, f, root, "1 minute"), f.name) for f in (BTC, ETH)]
+    assert rows[0].columns == ["ts", "asset", "open", "high", "low", "close", "volume"]
+    assert sorted(r.open for r in rows[0].collect()) == [10.0, 20.0, 20.0, 20.0]
+    assert sorted((r.asset, r.open) for r in rows[1].collect()) == [("eth", 1.0), ("eth", 2.0), ("eth", 3.0)]
+
+
 def test_align_and_copies(spark, tmp_path):
     source = str(tmp_path / "in")
     for _ in range(3):

@@ -33,5 +33,5 @@ def measure_columns(feed: FeedSpec, measures: list[str]) -> list[Column]:
 
 
 def long_columns(feed: FeedSpec, measures: list[str]) -> list[Column]:
-    """The feed's fields under their common names, with the feed name as `asset`."""
+    """The feed's fields under their common names without a prefix, with the feed name as `asset`."""
     return [F.lit(feed.name).alias("asset"), *[F.col(f"`{feed.measures[m]}`").alias(m) for m in measures]]

@@ -101,6 +101,11 @@ def assert_quality(report: DataFrame) -> None:
         raise DataQualityError(f"quality checks failed: {failed}")
 
 
+def year_out_of_range_count(df: DataFrame, ts: str, first: int = 2009, last: int = 2100) -> DataFrame:
+    """Rows with an unlikely year. Milliseconds that were read as seconds give the year 49596, without any error."""
+    return df.agg(F.count_if(~F.year(ts).between(first, last)).alias("n_out_of_range"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

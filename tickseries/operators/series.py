@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from tickseries.feeds import MEASURES, FeedSpec
 from tickseries.functions.missing import complete_row
 from tickseries.functions.times import CALENDAR, calendar_columns, event_time, time_bucket
-from tickseries.operators.conform import measure_columns
+from tickseries.operators.conform import long_columns, measure_columns
 
 PARITY_MEASURES = ["open", "high", "low", "volume"]
 
@@ -69,3 +69,21 @@ def build_series(staged: DataFrame, feed: FeedSpec, parity: bool = False) -> Dat
         measures = list(MEASURES)
     parts = [c.alias(name) for name, c in calendar_columns(ts).items()]
     return rows.select("timestamp", *parts, *[f"{feed.name}_{m}" for m in measures])
+
+
+def long_series(staged: DataFrame, feed: FeedSpec) -> DataFrame:
+    """The feed as (asset, ts, open, high, low, close, volume), so that any number of feeds fit one table.
+
+    Works on streams too: nothing is shuffled. Rows whose time cannot be read are left to staging.
+    """
+    if feed.drop_incomplete:
+        staged = drop_incomplete(staged)
+    ts = event_time(f"`{feed.ts_column}`", feed.ts_format).alias("ts")
+    return staged.select(ts, *long_columns(feed, list(MEASURES))).where(F.col("ts").isNotNull())
+
+
+def latest_per_bucket(
+    rows: DataFrame, grain: str | int, by: Sequence[str] = ("asset",), ts: str = "ts", tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """One row per group and time bucket, the latest one; `bucket` is its start."""
+    return latest_per_key(rows.withColumn("bucket", time_bucket(ts, grain)), [*by, "bucket"], [ts, *tie_break])

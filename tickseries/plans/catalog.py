@@ -218,6 +218,21 @@ def align_join_minute(spark, sf_dir):
     )
 
 
+def latest_minutes(spark, sf_dir, assets, how: str) -> DataFrame:
+    latest = series.latest_per_bucket(ticks(spark, sf_dir, *assets), "minute", tie_break=["event_id"])
+    return align.align_bars(latest, assets, ["price"], how=how)
+
+
+def align_latest_minute(spark, sf_dir):
+    """One row per asset and minute first, so a minute with many rows yields one row, not all pairs."""
+    return latest_minutes(spark, sf_dir, [A, B], "inner")
+
+
+def multi_asset_minutes(spark, sf_dir):
+    """Five assets side by side in one shuffle; a minute that only some have stays."""
+    return latest_minutes(spark, sf_dir, ASSETS, "outer")
+
+
 def align_fan_out(spark, sf_dir):
     return align.fan_out([one_asset(spark, sf_dir, A, "a"), one_asset(spark, sf_dir, B, "b")])
 
@@ -257,6 +272,19 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(tables)
 
 
+def year_range_check(spark, sf_dir):
+    """Times read with the right and with the wrong epoch unit."""
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    rows = table(spark, sf_dir, "events", ["ts"]).select(
+        event_time(millis, "epoch_ms").alias("right"), event_time(millis, "epoch_s").alias("wrong")
+    )
+    counts = [
+        quality.year_out_of_range_count(rows, unit).select(F.lit(unit).alias("unit"), "n_out_of_range")
+        for unit in ("right", "wrong")
+    ]
+    return union_by_name(counts)
+
+
 def duplicate_keys(spark, sf_dir):
     rows = ticks(spark, sf_dir).select(time_bucket("ts", "minute").alias("bucket"), "asset")
     return quality.duplicate_keys(rows, ["bucket", "asset"])
@@ -469,6 +497,14 @@ def stream_tumbling_ohlc(spark, sf_dir):
     return rounded(streaming.run_available(windows, "stream_bars"), "volume")
 
 
+def stream_feed_bars(spark, sf_dir):
+    """Hour bars from the raw CSV minutes of feed A as they arrive."""
+    root = work_dir(use_utc(spark), "stream_feed")
+    _write_raw_feeds(spark, sf_dir, root)
+    minutes = streaming.feed_stream(spark, FEED_A, root, "1 hour")
+    return streaming.run_available(streaming.tumbling_bars(minutes, ["asset"], "ts", "1 hour"), "stream_feed_bars")
+
+
 def stream_align(spark, sf_dir):
     windows = streaming.tumbling_align(_tick_stream(spark, sf_dir), "asset", [A, B], "ts", "1 minute", "price", ["event_id"])
     return streaming.run_available(windows, "stream_align")
@@ -513,6 +549,8 @@ QUERIES = {
         distinct_series,
         align_join_minute,
         align_fan_out,
+        align_latest_minute,
+        multi_asset_minutes,
         union_all_series,
         row_count,
         non_null_count,
@@ -521,6 +559,7 @@ QUERIES = {
         null_profile,
         quality_report,
         duplicate_keys,
+        year_range_check,
         missing_buckets,
         staged_feed,
         series_parity,
@@ -544,6 +583,7 @@ QUERIES = {
         lag_regression,
         incremental_append,
         stream_tumbling_ohlc,
+        stream_feed_bars,
         stream_align,
         stream_drop_copies,
         stream_incremental_append,

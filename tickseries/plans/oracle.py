@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+ASSETS = ("click", "error", "purchase", "signup", "view")
+
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 CALENDAR = """CAST(year({0}) AS INT) AS "year", CAST(month({0}) AS INT) AS "month", CAST(day({0}) AS INT) AS "day",
@@ -125,6 +127,13 @@ ORACLES = {
         AND a."day" = b."day" AND a."hour" = b."hour" AND a."minute" = b."minute\"""",
     "align_fan_out": f"""{AB_MINUTES} SELECT CAST(count(*) AS DOUBLE) AS n_rows FROM a JOIN b ON a."year" = b."year"
         AND a."month" = b."month" AND a."day" = b."day" AND a."hour" = b."hour" AND a."minute" = b."minute\"""",
+    "align_latest_minute": f"""WITH {TICKS}, {bars('minutes', 'minute')}
+        SELECT a.bucket, a.close AS click_price, b.close AS view_price
+        FROM (SELECT * FROM minutes WHERE asset = 'click') a JOIN (SELECT * FROM minutes WHERE asset = 'view') b
+        ON a.bucket = b.bucket""",
+    "multi_asset_minutes": f"""WITH {TICKS}, {bars('minutes', 'minute')} SELECT bucket, """
+    + ", ".join(f"max(close) FILTER (WHERE asset = '{a}') AS {a}_price" for a in ASSETS)
+    + " FROM minutes GROUP BY bucket",
     "union_all_series": f"{EVENTS} WHERE event_type = 'click' UNION ALL {EVENTS} WHERE event_type = 'view'",
     "row_count": "SELECT count(*) AS n_rows, 6 AS n_columns FROM events",
     "non_null_count": f"WITH {GAPPY} SELECT count(v) AS n_non_null FROM gappy",
@@ -150,6 +159,8 @@ ORACLES = {
             _check("gappy", "v", " OR isnan(v)"),
         ]
     ),
+    "year_range_check": """SELECT 'right' AS unit, count(*) FILTER (WHERE year(ts) NOT BETWEEN 2009 AND 2100) AS n_out_of_range
+        FROM events UNION ALL SELECT 'wrong', count(*) FROM events""",
     "duplicate_keys": """SELECT date_trunc('minute', ts) AS bucket, event_type AS asset, count(*) AS n_rows FROM events
         GROUP BY date_trunc('minute', ts), event_type HAVING count(*) > 1""",
     "missing_buckets": """SELECT DISTINCT date_trunc('minute', ts) AS bucket FROM events WHERE event_type = 'click'
@@ -193,7 +204,7 @@ ORACLES = {
         ON a.bucket = b.bucket""",
     "multi_asset_pivot": "SELECT date_trunc('day', ts) AS bucket, "
     + ", ".join(
-        f"count(*) FILTER (WHERE event_type = '{a}') AS {a}" for a in ("click", "error", "purchase", "signup", "view")
+        f"count(*) FILTER (WHERE event_type = '{a}') AS {a}" for a in ASSETS
     )
     + " FROM events GROUP BY date_trunc('day', ts)",
     "simple_returns": SIMPLE_RETURNS,
@@ -230,6 +241,11 @@ ORACLES = {
     "incremental_append": f"""WITH {TICKS} SELECT event_id, ts, asset, price, CAST(year(ts) AS INT) AS "year" FROM ticks""",
     "stream_tumbling_ohlc": f"""{HOUR_BARS} SELECT asset, bucket, open, high, low, close, round(volume, 6) AS volume, n_rows
         FROM hours WHERE bucket + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "stream_feed_bars": f"""{JOB} SELECT 'a' AS asset, date_trunc('hour', bucket) AS bucket,
+        first(a_open ORDER BY bucket) AS open, max(a_high) AS high, min(a_low) AS low,
+        last(a_close ORDER BY bucket) AS close, sum(a_volume) AS volume, count(*) AS n_rows FROM a
+        GROUP BY date_trunc('hour', bucket)
+        HAVING date_trunc('hour', bucket) + INTERVAL 2 HOURS <= (SELECT max(bucket) FROM a)""",
     "stream_align": f"""WITH {TICKS}, {bars('minutes', 'minute')}
         SELECT a.bucket, a.close AS click_close, b.close AS view_close
         FROM (SELECT * FROM minutes WHERE asset = 'click') a JOIN (SELECT * FROM minutes WHERE asset = 'view') b

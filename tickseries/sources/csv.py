@@ -19,26 +19,35 @@ def under(root: str, path: str) -> str:
     return path if "://" in path or path.startswith("/") or not root else f"{root.rstrip('/')}/{path}"
 
 
+def _checked_csv(schema: StructType, **options) -> tuple[StructType, dict]:
+    """Schema and options under which a line that does not fit keeps its text in `_bad_row`, and a file whose header
+    differs from the schema is an error: its values would land in the wrong columns."""
+    checks = dict(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, enforceSchema=False)
+    return StructType([*schema.fields, StructField(BAD_ROW, StringType())]), checks | options
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | None, **options) -> DataFrame:
     """One scan over all files of a folder, file or glob that share a header.
 
-    With a schema the files are read once. Lines that do not fit it keep their text in `_bad_row`, and
-    a file whose header differs from the schema is an error: its values would land in the wrong columns.
-    Without a schema Spark infers the types, in a pass of its own.
+    With a schema the files are read once and bad lines are marked. Without one Spark infers the types, in a pass of
+    its own.
     """
     if schema is None:
         return spark.read.options(header=True, inferSchema=True, **options).csv(path)
-    return (
-        spark.read.schema(StructType([*schema.fields, StructField(BAD_ROW, StringType())]))
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW, enforceSchema=False, **options)
-        .csv(path)
-    )
+    schema, options = _checked_csv(schema, **options)
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_feed(spark: SparkSession, feed: FeedSpec, root: str = "") -> DataFrame:
     return read_csv(spark, under(root, feed.path), feed.schema)
 
 
+def read_feed_stream(spark: SparkSession, feed: FeedSpec, root: str = "") -> DataFrame:
+    """The feed as a stream of the files that arrive in its folder. A stream cannot infer its schema."""
+    schema, options = _checked_csv(feed.schema)
+    return spark.readStream.schema(schema).options(**options).csv(under(root, feed.path))
+
+
 def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the marker, bad rows) of a CSV scan.
 

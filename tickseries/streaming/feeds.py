@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tickseries.feeds import FeedSpec
 from tickseries.operators.bars import bar_columns
+from tickseries.operators.conform import rename_columns
+from tickseries.operators.series import long_series
 from tickseries.session import work_dir
 from tickseries.sinks.parquet import append_new
+from tickseries.sources.csv import read_feed_stream, split_bad_rows
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet", **options) -> DataFrame:
@@ -28,6 +32,12 @@ def with_event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+def feed_stream(spark: SparkSession, feed: FeedSpec, root: str, delay: str) -> DataFrame:
+    """A raw feed as a stream of (ts, asset, open, high, low, close, volume) with a watermark."""
+    good, _ = split_bad_rows(read_feed_stream(spark, feed, root))
+    return with_event_time(long_series(rename_columns(good, feed.renames), feed), "ts", delay)
+
+
 def drop_copies(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop repeated keys that arrive within the watermark delay."""
     return stream.dropDuplicatesWithinWatermark(list(keys))
