@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import SparkSession
 
-from tests.frames import A_HEADER, write_feeds, write_lines
+from tests.frames import A_HEADER, B_HEADER, write_feeds, write_lines
 from tickseries import session
 from tickseries.feeds import BTC, ETH
 from tickseries.functions.times import CALENDAR
@@ -32,6 +32,49 @@ def test_whole_job(spark, tmp_path, parity):
     assert spark.read.parquet(f"{out}/combined_timeseries").count() == 2
 
 
+def b_row(stamp: str, price: int) -> str:
+    return f"{stamp},{price},{price},{price},{price},7,1,7,3,1,1,0"
+
+
+def a_row(epoch: int, price: int) -> str:
+    return f"{epoch},{price},{price},{price},{price},1,1,1"
+
+
+def test_increments_equal_one_run(spark, tmp_path):
+    """Drops that overlap, arrive late for one feed, cross a year, hit a known minute again, or are empty."""
+    new_year = 1514764800  # 2018-01-01
+    drops = [
+        ([a_row(new_year - 120, 1), a_row(new_year - 60, 2)], [b_row("2017-12-31 23:58:00", 5)]),
+        ([a_row(new_year - 60, 2), a_row(new_year, 3)], []),
+        ([], [b_row("2017-12-31 23:59:00", 6), b_row("2018-01-01 00:00:00", 7), b_row("2018-01-01 00:01:00", 8)]),
+        ([a_row(new_year + 60, 4)], []),
+        # Later events of known minutes: the first ones stay.
+        ([a_row(new_year - 90, 9)], [b_row("2018-01-01 00:00:30", 9)]),
+    ]
+    out = str(tmp_path / "out")
+    for i, (a, b) in enumerate([*drops, drops[2], ([], [])]):
+        write_lines(tmp_path / f"d{i}" / "btc_data", "x.csv", A_HEADER, a)
+        write_lines(tmp_path / f"d{i}" / "eth_data", "x.csv", B_HEADER, b)
+        tables = daily.run_increment(spark, [BTC, ETH], str(tmp_path / f"d{i}"), out)
+    combined = tables[daily.COMBINED].orderBy("timestamp").collect()
+    assert [(str(r.timestamp), r.year, r.minute, r.btc_open, r.eth_open) for r in combined] == [
+        ("2017-12-31 23:58:00", 2017, 58, 1.0, 5.0),
+        ("2017-12-31 23:59:00", 2017, 59, 2.0, 6.0),
+        ("2018-01-01 00:00:00", 2018, 0, 3.0, 7.0),
+        ("2018-01-01 00:01:00", 2018, 1, 4.0, 8.0),
+    ]
+    assert [tables[f"{f}_timeseries"].count() for f in ("btc", "eth")] == [4, 4]
+    assert tables["staging_btc"].count() == 0
+
+
+def test_increment_without_any_row(spark, tmp_path):
+    write_lines(tmp_path / "btc_data", "x.csv", A_HEADER, [])
+    write_lines(tmp_path / "eth_data", "x.csv", B_HEADER, [])
+    for _ in range(2):
+        tables = daily.run_increment(spark, [BTC, ETH], str(tmp_path), str(tmp_path / "out"))
+        assert [t.count() for t in tables.values()] == [0] * 5
+
+
 def test_bad_lines_are_kept_apart(spark, tmp_path):
     write_lines(tmp_path / "btc_data", "x.csv", A_HEADER, ["1502942400,10,12,9,11,1.5,15,10.5", "abc,1,1,1,1,1,1,1"])
     staged = daily.stage(spark, BTC, str(tmp_path), str(tmp_path / "out"))
@@ -49,7 +92,7 @@ def test_inferred_feed(spark, tmp_path):
 
 def test_failing_check_fails_the_job(spark, tmp_path):
     root = write_feeds(tmp_path)
-    write_lines(tmp_path / "eth_data", "2017-08.csv", "timestamp,open,high,low,close,volume,close_time,quote_av,trades,tb_base_av,tb_quote_av,ignore", ["2016-01-01 00:00:00,1,2,0.5,1.5,7,1,7,3,1,1,0"])
+    write_lines(tmp_path / "eth_data", "2017-08.csv", B_HEADER, ["2016-01-01 00:00:00,1,2,0.5,1.5,7,1,7,3,1,1,0"])
     with pytest.raises(DataQualityError, match="combined_timeseries"):
         daily.run_checked(spark, [BTC, ETH], root, str(tmp_path / "out"))
 
@@ -82,3 +125,18 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster():
 def test_build_session_is_utc(spark):
     assert isinstance(session.build_session(), SparkSession)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from tickseries import __main__ as command
+
+    root, out = write_feeds(tmp_path / "in"), str(tmp_path / "out")
+    base = ["tickseries", "--input-root", root, "--output-root", out]
+    for extra in ([], ["--append"]):
+        monkeypatch.setattr("sys.argv", [*base, *extra])
+        command.main()
+        assert "combined_timeseries" in capsys.readouterr().out
+        assert spark.read.parquet(f"{out}/combined_timeseries").count() == 2
+    monkeypatch.setattr("sys.argv", [*base, "--append", "--parity"])
+    with pytest.raises(SystemExit):
+        command.main()

@@ -1,11 +1,12 @@
-"""Run the batch job: python -m tickseries --input-root data --output-root out [--parity]"""
+"""Run the batch job: python -m tickseries --input-root data --output-root out [--parity | --append]"""
 
 from __future__ import annotations
 
 import argparse
 
 from tickseries.feeds import BTC, ETH
-from tickseries.plans.daily import run_checked
+from tickseries.operators.quality import assert_quality
+from tickseries.plans.daily import report, run_feeds, run_increment
 from tickseries.session import build_session
 
 
@@ -14,8 +15,17 @@ def main() -> None:
     parser.add_argument("--input-root", required=True, help="folder or URI that holds the feed folders")
     parser.add_argument("--output-root", required=True, help="folder or URI for the tables")
     parser.add_argument("--parity", action="store_true", help="write the plain tables without close and partitions")
+    parser.add_argument("--append", action="store_true", help="add the minutes of a new drop to existing tables")
     args = parser.parse_args()
-    run_checked(build_session(), [BTC, ETH], args.input_root, args.output_root, args.parity).show(truncate=False)
+    if args.append and args.parity:
+        parser.error("--append works on the tables of the default mode")
+    spark, feeds = build_session(), [BTC, ETH]
+    if args.append:
+        result = report(feeds, run_increment(spark, feeds, args.input_root, args.output_root))
+    else:
+        result = report(feeds, run_feeds(spark, feeds, args.input_root, args.output_root, args.parity))
+    result.show(truncate=False)
+    assert_quality(result)
 
 
 if __name__ == "__main__":

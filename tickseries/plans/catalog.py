@@ -59,12 +59,18 @@ def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"]).withColumn("v", gappy_price())
 
 
-def one_asset(spark: SparkSession, sf_dir: str, asset: str, prefix: str) -> DataFrame:
-    """The distinct (calendar minute, price) rows of one asset."""
+def asset_minutes(spark: SparkSession, sf_dir: str, asset: str, prefix: str) -> DataFrame:
+    """The distinct (minute, price) rows of one asset."""
     rows = ticks(spark, sf_dir, asset).select(
         time_bucket("ts", "minute").alias("timestamp"), F.col("price").alias(f"{prefix}_open")
     )
-    return with_calendar(rows.distinct(), "timestamp").select(*CALENDAR, f"{prefix}_open")
+    return rows.distinct()
+
+
+def in_calendar_order(rows: DataFrame) -> DataFrame:
+    """Replace the minute by its calendar columns and sort by them."""
+    measures = [c for c in rows.columns if c != "timestamp"]
+    return series.sort_rows(with_calendar(rows, "timestamp").select(*CALENDAR, *measures))
 
 
 PRICE = dict(open="price", high="price", low="price", close="price", volume="price")
@@ -209,13 +215,20 @@ def drop_incomplete_rows(spark, sf_dir):
 
 
 def distinct_series(spark, sf_dir):
-    return series.sort_rows(one_asset(spark, sf_dir, A, "a"))
+    return in_calendar_order(asset_minutes(spark, sf_dir, A, "a"))
+
+
+def both_minutes(spark, sf_dir) -> list[DataFrame]:
+    return [asset_minutes(spark, sf_dir, A, "a"), asset_minutes(spark, sf_dir, B, "b")]
 
 
 def align_join_minute(spark, sf_dir):
-    return series.sort_rows(
-        align.align_join([one_asset(spark, sf_dir, A, "a"), one_asset(spark, sf_dir, B, "b")])
-    )
+    """In UTC the minute is one key with the meaning of the five calendar columns, which are split off afterwards.
+
+    An inner join: a minute with several prices of both assets has all their combinations, by definition.
+    `align_fan_out` tells how many; `align_latest_minute` has one row per minute.
+    """
+    return in_calendar_order(align.align_join(both_minutes(spark, sf_dir), ["timestamp"]))
 
 
 def latest_minutes(spark, sf_dir, assets, how: str) -> DataFrame:
@@ -234,7 +247,7 @@ def multi_asset_minutes(spark, sf_dir):
 
 
 def align_fan_out(spark, sf_dir):
-    return align.fan_out([one_asset(spark, sf_dir, A, "a"), one_asset(spark, sf_dir, B, "b")])
+    return align.fan_out(both_minutes(spark, sf_dir), ["timestamp"])
 
 
 def union_all_series(spark, sf_dir):
@@ -300,9 +313,9 @@ FEED_A = replace(BTC, name="a", path="feed_a")
 FEED_B = replace(ETH, name="b", path="feed_b")
 
 
-def _write_raw_feeds(spark, sf_dir, root: str) -> None:
+def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true") -> None:
     """Minute bars of A and B as raw CSV feeds. Fixed rule: minutes of A with a high above 150 have NaN prices."""
-    minute = price_bars(spark, sf_dir, "minute", A, B)
+    minute = price_bars(spark, sf_dir, "minute", A, B).where(when)
     gap = F.col("high") > 150
 
     def price(name: str) -> Column:
@@ -363,6 +376,16 @@ def combined_default(spark, sf_dir):
     return _run_job(spark, sf_dir, parity=False)[daily.COMBINED]
 
 
+def incremental_job(spark, sf_dir):
+    """Two drops of raw files that overlap by ten days, the second one loaded twice."""
+    root = work_dir(use_utc(spark), "increments")
+    for drop, when in {"first": "bucket < '2024-01-20'", "second": "bucket >= '2024-01-10'"}.items():
+        _write_raw_feeds(spark, sf_dir, f"{root}/{drop}", when)
+    for drop in ("first", "second", "second"):
+        tables = daily.run_increment(spark, [FEED_A, FEED_B], f"{root}/{drop}", f"{root}/out")
+    return tables[daily.COMBINED]
+
+
 def job_quality(spark, sf_dir):
     return daily.report([FEED_A, FEED_B], _run_job(spark, sf_dir, parity=True))
 
@@ -565,6 +588,7 @@ QUERIES = {
         series_parity,
         combined_parity,
         combined_default,
+        incremental_job,
         job_quality,
         ohlc_resample,
         ohlc_rollup,

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickseries.feeds import FeedSpec
+from tickseries.functions.times import CALENDAR
 from tickseries.operators.align import align_join
 from tickseries.operators.conform import rename_columns
 from tickseries.operators.quality import assert_quality, quality_report
 from tickseries.operators.series import build_series, sort_rows
 from tickseries.session import use_utc
-from tickseries.sinks.parquet import write_parquet
+from tickseries.sinks.parquet import append_new, write_parquet
 from tickseries.sources.csv import BAD_ROW, read_feed, under
+from tickseries.sources.parquet import between
 
 COMBINED = "combined_timeseries"
 
@@ -76,6 +78,39 @@ def run_feeds(
     return tables
 
 
+def run_increment(
+    spark: SparkSession, feeds: Sequence[FeedSpec], input_root: str, output_root: str
+) -> dict[str, DataFrame]:
+    """Add the minutes of a new drop of raw files to the tables of the default mode; returns the tables.
+
+    Staging holds the drop. A minute that a series already has keeps its row, so a drop may overlap earlier ones
+    and may be loaded again. A new combined minute needs a new row in some series, so only the times of
+    the drop are aligned.
+    """
+    use_utc(spark)
+    tables: dict[str, DataFrame] = {}
+    series, times = [], []
+    for feed in feeds:
+        staged = good_rows(stage(spark, feed, input_root, output_root))
+        path = under(output_root, series_name(feed))
+        batch = build_series(staged, feed)
+        times.append(append_new(batch, path, CALENDAR, "timestamp", grain="minute"))
+        series.append(spark.read.schema(batch.schema).parquet(path))
+        tables |= {staging_name(feed): staged, series_name(feed): series[-1]}
+
+    times = [t for t in times if t]
+    if times:
+        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(a for a, _ in times), max(b for _, b in times)))
+        touched = [between(s, "timestamp", low, high) for s in series]
+    else:
+        touched = [s.limit(0) for s in series]
+    aligned = align_join([touched[0], *[s.drop("timestamp") for s in touched[1:]]])
+    path = under(output_root, COMBINED)
+    append_new(aligned, path, CALENDAR, "timestamp", grain="minute")
+    tables[COMBINED] = spark.read.schema(aligned.schema).parquet(path)
+    return tables
+
+
 def _write(df: DataFrame, path: str, parity: bool) -> DataFrame:
     if parity:
         return write_parquet(sort_rows(df), path)

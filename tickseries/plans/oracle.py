@@ -53,6 +53,9 @@ JOB = f"""WITH {TICKS}, {bars('minutes', 'minute')},
     b AS (SELECT bucket, open AS b_open, high AS b_high, low AS b_low, close AS b_close,
             CAST(n_rows AS DOUBLE) AS b_volume FROM minutes WHERE asset = 'view')"""
 
+COMBINED_DEFAULT = f"""{JOB} SELECT {CALENDAR.format('a.bucket')}, a.bucket AS timestamp, a_open, a_high, a_low,
+    a_close, a_volume, b_open, b_high, b_low, b_close, b_volume FROM a JOIN b ON a.bucket = b.bucket"""
+
 # A return after a price of zero is undefined, so null.
 SIMPLE_RETURNS = f"""WITH {TICKS} SELECT event_id, ts, asset, price,
     round(price / nullif(lag(price) OVER (PARTITION BY asset ORDER BY ts, event_id), 0) - 1, 6) AS price_return
@@ -174,8 +177,8 @@ ORACLES = {
         a_open, a_high, a_low, a_volume FROM a""",
     "combined_parity": f"""{JOB} SELECT {CALENDAR.format('a.bucket')}, a_open, a_high, a_low, a_volume,
         b_open, b_high, b_low, b_volume FROM a JOIN b ON a.bucket = b.bucket""",
-    "combined_default": f"""{JOB} SELECT {CALENDAR.format('a.bucket')}, a.bucket AS timestamp, a_open, a_high, a_low,
-        a_close, a_volume, b_open, b_high, b_low, b_close, b_volume FROM a JOIN b ON a.bucket = b.bucket""",
+    "combined_default": COMBINED_DEFAULT,
+    "incremental_job": COMBINED_DEFAULT,
     "job_quality": f"{JOB} "
     + " UNION ALL ".join(
         [

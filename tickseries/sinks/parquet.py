@@ -9,7 +9,9 @@ from operator import or_
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tickseries.functions.times import FIXED_GRAINS
 from tickseries.operators.series import latest_per_key
 from tickseries.sources.parquet import between
 
@@ -40,23 +42,31 @@ def write_parquet(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def _existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def append_new(batch: DataFrame, path: str, keys: Sequence[str], ts: str, tie_break: Sequence[str] = ()) -> None:
+def append_new(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    ts: str,
+    tie_break: Sequence[str] = (),
+    grain: str | None = None,
+) -> tuple[int, int] | None:
     """Append the rows of `batch` whose key is not in the table yet; running it again adds nothing.
 
-    A key belongs to one time: a row with a known key and another `ts` counts as new only if that `ts` lies
-    outside the times of the batch. Copies within the batch are reduced to the latest one, in each task before the
-    shuffle. The keys of the table are read only for the years and times the batch covers, so the cost
-    follows the batch and not the table. The table is partitioned by the year of `ts`.
+    A key belongs to one value of `ts`, or with `grain` to one bucket of that length. Copies within the batch are
+    reduced to the latest one, in each task before the shuffle. The keys of the table are read only for the
+    years and times the batch covers, so the cost follows the batch and not the table. The table is
+    partitioned by the year of `ts`. Returns the covered times in microseconds, None for an empty batch.
     """
+    spark = batch.sparkSession
     low, high, n_bad = batch.agg(
         F.unix_micros(F.min(ts).cast("timestamp")),
         F.unix_micros(F.max(ts).cast("timestamp")),
@@ -64,11 +74,16 @@ def append_new(batch: DataFrame, path: str, keys: Sequence[str], ts: str, tie_br
     ).first()
     if n_bad:
         raise ValueError(f"{n_bad} rows lack a key {list(keys)} or {ts}: a rerun could not tell them from new rows")
-    if low is None:
-        return
     fresh = latest_per_key(batch, keys, [ts, *tie_break]).withColumn("year", F.year(ts))
-    table = _existing(batch.sparkSession, path)
-    if table is not None:
-        known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
-        fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
-    write_parquet(fresh, path, partition_by=["year"], sort_by=[ts, *(k for k in keys if k != ts)], mode="append")
+    table = _existing(spark, path, fresh.schema)
+    if low is None and table is not None:
+        return None
+    if low is not None:
+        length = FIXED_GRAINS[grain] * 1_000_000 if grain else 1
+        low, high = low - low % length, high - high % length + length - 1
+        if table is not None:
+            known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+            fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
+    order = [ts, *(k for k in keys if k not in (ts, "year"))]
+    write_parquet(fresh, path, partition_by=["year"], sort_by=order, mode="append")
+    return None if low is None else (low, high)
