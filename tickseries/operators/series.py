@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType
 
 from tickseries.feeds import MEASURES, FeedSpec
 from tickseries.functions.missing import complete_row
-from tickseries.functions.times import CALENDAR, calendar_columns, event_time, time_bucket
+from tickseries.functions.times import CALENDAR, calendar_columns, event_time, time_bucket, with_calendar
 from tickseries.operators.conform import long_columns, measure_columns
 
 PARITY_MEASURES = ["open", "high", "low", "volume"]
@@ -62,15 +62,29 @@ def build_series(staged: DataFrame, feed: FeedSpec, parity: bool = False) -> Dat
         ts = event_time("timestamp", feed.ts_format if numeric else "timestamp")
         measures = PARITY_MEASURES
     else:
-        rows = staged.select(ts.alias("timestamp"), *measure_columns(feed, list(MEASURES)))
-        rows = rows.where(F.col("timestamp").isNotNull()).withColumn("_minute", time_bucket("timestamp", "minute"))
-        rows = latest_per_key(rows, ["_minute"], ["timestamp"])
+        rows = latest_per_key(
+            _timed(staged, feed).withColumn("_minute", time_bucket("timestamp", "minute")), ["_minute"], ["timestamp"]
+        )
         ts = F.col("timestamp")
         measures = list(MEASURES)
     parts = [c.alias(name) for name, c in calendar_columns(ts).items()]
     return rows.select("timestamp", *parts, *[f"{feed.name}_{m}" for m in measures])
 
 
+def _timed(staged: DataFrame, feed: FeedSpec) -> DataFrame:
+    ts = event_time(f"`{feed.ts_column}`", feed.ts_format)
+    rows = staged.select(ts.alias("timestamp"), *measure_columns(feed, list(MEASURES)))
+    return rows.where(F.col("timestamp").isNotNull())
+
+
+def series_rows(staged: DataFrame, feed: FeedSpec) -> DataFrame:
+    """The columns of the default series before a minute's rows are reduced to one. Nothing is shuffled."""
+    if feed.drop_incomplete:
+        staged = drop_incomplete(staged)
+    rows = with_calendar(_timed(staged, feed), "timestamp")
+    return rows.select("timestamp", *CALENDAR, *[f"{feed.name}_{m}" for m in MEASURES])
+
+
 def long_series(staged: DataFrame, feed: FeedSpec) -> DataFrame:
     """The feed as (asset, ts, open, high, low, close, volume), so that any number of feeds fit one table.
 

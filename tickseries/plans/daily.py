@@ -12,9 +12,9 @@ from tickseries.functions.times import CALENDAR
 from tickseries.operators.align import align_join
 from tickseries.operators.conform import rename_columns
 from tickseries.operators.quality import assert_quality, quality_report
-from tickseries.operators.series import build_series, sort_rows
+from tickseries.operators.series import build_series, series_rows, sort_rows
 from tickseries.session import use_utc
-from tickseries.sinks.parquet import append_new, write_parquet
+from tickseries.sinks.parquet import NO_TIMES, append_new, append_unique, write_parquet
 from tickseries.sources.csv import BAD_ROW, read_feed, under
 from tickseries.sources.parquet import between
 
@@ -93,20 +93,18 @@ def run_increment(
     for feed in feeds:
         staged = good_rows(stage(spark, feed, input_root, output_root))
         path = under(output_root, series_name(feed))
-        batch = build_series(staged, feed)
+        batch = series_rows(staged, feed)
         times.append(append_new(batch, path, CALENDAR, "timestamp", grain="minute"))
         series.append(spark.read.schema(batch.schema).parquet(path))
         tables |= {staging_name(feed): staged, series_name(feed): series[-1]}
 
+    # The series are unique by minute, and so is their join.
     times = [t for t in times if t]
-    if times:
-        low, high = (F.timestamp_micros(F.lit(t)) for t in (min(a for a, _ in times), max(b for _, b in times)))
-        touched = [between(s, "timestamp", low, high) for s in series]
-    else:
-        touched = [s.limit(0) for s in series]
+    low, high = (min(t[0] for t in times), max(t[1] for t in times)) if times else NO_TIMES
+    touched = [between(s, "timestamp", F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))) for s in series]
     aligned = align_join([touched[0], *[s.drop("timestamp") for s in touched[1:]]])
     path = under(output_root, COMBINED)
-    append_new(aligned, path, CALENDAR, "timestamp", grain="minute")
+    append_unique(aligned, path, CALENDAR, "timestamp", low, high)
     tables[COMBINED] = spark.read.schema(aligned.schema).parquet(path)
     return tables
 

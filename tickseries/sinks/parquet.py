@@ -16,6 +16,10 @@ from tickseries.operators.series import latest_per_key
 from tickseries.sources.parquet import between
 
 
+# An interval that holds no time.
+NO_TIMES = (0, -1)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -51,6 +55,18 @@ def _existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame |
         raise
 
 
+def append_unique(rows: DataFrame, path: str, keys: Sequence[str], ts: str, low: int, high: int) -> None:
+    """Append the rows whose key is not in the table yet. The rows are unique by key, and the rows of the table with
+    the same keys lie within the times low..high (microseconds): only that part of the table is read."""
+    fresh = rows.withColumn("year", F.year(ts))
+    table = _existing(rows.sparkSession, path, fresh.schema)
+    if table is not None:
+        known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+        fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
+    order = [ts, *(k for k in keys if k not in (ts, "year"))]
+    write_parquet(fresh, path, partition_by=["year"], sort_by=order, mode="append")
+
+
 def append_new(
     batch: DataFrame,
     path: str,
@@ -66,7 +82,6 @@ def append_new(
     years and times the batch covers, so the cost follows the batch and not the table. The table is
     partitioned by the year of `ts`. Returns the covered times in microseconds, None for an empty batch.
     """
-    spark = batch.sparkSession
     low, high, n_bad = batch.agg(
         F.unix_micros(F.min(ts).cast("timestamp")),
         F.unix_micros(F.max(ts).cast("timestamp")),
@@ -74,16 +89,9 @@ def append_new(
     ).first()
     if n_bad:
         raise ValueError(f"{n_bad} rows lack a key {list(keys)} or {ts}: a rerun could not tell them from new rows")
-    fresh = latest_per_key(batch, keys, [ts, *tie_break]).withColumn("year", F.year(ts))
-    table = _existing(spark, path, fresh.schema)
-    if low is None and table is not None:
-        return None
+    times = None
     if low is not None:
         length = FIXED_GRAINS[grain] * 1_000_000 if grain else 1
-        low, high = low - low % length, high - high % length + length - 1
-        if table is not None:
-            known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
-            fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
-    order = [ts, *(k for k in keys if k not in (ts, "year"))]
-    write_parquet(fresh, path, partition_by=["year"], sort_by=order, mode="append")
-    return None if low is None else (low, high)
+        times = low - low % length, high - high % length + length - 1
+    append_unique(latest_per_key(batch, keys, [ts, *tie_break]), path, keys, ts, *(times or NO_TIMES))
+    return times
