@@ -97,14 +97,8 @@ def test_failing_check_fails_the_job(spark, tmp_path):
         daily.run_checked(spark, [BTC, ETH], root, str(tmp_path / "out"))
 
 
-def test_work_dir_follows_the_session(spark, monkeypatch):
-    root = spark.conf.get(session.CHECKPOINT_DIR)
-    assert session.work_dir(spark, "x").startswith(f"{root}/tickseries/x-")
-    assert session.work_dir(spark, "x") != session.work_dir(spark, "x")
-
-
 class _Conf:
-    def __init__(self, **values):
+    def __init__(self, values):
         self.values = values
 
     def get(self, key, default=None):
@@ -112,8 +106,14 @@ class _Conf:
 
 
 class _Session:
-    def __init__(self, master):
-        self.conf = _Conf(**{"spark.master": master})
+    def __init__(self, master, **values):
+        self.conf = _Conf({"spark.master": master, **values})
+
+
+def test_work_dir_follows_the_session():
+    cluster = _Session("yarn", **{session.CHECKPOINT_DIR: "hdfs://shared/work/"})
+    assert session.work_dir(cluster, "x").startswith("hdfs://shared/work/tickseries/x-")
+    assert session.work_dir(cluster, "x") != session.work_dir(cluster, "x")
 
 
 def test_work_dir_needs_a_shared_folder_on_a_cluster():

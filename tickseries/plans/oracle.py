@@ -102,7 +102,7 @@ EVENT_TYPES = {
 
 ORACLES = {
     "csv_scan": EVENTS,
-    "csv_bad_rows": """SELECT event_id, CASE WHEN event_type = 'error' THEN 'error' ELSE event_type END AS event_type,
+    "csv_bad_rows": """SELECT event_id, event_type,
         CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, event_type = 'error' AS is_bad,
         CASE WHEN event_type = 'error' THEN CAST(event_id AS VARCHAR) || ',error,n/a' END AS bad_row FROM events""",
     "csv_multi_file_union": """SELECT event_id, event_type, value FROM events WHERE event_type = 'click'
