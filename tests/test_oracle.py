@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import duck, spark_rows, sql_rows
-
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from tickseries.plans.catalog import QUERIES
+from tickseries.plans.oracle import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,8 @@ def con(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
