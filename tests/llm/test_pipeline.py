@@ -1,0 +1,102 @@
+"""The pipeline and the registered queries of the subpackage."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+import tiktoken
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tests.compare import duck, spark_rows, sql_rows
+from tests.llm.data import DOCS, awkward_docs
+from tests.llm.test_operators import plain_distance, plain_fingerprint, roots
+from tickseries.llm import langid
+from tickseries.llm.oracle import ORACLES
+from tickseries.llm.queries import QUERIES, bpe_vocabulary
+
+
+def test_every_operator_is_registered():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) and set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
+    want_columns, want = sql_rows(duck(sf_dir), ORACLES[name])
+    assert columns == want_columns
+    assert rows == want
+
+
+def test_held_out_languages(spark, sf_dir):
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
+    found = [r for r in QUERIES["op2_language_id"](spark, sf_dir).collect() if r["held_out"] and langs[r["doc_id"]]]
+    right = sum(r["lang_pred"] == langs[r["doc_id"]] for r in found)
+    assert len(found) > 20 and right >= 0.95 * len(found)
+
+
+def plain_pipeline(docs, bench, profiles):
+    """The stages one after another, over lists."""
+    classifier = langid.Classifier(profiles)
+    kept = []
+    for d in docs:
+        lang, score = classifier.predict(d["text"])
+        if lang != "und" and score >= corpus_pipeline.LEAST_LANGUAGE_SCORE:
+            kept.append(dict(d))
+    norm = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+    counts = Counter(k for d in kept for k in {norm(x) for x in d["text"].split("\n")} if k)
+    for d in kept:
+        d["text"] = "\n".join(x for x in d["text"].split("\n") if not norm(x) or counts[norm(x)] < 10)
+    prints = {d["doc_id"]: plain_fingerprint(d["text"]) for d in kept}
+    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    root = roots(list(prints), links)
+    kept = [d for d in kept if root[d["doc_id"]] == d["doc_id"]]
+    split = lambda t: re.findall(r"\w+", (t or "").lower())
+    items = [split(t) for t in bench]
+
+    def clean(text):
+        own = split(text)
+        for item in items:
+            n = len(item)
+            spans = [own] if len(own) < n else [own[s : s + n] for s in range(len(own) - n + 1)]
+            near = [w for w in spans if own and item and len(set(w) & set(item)) >= 0.5 * len(set(item))]
+            if any(plain_distance(w, item) <= int(n * 0.2 + 1e-9) for w in near):
+                return False
+        return True
+
+    return [d for d in kept if clean(d["text"])]
+
+
+def test_pipeline(spark, tmp_path):
+    import tests.llm.data as data
+
+    docs = awkward_docs(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    bench = [data.prose(1, 80), data.prose(104, 40)]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    profiles = langid.learn_profiles(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1"))
+    want = plain_pipeline(docs.collect(), bench, profiles)
+    vocabulary = bpe_vocabulary()
+    library = tiktoken.Encoding("own", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks(), special_tokens={})
+    assert {r["doc_id"]: r["ids"] for r in found} == {d["doc_id"]: library.encode_ordinary(d["text"]) for d in want}
+    assert 5 < len(want) < docs.count()
+
+
+def test_stages_keep_the_columns_and_take_empty_tables(spark, sf_dir):
+    docs = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.dtypes == docs.dtypes, name
+        assert out.collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect() == []
+
+
+def test_whole_pipeline_keeps_clean_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.language(spark, docs, sf_dir)
+    assert kept.count() >= 0.95 * docs.count()

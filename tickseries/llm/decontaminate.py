@@ -30,7 +30,8 @@ SAMPLED_STEPS = 3
 AGREEMENT = 0.5
 BANDS_PER_WALK = 4
 FILTER_BITS = 1 << 23
-WINDOWS_AT_ONCE = 1 << 16
+WINDOWS_AT_ONCE = 1 << 14
+WINDOWS_HELD = 1 << 18
 
 _WORD = re.compile(r"\w+")
 _HIT = "doc_id long, start long, size long, window long, words array<long>, buckets array<long>"
@@ -64,24 +65,21 @@ def _random(*parts) -> np.ndarray:
 def buckets(strings: np.ndarray, n_bands: int, steps: int = SAMPLED_STEPS) -> np.ndarray:
     """The buckets (strings x bands) of strings of one length, given as rows of word hashes."""
     n_strings, n = strings.shape
-    length = 3 * n
-    found = np.zeros((n_strings, n_bands), np.int64)
+    n_walks = -(-n_bands // BANDS_PER_WALK)
     padded = np.concatenate([strings, np.zeros((n_strings, 1), np.int64)], axis=1)  # the end, repeated from there on
-    rows = np.arange(n_strings)
-    for walk in range(-(-n_bands // BANDS_PER_WALK)):
-        bands = np.arange(walk * BANDS_PER_WALK, min((walk + 1) * BANDS_PER_WALK, n_bands))
-        # A walk of n words is mostly at their end after 2n of its 3n steps; samples are drawn from those 2n.
-        at_step = (_random(7, bands[:, None], np.arange(steps)[None, :]) % np.uint64(max(1, 2 * n))).astype(np.int64)
-        position = np.zeros(n_strings, np.int64)
-        keys = np.tile(_random(11, bands, n), (n_strings, 1))
-        for step in range(min(length, int(at_step.max()) + 1)):
-            word = padded[rows, position]
-            for band, place in zip(*np.nonzero(at_step == step)):
-                keys[:, band] = _random(keys[:, band], np.uint64(place), word)
-            moves = (_random(walk, step, word) & np.uint64(1)).astype(np.int64)
-            position = np.minimum(position + moves, n)
-        found[:, bands] = (keys >> np.uint64(1)).astype(np.int64)
-    return found
+    bands, walks = np.arange(n_bands), np.arange(n_walks)
+    # A walk of n words is mostly at their end after 2n of its 3n steps; samples are drawn from those 2n.
+    sampled = (_random(7, bands[:, None], np.arange(steps)[None, :]) % np.uint64(max(1, 2 * n))).astype(np.int64)
+    keys = np.tile(_random(11, bands, n), (n_strings, 1))
+    rows, position = np.arange(n_strings)[:, None], np.zeros((n_strings, n_walks), np.int64)
+    for step in range(int(sampled.max()) + 1):
+        word = padded[rows, position]
+        for place in range(steps):
+            band = np.flatnonzero(sampled[:, place] == step)
+            if len(band):
+                keys[:, band] = _random(keys[:, band], place, word[:, band // BANDS_PER_WALK])
+        position = np.minimum(position + (_random(walks[None, :], step, word) & np.uint64(1)).astype(np.int64), n)
+    return (keys >> np.uint64(1)).astype(np.int64)
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -207,6 +205,30 @@ def contaminated(
     bucket_bits = _bitmap(in_buckets, "bucket")
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met: dict[int, np.ndarray] = {}  # buckets that items have too, by window
+
+        def embed(size: int, found: list[tuple]) -> pd.DataFrame:
+            windows = np.concatenate([x for _, _, x in found])
+            keys = _window_keys(windows)
+            distinct, first = np.unique(keys, return_index=True)
+            new = np.array([k not in met for k in distinct.tolist()], bool)
+            if new.any():
+                own = buckets(windows[first[new]], n_bands)
+                shared = _holds(bucket_bits, own.ravel()).reshape(own.shape)
+                met.update({k: b[s] for k, b, s in zip(distinct[new].tolist(), own, shared)})
+            lists = [met[k] for k in keys.tolist()]
+            hit = np.fromiter((len(x) > 0 for x in lists), bool, len(lists))
+            owners = np.repeat(np.array([-1 if pd.isna(k) else k for k, _, _ in found], np.int64), [len(x) for _, x, _ in found])
+            missing = np.repeat([pd.isna(k) for k, _, _ in found], [len(x) for _, x, _ in found])
+            frame = pd.DataFrame({"start": np.concatenate([x for _, x, _ in found])[hit], "size": size, "window": keys[hit]})
+            frame["doc_id"] = pd.arrays.IntegerArray(owners[hit], missing[hit])
+            frame["words"] = list(windows[hit])
+            frame["buckets"] = [x for x in lists if len(x)]
+            if len(met) > WINDOWS_HELD:
+                met.clear()
+            return frame[["doc_id", "start", "size", "window", "words", "buckets"]]
+
+        waiting: dict[int, list[tuple]] = {}
         for batch in batches:
             for key, t in batch.itertuples(index=False):
                 words = words_of(t)
@@ -216,16 +238,11 @@ def contaminated(
                 for size, starts in window_starts(known, known_pairs, sizes, edits):
                     places = starts[:, None] + np.arange(size)[None, :]
                     windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
-                    found = buckets(windows, n_bands)
-                    shared = _holds(bucket_bits, found.ravel()).reshape(found.shape)
-                    own = np.flatnonzero(shared.any(axis=1))
-                    if len(own):
-                        frame = pd.DataFrame({"start": starts[own], "size": size})
-                        frame["doc_id"] = pd.array([None if pd.isna(key) else int(key)] * len(own), "Int64")
-                        frame["window"] = _window_keys(windows[own])
-                        frame["words"] = list(windows[own])
-                        frame["buckets"] = [found[i][shared[i]] for i in own]
-                        yield frame[["doc_id", "start", "size", "window", "words", "buckets"]]
+                    waiting.setdefault(size, []).append((key, starts, windows))
+                    if sum(len(x) for _, x, _ in waiting[size]) >= WINDOWS_AT_ONCE:
+                        yield embed(size, waiting.pop(size))
+            for size in list(waiting):
+                yield embed(size, waiting.pop(size))
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     occurring = materialize(rows.mapInPandas(hits, _HIT), "windows")
