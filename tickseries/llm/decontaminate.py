@@ -102,7 +102,7 @@ def item_words(benchmark: DataFrame, item_id: str = "item_id", text: str = "text
 
     @F.pandas_udf("array<long>")
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(words_of)
+        return pd.Series([words_of(t) for t in texts], dtype=object)
 
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), split(text).alias("words")).distinct()
     return items.where(F.size("words") > 0).withColumn("size", F.size("words").cast("long"))
@@ -198,7 +198,7 @@ def contaminated(
     in_buckets = materialize(items.select("item_id", "size", "words").mapInPandas(item_buckets, "item_id long, bucket long"), "buckets")
     @F.pandas_udf("array<long>")
     def neighbours(words: pd.Series) -> pd.Series:
-        return words.map(lambda w: pairs_of(np.asarray(w)))
+        return pd.Series([pairs_of(np.asarray(w)) for w in words], dtype=object)
 
     vocabulary = _bitmap(items.select(F.explode("words").alias("key")), "key")
     pair_bits = _bitmap(items.select(F.explode(neighbours("words")).alias("key")), "key")
@@ -226,6 +226,7 @@ def contaminated(
             frame["buckets"] = [x for x in lists if len(x)]
             if len(met) > WINDOWS_HELD:
                 met.clear()
+            frame = frame.astype({"words": object, "buckets": object})  # also without rows
             return frame[["doc_id", "start", "size", "window", "words", "buckets"]]
 
         waiting: dict[int, list[tuple]] = {}

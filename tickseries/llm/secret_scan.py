@@ -79,13 +79,13 @@ def window_entropies(string: str, window: int) -> list[float]:
     counts: dict[str, int] = {}
     total, found = 0.0, []
     for at, into in enumerate(string):
-        c = counts.get(into, 0)
-        counts[into] = c + 1
-        total += c_log_c[c + 1] - c_log_c[c] if c < window else 0.0
         if at >= window:
             c = counts[out := string[at - window]]
             counts[out] = c - 1
             total += c_log_c[c - 1] - c_log_c[c]
+        c = counts.get(into, 0)
+        counts[into] = c + 1
+        total += c_log_c[c + 1] - c_log_c[c]
         if at >= window - 1:
             found.append(math.log2(window) - total / window)
     return found
