@@ -7,7 +7,8 @@ steps of an embedding for a bucket; repeated, with walks and steps drawn anew, i
 items that share a bucket are then verified by their exact edit distance.
 
 Each edit spoils one word and two pairs of neighbouring words at most, so a window in which more words or pairs stand in no item
-is not embedded; nothing within reach is lost by it. Equal windows are embedded where they occur and joined and verified once.
+of its length is not embedded; nothing within reach is lost by it. Equal windows are embedded once in a task and joined and
+verified once.
 """
 
 from __future__ import annotations
@@ -140,6 +141,23 @@ def pairs_of(words: np.ndarray) -> np.ndarray:
     return (_random(5, words[:-1], words[1:]) >> np.uint64(1)).astype(np.int64)
 
 
+def _of_size(tag: int, size, keys: np.ndarray) -> np.ndarray:
+    return (_random(tag, size, keys) >> np.uint64(1)).astype(np.int64)
+
+
+def known_by_size(sized: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which words, and which pairs of neighbours, stand in items of one size."""
+    return _holds(sized, _of_size(17, size, words)), _holds(sized, _of_size(19, size, pairs_of(words)))
+
+
+def narrowed(starts: np.ndarray, size: int, edit: int, known: np.ndarray, known_pairs: np.ndarray) -> np.ndarray:
+    """Those starts whose windows have no more unknown words and pairs than edits can spoil."""
+    words, pairs = (np.concatenate(([0], np.cumsum(~x))) for x in (known, known_pairs))
+    end = np.minimum(starts + size, len(known))
+    few = words[end] - words[starts] + size - (end - starts) <= edit
+    return starts[few & (pairs[np.maximum(end - 1, starts)] - pairs[starts] <= 2 * edit)]
+
+
 def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For each size the starts of the windows that may be within reach. A text shorter than an item is one window."""
     n = len(known)
@@ -200,9 +218,15 @@ def contaminated(
     def neighbours(words: pd.Series) -> pd.Series:
         return pd.Series([pairs_of(np.asarray(w)) for w in words], dtype=object)
 
+    @F.pandas_udf("array<long>")
+    def sized_keys(words: pd.Series) -> pd.Series:
+        own = [np.asarray(w) for w in words]
+        return pd.Series([np.concatenate([_of_size(17, len(w), w), _of_size(19, len(w), pairs_of(w))]) for w in own], dtype=object)
+
     vocabulary = _bitmap(items.select(F.explode("words").alias("key")), "key")
     pair_bits = _bitmap(items.select(F.explode(neighbours("words")).alias("key")), "key")
     bucket_bits = _bitmap(in_buckets, "bucket")
+    sized = _bitmap(items.select(F.explode(sized_keys("words")).alias("key")), "key")
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         met: dict[int, np.ndarray] = {}  # buckets that items have too, by window
@@ -237,6 +261,9 @@ def contaminated(
                     continue
                 known, known_pairs = _holds(vocabulary, words), _holds(pair_bits, pairs_of(words))
                 for size, starts in window_starts(known, known_pairs, sizes, edits):
+                    starts = narrowed(starts, size, int(allowed_edits(size, similarity)), *known_by_size(sized, words, size))
+                    if not len(starts):
+                        continue
                     places = starts[:, None] + np.arange(size)[None, :]
                     windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
                     waiting.setdefault(size, []).append((key, starts, windows))
