@@ -15,7 +15,7 @@ from tickseries.operators.stats import moving_average
 LAZY = [
     "align_join_minute", "align_with_close", "align_all_hours", "distinct_series", "drop_incomplete_rows", "duplicate_keys",
     "missing_buckets", "moving_average", "multi_asset_pivot", "null_profile", "ohlc_resample", "quality_report",
-    "return_correlation", "rolling_correlation", "simple_returns", "trend_regression", "union_all_series",
+    "return_correlation", "rolling_correlation", "rolling_stddev", "simple_returns", "trend_regression", "union_all_series",
 ]
 
 
@@ -30,6 +30,14 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
         assert node not in text
 
 
+SERIES = ["simple_returns", "moving_average", "rolling_stddev", "rolling_correlation", "lag_prediction"]
+
+
+@pytest.mark.parametrize("name", SERIES)
+def test_no_series_meets_in_one_task(spark, sf_dir, name):
+    assert "SinglePartition" not in plan(entry.queries()[name](spark, sf_dir))
+
+
 def events(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

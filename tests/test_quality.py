@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from tickseries.operators import quality
 from tickseries.operators.align import missing_buckets, pivot_assets
-from tickseries.operators.bars import most_buckets, resample
-from tickseries.operators.stats import correlation, fit_linear, trend
+from tickseries.operators.bars import resample
+from tickseries.operators.stats import correlation, fit_linear, predict_linear, trend
 
 NAN = float("nan")
 
@@ -28,7 +28,8 @@ def test_counts(gaps):
 
 def test_profile_and_listing(gaps):
     assert sorted(map(tuple, quality.null_profile(gaps).collect())) == [("k", 4, 1, 0), ("s", 4, 1, 0), ("v", 4, 1, 1)]
-    assert sorted(map(tuple, quality.schema_listing(gaps).collect())) == [
+    assert sorted(map(tuple, quality.schema_listing(gaps).collect())) == [("k", 1, "int", True), ("s", 3, "string", True), ("v", 2, "double", True)]
+    assert sorted(map(tuple, quality.schema_listing(gaps, count_values=True).collect())) == [
         ("k", 1, "int", True, 3),
         ("s", 3, "string", True, 3),
         ("v", 2, "double", True, 3),
@@ -68,8 +69,6 @@ def test_bars_and_rollup(spark):
     direct = resample(ticks, ["asset"], "ts", "hour", ["id"], **price)
     columns = ["asset", "bucket", "open", "high", "low", "close", "volume"]
     assert hour.select(columns).collect() == direct.select(columns).collect()
-    assert most_buckets(ticks, "ts", "minute") >= 2
-    assert most_buckets(ticks.limit(0), "ts", "minute") == 0
 
 
 def test_missing_and_pivot(spark):
@@ -90,5 +89,29 @@ def test_correlation_and_fits(spark):
         (1, 3.0, 1.0),
     }
     two = df.withColumn("z", F.sin("x")).withColumn("label", F.col("x") * 2 - F.col("z") + 4)
-    fitted = {r.feature: round(r.coefficient, 6) for r in fit_linear(two, "label", ["x", "z"]).collect()}
-    assert fitted == {"intercept": 4.0, "x": 2.0, "z": -1.0}
+    (whole,) = fit_linear(two, "label", ["x", "z"]).collect()
+    assert [round(v, 6) for v in whole] == [50, 4.0, 2.0, -1.0]
+
+
+def test_fits_and_predictions_per_group(spark):
+    df = spark.range(60).select(
+        (F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("x"), F.when(F.col("id") > 5, F.sin("id")).alias("z")
+    )
+    df = df.withColumn("label", F.col("g") + F.col("x") * 2 - F.col("z") * F.col("g"))
+    fitted = fit_linear(df, "label", ["x", "z"], ["g"])
+    got = {r.g: [r.n_rows, *[round(v, 6) + 0.0 for v in r[2:]]] for r in fitted.collect()}
+    assert got == {g: [18, float(g), 2.0, 0.0 - g] for g in range(3)}
+    rows = predict_linear(df, fitted, ["x", "z"], ["g"]).collect()
+    assert len(rows) == 60
+    assert all((r.predicted is None) == (r.z is None) and (r.z is None or abs(r.predicted - r.label) < 1e-9) for r in rows)
+    one = fit_linear(df.withColumn("z", F.lit(1.0)), "label", ["x", "z"], ["g"])
+    assert all(r.intercept is None and r.coef_x is None for r in one.collect())
+
+
+def test_contract(spark):
+    rows = [(1, 1.0, "2020-01-01"), (2, None, "2020-01-01"), (2, 2.0, "2200-01-01"), (None, 3.0, "2020-01-01")]
+    df = spark.createDataFrame(rows, "k int, v double, t string").withColumn("ts", F.to_timestamp("t"))
+    got = quality.check_contract(df, "x", ["k", "v"], ["k"], "ts").first()
+    assert tuple(got) == ("x", 4, 2, 1, 1, False)
+    assert tuple(quality.check_contract(df.where("k = 1"), "x", ["k", "v"], ["k"], "ts").first()) == ("x", 1, 0, 0, 0, True)
+    assert tuple(quality.check_contract(df.limit(0), "x", ["k"], ["k"]).first()) == ("x", 0, 0, 0, 0, True)

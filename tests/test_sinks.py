@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tickseries.sinks.parquet import append_new, write_parquet
+from tickseries.sinks.parquet import append_new, compact_years, merge_latest, write_parquet
 from tickseries.sources.parquet import between, read_parquet
 
 HOURS = "timestamp_seconds(1703980800 + 3600 * id) AS ts"  # from 2023-12-31, across a new year
@@ -85,3 +85,36 @@ def test_one_hot_year_is_spread_over_files(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(spark.read.parquet(path).inputFiles()) == 4
     assert spark.read.parquet(path).count() == 20_000
+
+
+def test_rows_without_a_key_are_set_aside(spark, rows, tmp_path):
+    path, aside = str(tmp_path / "t"), str(tmp_path / "bad")
+    odd = rows.withColumn("id", F.when(F.col("id") < 5, None).otherwise(F.col("id")))
+    append_new(odd, path, ["id"], "ts", bad_rows=aside)
+    assert ids(spark, path) == list(range(5, 100))
+    assert spark.read.parquet(aside).count() == 5
+
+
+def test_merging_in_any_order_equals_one_load(spark, rows, tmp_path):
+    keyed = rows.withColumn("year", F.year("ts")).withColumn("k", F.floor(F.col("id") / 2))
+    want = sorted((r.k, r.id) for r in merge_latest(keyed, str(tmp_path / "all"), ["k", "year"], "ts")[0].collect())
+    for name, order in {"up": (0, 1, 2), "down": (2, 1, 0)}.items():
+        for i in order:
+            table, years = merge_latest(keyed.where(F.col("id") % 3 == i), str(tmp_path / name), ["k", "year"], "ts")
+            assert years == [2023, 2024]
+        assert sorted((r.k, r.id) for r in table.collect()) == want
+    before = table.inputFiles()
+    again, years = merge_latest(keyed.limit(0), str(tmp_path / "up"), ["k", "year"], "ts")
+    assert years == [] and again.count() == len(want) and table.inputFiles() == before
+
+
+def test_only_touched_years_are_written_anew(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for low in range(0, 100, 10):
+        append_new(rows.where(f"id >= {low} AND id < {low + 10}"), path, ["id"], "ts")
+    table = spark.read.parquet(path)
+    files = lambda year: {f for f in spark.read.parquet(path).inputFiles() if f"year={year}" in f}
+    old, other = files(2024), files(2023)
+    assert compact_years(spark, path, table.schema, [2024], ["ts", "id"]).count() == 100
+    assert len(files(2024)) < len(old) and files(2023) == other
+    assert ids(spark, path) == list(range(100))

@@ -71,11 +71,25 @@ def test_names(spark, tmp_path):
         ("2017-08-17 04:00:00", "string", "2017-08-17 04:00:00"),
         ("2017-08-17 04:00:00", "timestamp", "2017-08-17 04:00:00"),
         ("abc", "string", None),
-        ("abc", "any", None),
-        ("1502942400", "any", "2017-08-17 04:00:00"),
-        ("1502942459999", "any", "2017-08-17 04:00:59.999"),
-        ("2017-08-17 04:00:00", "any", "2017-08-17 04:00:00"),
-        (None, "any", None),
+        ("abc", "string_or_ms", None),
+        ("1502942459999", "string_or_ms", "2017-08-17 04:00:59.999"),
+        ("2017-08-17 04:00:00", "string_or_ms", "2017-08-17 04:00:00"),
+        ("2018/01/01 00:01:00", "string_or_ms", None),
+        (None, "string_or_ms", None),
+        ("abc", "timestamp", None),
+        ("abc", "epoch_s", None),
+        ("abc", "epoch_ms", None),
+        ("1502942400", "epoch_s", "2017-08-17 04:00:00"),
+        ("1502942400.5", "epoch_s", "2017-08-17 04:00:00.5"),
+        (1735689600000000, "epoch_us", "2025-01-01 00:00:00"),
+        (1735689600000000123, "epoch_ns", "2025-01-01 00:00:00"),
+        (86400000, "epoch_ms", "1970-01-02 00:00:00"),
+        (-1, "epoch_s", "1969-12-31 23:59:59"),
+        (-1, "epoch_ns", "1969-12-31 23:59:59.999999"),
+        (1735689600000000, "epoch_s", None),
+        (9223372036854775807, "epoch_ms", None),
+        (-9223372036854775808, "epoch_s", None),
+        ("1" + "0" * 40, "epoch_s", None),
     ],
 )
 def test_event_time(spark, value, ts_format, want):

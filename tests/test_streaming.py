@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tests.frames import write_feeds
+from tests.frames import A_HEADER, A_ROWS, B_HEADER, write_feeds, write_lines
 from tickseries.feeds import BTC, ETH
 from tickseries.operators.bars import resample
 from tickseries.streaming import feeds as streaming
@@ -61,3 +61,31 @@ def test_append_lands_each_key_once(spark, tmp_path):
         # A new checkpoint reads all files again.
         streaming.append_available(stream_of(spark, source), out, str(tmp_path / f"c{i}"), ["id"], "ts")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(90))
+
+
+def test_a_null_key_does_not_end_the_stream(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = ticks(spark, 0, 30)
+    rows.withColumn("id", F.when(F.col("id") == 7, None).otherwise(F.col("id"))).write.parquet(source)
+    streaming.append_available(stream_of(spark, source), out, str(tmp_path / "c"), ["id"], "ts")
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [i for i in range(30) if i != 7]
+    assert spark.read.parquet(f"{out}_bad_rows").count() == 1
+
+
+def test_what_a_feed_stream_cannot_use_is_kept(spark, tmp_path):
+    write_lines(tmp_path / "btc_data", "x.csv", A_HEADER, [*A_ROWS, "abc,1,1,1,1,1,1,1"])
+    write_lines(tmp_path / "eth_data", "x.csv", B_HEADER, ["garbage,1,1,1,1,1,1,1,1,1,1,1"])
+    a, b = (streaming.run_available(streaming.bad_feed_rows(spark, f, str(tmp_path)), f.name) for f in (BTC, ETH))
+    assert sorted((r.asset, r.reason) for r in a.collect()) == [("btc", "bad_line")] + [("btc", "incomplete")] * 2
+    assert [r.line for r in a.where("reason = 'bad_line'").collect()] == ["abc,1,1,1,1,1,1,1"]
+    assert [(r.reason, "garbage" in r.line) for r in b.collect()] == [("bad_time", True)]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "c"))
+    late = 0
+    for low, high in ((300, 400), (0, 10)):
+        ticks(spark, low, high).write.mode("append").parquet(source)
+        bars = streaming.tumbling_bars(stream_of(spark, source), ["asset"], "ts", "1 minute", **PRICE)
+        late += streaming.late_rows(streaming.write_available(bars, out, checkpoint))
+    assert late > 0

@@ -76,17 +76,23 @@ def test_full_frames_only(ticks):
 def test_no_group_columns_and_nulls_first(spark):
     rows = [(None, 0.0), *[(i, float(i * i % 17)) for i in range(200)]]
     df = spark.createDataFrame(rows, "t int, a double").withColumn("b", F.col("a") * 2 + F.col("t"))
-    plain = rolling_correlation(df, [], ["t"], "a", "b", 12)
+    plain = rolling_correlation(df.withColumn("g", F.lit(1)), ["g"], ["t"], "a", "b", 12)
     split = rolling_correlation(df, [], ["t"], "a", "b", 12, rows_per_task=25)
     key = lambda r: (str(r.t), None if r.rolling_corr is None else round(r.rolling_corr, 9))
     assert sorted(map(key, plain.collect())) == sorted(map(key, split.collect()))
+    with pytest.raises(ValueError, match="rows_per_task"):
+        rolling_correlation(df, [], ["t"], "a", "b", 12)
+    assert rolling_correlation(df.limit(0), [], ["t"], "a", "b", 12, rows_per_task=25).count() == 0
 
 
 def test_frame_longer_than_a_chunk_reaches_several(spark):
-    df = spark.createDataFrame([("a", i, c) for i, c in enumerate([0, 0, 1, 1, 1, 2, 2, 3])], "asset string, t int, _chunk int")
-    assert _chunks_to_reach(df, ["asset"], 1) == 1
-    assert _chunks_to_reach(df, ["asset"], 3) == 2
-    assert _chunks_to_reach(df.where("_chunk = 0"), ["asset"], 3) == 1
+    chunks = {"a": [0, 0, 1, 1, 1, 2, 2, 3], "b": [3, 4], "c": [0]}
+    rows = [(g, i, c) for g, cs in chunks.items() for i, c in enumerate(cs)]
+    df = spark.createDataFrame(rows, "asset string, t int, _chunk int")
+    reach = lambda n: {r["_asset"]: r["_reach"] for r in _chunks_to_reach(df, ["asset"], n).collect()}
+    assert reach(1) == {"a": 1, "b": 1, "c": 1}
+    assert reach(3) == {"a": 2, "b": 1, "c": 1}
+    assert _chunks_to_reach(df.where("asset = 'a'"), [], 3).first()["_reach"] == 2
 
 
 def test_chunks_split_the_hot_asset(spark, ticks):
@@ -98,7 +104,16 @@ def test_chunks_split_the_hot_asset(spark, ticks):
     assert per_task.first()[0] < 200
 
 
-def test_proven_bound_skips_the_count(spark):
-    df = spark.range(10).select(F.col("id").alias("t"), (F.col("id") * 1.0).alias("v"))
-    out = ordered_window(df, [], ["t"], 1, {"prev": lambda w: F.lag("v").over(w)}, longest=10)
+def test_the_caller_picks_the_plan(spark, ticks):
+    """The same call has the same plan whatever the data: lazy without chunks, stored chunks with them."""
+    _, df = ticks
+    for rows in (df, df.limit(0)):
+        plain = moving_average(rows, ["asset"], ["t", "id"], "price", 3)._jdf.queryExecution().toString()
+        split = moving_average(rows, ["asset"], ["t", "id"], "price", 3, rows_per_task=10_000)._jdf.queryExecution().toString()
+        assert "_chunk" not in plain and "_chunk" in split
+
+
+def test_any_column_over_a_window(spark):
+    df = spark.range(10).select(F.col("id").alias("t"), (F.col("id") * 1.0).alias("v"), F.lit("a").alias("g"))
+    out = ordered_window(df, ["g"], ["t"], 1, {"prev": lambda w: F.lag("v").over(w)})
     assert [r.prev for r in out.orderBy("t").collect()] == [None, *[float(i) for i in range(9)]]

@@ -1,12 +1,13 @@
-"""Run the batch job: python -m tickseries --input-root data --output-root out [--parity | --append]"""
+"""Run the batch job: python -m tickseries --input-root data --output-root out [--feeds feeds.json] [--parity | --append]"""
 
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
-from tickseries.feeds import BTC, ETH
+from tickseries.feeds import BTC, ETH, feeds_from_json
 from tickseries.operators.quality import assert_quality
-from tickseries.plans.daily import report, run_feeds, run_increment
+from tickseries.plans.daily import COMBINED, report, run_feeds, run_increment
 from tickseries.session import build_session
 
 
@@ -14,16 +15,21 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="tickseries")
     parser.add_argument("--input-root", required=True, help="folder or URI that holds the feed folders")
     parser.add_argument("--output-root", required=True, help="folder or URI for the tables")
+    parser.add_argument("--feeds", help="JSON file with the feeds: folders, fields, table names; default: btc and eth")
+    parser.add_argument("--combined", default=COMBINED, help="name of the combined table")
     parser.add_argument("--parity", action="store_true", help="write the plain tables without close and partitions")
-    parser.add_argument("--append", action="store_true", help="add the minutes of a new drop to existing tables")
+    parser.add_argument("--append", action="store_true", help="add a new drop of raw files to existing tables")
+    parser.add_argument("--drop", help="name of the drop; default: the last part of the input root")
     args = parser.parse_args()
     if args.append and args.parity:
         parser.error("--append works on the tables of the default mode")
-    spark, feeds = build_session(), [BTC, ETH]
+    feeds = feeds_from_json(Path(args.feeds).read_text()) if args.feeds else [BTC, ETH]
+    spark = build_session()
     if args.append:
-        result = report(feeds, run_increment(spark, feeds, args.input_root, args.output_root))
+        tables = run_increment(spark, feeds, args.input_root, args.output_root, args.drop, args.combined)
     else:
-        result = report(feeds, run_feeds(spark, feeds, args.input_root, args.output_root, args.parity))
+        tables = run_feeds(spark, feeds, args.input_root, args.output_root, args.parity, args.combined)
+    result = report(feeds, tables, args.combined, increment=args.append)
     result.show(truncate=False)
     assert_quality(result)
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -22,6 +23,7 @@ class FeedSpec:
     ts_format        see functions.times.event_time
     measures         common field -> staging column
     drop_incomplete  drop rows with any missing value before anything else
+    staging_table, series_table  names of its tables; by default staging_<name> and <name>_timeseries
     """
 
     name: str
@@ -32,6 +34,16 @@ class FeedSpec:
     ts_column: str = "timestamp"
     ts_format: str = "epoch_s"
     drop_incomplete: bool = False
+    staging_table: str = ""
+    series_table: str = ""
+
+    @property
+    def staging_name(self) -> str:
+        return self.staging_table or f"staging_{self.name}"
+
+    @property
+    def series_name(self) -> str:
+        return self.series_table or f"{self.name}_timeseries"
 
 
 def _schema(**types) -> StructType:
@@ -79,6 +91,25 @@ ETH = FeedSpec(
         ignore=DoubleType(),
     ),
     ts_column="timestamp",
-    ts_format="any",
+    ts_format="string_or_ms",
     measures={name: name for name in MEASURES},
 )
+
+
+def feeds_from_json(text: str) -> list[FeedSpec]:
+    """Feeds from a JSON list of objects with the fields of FeedSpec; `schema` is a DDL string.
+
+    `{"like": "btc"}` or `{"like": "eth"}` starts from that feed, so that only what differs is given.
+    """
+    known, names = {"btc": BTC, "eth": ETH}, {f.name for f in fields(FeedSpec)}
+    specs = []
+    for entry in json.loads(text):
+        base = known[entry.pop("like")].__dict__ if "like" in entry else {}
+        if unknown := set(entry) - names:
+            raise ValueError(f"a feed has no fields {sorted(unknown)}")
+        if isinstance(entry.get("schema"), str):
+            entry["schema"] = StructType.fromDDL(entry["schema"])
+        specs.append(FeedSpec(**{**base, **entry}))
+    if len({s.name for s in specs}) < len(specs):
+        raise ValueError("feeds need different names")
+    return specs

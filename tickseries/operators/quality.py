@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from tickseries.functions.missing import is_float, is_missing
 from tickseries.sources.csv import union_by_name
 
 
+LIKELY_YEARS = (2009, 2100)
+
+
 class DataQualityError(Exception):
     pass
 
@@ -63,16 +68,20 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def schema_listing(df: DataFrame) -> DataFrame:
-    """Per column: position, type, whether the schema allows null, and the values it holds."""
-    position = {f.name: i for i, f in enumerate(df.schema.fields, start=1)}
-    return _per_column(
-        df,
-        position=lambda f: F.lit(position[f.name]),
-        data_type=lambda f: F.lit(f.dataType.simpleString()),
-        nullable=lambda f: F.lit(f.nullable),
-        n_values=lambda f: F.count(F.col(f"`{f.name}`")),
-    )
+def schema_listing(df: DataFrame, count_values: bool = False) -> DataFrame:
+    """Per column: position, type, whether the schema allows null; with `count_values`, which scans the columns, the values it holds."""
+    fields = list(enumerate(df.schema.fields, start=1))
+    if count_values:
+        position = {f.name: i for i, f in fields}
+        return _per_column(
+            df,
+            position=lambda f: F.lit(position[f.name]),
+            data_type=lambda f: F.lit(f.dataType.simpleString()),
+            nullable=lambda f: F.lit(f.nullable),
+            n_values=lambda f: F.count(F.col(f"`{f.name}`")),
+        )
+    rows = [(f.name, i, f.dataType.simpleString(), f.nullable) for i, f in fields]
+    return df.sparkSession.createDataFrame(rows, "column string, position int, data_type string, nullable boolean")
 
 
 def check_table(df: DataFrame, table: str, key: str) -> DataFrame:
@@ -94,6 +103,27 @@ def quality_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return union_by_name(check_table(df, name, key) for name, (df, key) in tables.items())
 
 
+def check_contract(df: DataFrame, table: str, required: Sequence[str], keys: Sequence[str], ts: str | None = None) -> DataFrame:
+    """The documented contract of a table: no required field is missing, keys are unique, years are likely.
+
+    Rows are first counted per key, with a partial count in each task, and the counts are then added up: one scan and one shuffle
+    of keys. `n_duplicates` counts the rows beyond the first of each key.
+    """
+    missing = reduce(add, (is_missing(df.schema[c]).cast("long") for c in required), F.lit(0).cast("long"))
+    odd = ~F.year(ts).between(*LIKELY_YEARS) if ts else F.lit(False)
+    per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(missing).alias("missing"), F.count_if(odd).alias("odd")
+    )
+    sums = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("missing"), F.lit(0)).alias("n_missing_fields"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"),
+        F.coalesce(F.sum("odd"), F.lit(0)).alias("n_odd_years"),
+    )
+    good = (F.col("n_missing_fields") == 0) & (F.col("n_duplicates") == 0) & (F.col("n_odd_years") == 0)
+    return sums.select(F.lit(table).alias("table"), "*", good.alias("passed"))
+
+
 def assert_quality(report: DataFrame) -> None:
     """Raise when a check failed. The report has one row per table."""
     failed = [r.asDict() for r in report.where(~F.col("passed")).collect()]
@@ -101,9 +131,9 @@ def assert_quality(report: DataFrame) -> None:
         raise DataQualityError(f"quality checks failed: {failed}")
 
 
-def year_out_of_range_count(df: DataFrame, ts: str, first: int = 2009, last: int = 2100) -> DataFrame:
-    """Rows with an unlikely year. Milliseconds that were read as seconds give the year 49596, without any error."""
-    return df.agg(F.count_if(~F.year(ts).between(first, last)).alias("n_out_of_range"))
+def year_out_of_range_count(df: DataFrame, ts: str, first: int = LIKELY_YEARS[0], last: int = LIKELY_YEARS[1]) -> DataFrame:
+    """Rows with an unlikely year, or with a time that could not be read: milliseconds read as seconds lie beyond the year 9999."""
+    return df.agg(F.count_if(F.coalesce(~F.year(ts).between(first, last), F.lit(True))).alias("n_out_of_range"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -48,7 +48,7 @@ def build_series(staged: DataFrame, feed: FeedSpec, parity: bool = False) -> Dat
 
     Default mode has the close, a real timestamp, and exactly one row per minute: the latest event of that
     minute, the greatest values on a tie. The number of rows of an asset is then bounded by its minutes.
-    Rows whose time cannot be read belong to no minute; they stay in staging, where the quality report counts them.
+    Rows whose time cannot be read belong to no minute; they stay in staging, and the report of the job counts them and fails.
     """
     if feed.drop_incomplete:
         staged = drop_incomplete(staged)

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, and_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,16 +88,40 @@ def lag_features(df, by: Sequence[str], order_by: Sequence[str], column: str, la
     return ordered_window(df, by, order_by, lags, {f"lag_{k}": make(k) for k in range(1, lags + 1)}, **size)
 
 
-def fit_linear(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Linear regression on the rows where label and features are present: (feature, coefficient).
+def fit_linear(df: DataFrame, label: str, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Least squares of the label on the features, per group: the `by` columns, n_rows, intercept and `coef_<feature>`.
 
-    The normal-equation solver of Spark MLlib sums one small matrix per task. Runs the fit when called.
+    Rows with a missing label or feature are left out. One aggregation with partial sums gives the means and covariances; each
+    group then solves one small system. Coefficients are null where a group's features determine none.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    rows = df.select(label, *features).na.drop()
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
-    model = LinearRegression(featuresCol="features", labelCol=label, solver="normal").fit(assembled)
-    fitted = [("intercept", float(model.intercept)), *zip(features, map(float, model.coefficients))]
-    return df.sparkSession.createDataFrame(fitted, "feature string, coefficient double")
+    names = [label, *features]
+    rows = df.where(reduce(and_, (F.col(c).isNotNull() for c in names)))
+    means = F.array(*[F.avg(c) for c in names])
+    pairs = F.array(*[F.covar_pop(a, b) for a in names for b in names])
+    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), means.alias("_means"), pairs.alias("_pairs"))
+
+    @F.pandas_udf("array<double>")
+    def solve(means: pd.Series, pairs: pd.Series) -> pd.Series:
+        return pd.Series([_solve(np.array(m, float), np.array(p, float)) for m, p in zip(means, pairs)], dtype=object)
+
+    fitted = sums.withColumn("_c", solve("_means", "_pairs"))
+    coefficients = [F.col("_c")[i + 1].alias(f"coef_{f}") for i, f in enumerate(features)]
+    return fitted.select(*by, "n_rows", F.col("_c")[0].alias("intercept"), *coefficients)
+
+
+def _solve(means: np.ndarray, pairs: np.ndarray) -> list[float | None]:
+    """[intercept, coefficients] from the means and covariances of label and features."""
+    k = len(means)
+    square = pairs.reshape(k, k)
+    if not np.isfinite(square).all() or np.linalg.matrix_rank(square[1:, 1:]) < k - 1:
+        return [None] * k
+    b = np.linalg.solve(square[1:, 1:], square[1:, 0])
+    return [float(means[0] - b @ means[1:]), *map(float, b)]
+
+
+def predict_linear(df: DataFrame, fitted: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Adds `predicted` by the coefficients of the row's group; null where a feature or the fit is missing."""
+    value = reduce(add, (F.col(f"coef_{f}") * F.col(f) for f in features), F.col("intercept"))
+    coefficients = fitted.select(*by, "intercept", *[f"coef_{f}" for f in features])
+    joined = df.join(coefficients, list(by), "left")
+    return joined.withColumn("predicted", value).drop("intercept", *[f"coef_{f}" for f in features])

@@ -1,8 +1,8 @@
 """Row windows over ordered series of any length.
 
-A plain `Window.partitionBy(asset)` puts one asset's whole history into one task. When an asset has
-more rows than a task should hold, its history is cut into consecutive chunks by range
-partitioning, and the rows before each chunk that a frame can reach are carried into it.
+A plain `Window.partitionBy(asset)` puts one asset's whole history into one task. The chunked form cuts histories into consecutive
+chunks by range partitioning, and the rows before each chunk that a frame can reach are carried into it. The
+caller picks the form; the data never does.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from tickseries.session import materialize
 
+# A size of chunk that a task holds easily. Beyond tens of thousands of chunks, raise it: a shuffle has a block for each
+# map task and chunk.
 ROWS_PER_TASK = 2_000_000
 
-# A shuffle has (map tasks x chunks) blocks. Beyond this many chunks they grow instead; a window sort spills.
-MAX_CHUNKS = 20_000
-
 _CHUNK = "_chunk"
 _CARRIED = "_carried"
 _FROM_END = "_from_end"
+_REACH = "_reach"
 
 # `monotonically_increasing_id` holds the row's position within its partition in the lower 33 bits.
 _ROW_IN_PARTITION = (1 << 33) - 1
@@ -34,8 +34,7 @@ def ordered_window(
     order_by: Sequence[str],
     preceding: int,
     columns: Mapping[str, Callable[[WindowSpec], Column]],
-    rows_per_task: int = ROWS_PER_TASK,
-    longest: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Add window columns that look back at most `preceding` rows within each `by` group.
 
@@ -43,26 +42,22 @@ def ordered_window(
     example `lambda w: F.avg("price").over(w.rowsBetween(-4, 0))`. It must not look further back than
     `preceding` rows, nor forward. `order_by` must order each group totally, so that results are defined.
 
-    `longest` is a proven bound on the rows per group. Without it the rows are counted, which reads the
-    `by` columns once. Groups within `rows_per_task` use a plain window; else the chunked form runs,
-    with the same result. It writes one table to the working folder.
+    Without `rows_per_task` a group is sorted in one task: right for groups that a task can hold, lazy. With it the rows are
+    cut into chunks of about that size, with the same result: a count, and one table in the working folder, which stays
+    as long as the result may be read (the owner of spark.checkpoint.dir removes it with the job's other work). One series
+    without groups needs it.
     """
-    if longest is None:
-        longest = _longest_group(df, by)
-    if longest <= rows_per_task:
-        w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order_by)
+    if rows_per_task is None:
+        if not by:
+            raise ValueError("one series without groups would be sorted in one task: give rows_per_task")
+        w = Window.partitionBy(*by).orderBy(*order_by)
         return df.withColumns({name: make(w) for name, make in columns.items()})
     return _chunked_window(df, by, order_by, preceding, columns, rows_per_task)
 
 
-def _longest_group(df: DataFrame, by: Sequence[str]) -> int:
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
 def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> DataFrame:
     keys = [*by, *order_by]
-    n_chunks = min(max(2, math.ceil(df.count() / rows_per_task)), MAX_CHUNKS)
+    n_chunks = max(2, math.ceil(df.count() / rows_per_task))
     # The sort key is unique, so range partitioning can cut any group and any instant. The chunk numbers
     # must be stored: planning the range exchange again could choose other bounds. Rows are stored last
     # first, so the end of each chunk is a condition on one column that skips all row groups but the first.
@@ -75,11 +70,14 @@ def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> Data
     )
     rows = materialize(ranged, "chunks")
 
-    reach = _chunks_to_reach(rows, by, preceding)
     # A group goes on into the next chunk only if it is the last of its chunk, so the last rows are those that matter.
-    carried = rows.where(F.col(_FROM_END) < preceding).withColumn(
-        _CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + reach))
-    )
+    last = rows.where(F.col(_FROM_END) < preceding)
+    reach = _chunks_to_reach(rows, by, preceding)
+    if by:
+        last = last.join(reach, [last[c].eqNullSafe(reach[f"_{c}"]) for c in by]).drop(*[f"_{c}" for c in by])
+    else:
+        last = last.withColumn(_REACH, F.lit(reach.first()[_REACH]))
+    carried = last.withColumn(_CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + F.col(_REACH)))).drop(_REACH)
     both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(carried.withColumn(_CARRIED, F.lit(True)))
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order_by)
     return (
@@ -89,19 +87,18 @@ def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> Data
     )
 
 
-def _chunks_to_reach(rows: DataFrame, by: Sequence[str], preceding: int) -> int:
-    """How many chunks on a row can matter.
+def _chunks_to_reach(rows: DataFrame, by: Sequence[str], preceding: int) -> DataFrame:
+    """Per group, on how many chunks a row can matter.
 
     Chunks are consecutive, so between two chunks of a group lie only chunks full of that group. If the
     smallest of these inner chunks has q rows, the `preceding` rows before a chunk lie in the
     ceil(preceding / q) chunks before it. Counts per chunk are small: one row per chunk and group.
     """
-    per_chunk = rows.groupBy(*by, _CHUNK).agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    inner = (
-        per_chunk.withColumns({"first": F.min(_CHUNK).over(group), "last": F.max(_CHUNK).over(group)})
-        .where((F.col(_CHUNK) > F.col("first")) & (F.col(_CHUNK) < F.col("last")))
-        .agg(F.min("n"))
-    )
-    smallest = inner.first()[0]
-    return 1 if smallest is None else max(1, math.ceil(preceding / smallest))
+    per_chunk = rows.groupBy(*by, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    ends = F.struct(F.min(_CHUNK).alias("first"), F.max(_CHUNK).alias("last"))
+    chunks = F.collect_list(F.struct(F.col(_CHUNK).alias("c"), F.col("_n").alias("n")))
+    grouped = per_chunk.groupBy(*by).agg(ends.alias("_ends"), chunks.alias("_chunks"))
+    inner = F.filter("_chunks", lambda x: (x["c"] > F.col("_ends")["first"]) & (x["c"] < F.col("_ends")["last"]))
+    smallest = F.array_min(F.transform(inner, lambda x: x["n"]))
+    reach = F.greatest(F.lit(1), F.coalesce(F.ceil(F.lit(preceding) / smallest), F.lit(1))).cast("int")
+    return grouped.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in by], reach.alias(_REACH))

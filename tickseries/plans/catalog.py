@@ -16,7 +16,8 @@ from tickseries.feeds import BTC, ETH
 from tickseries.functions.times import CALENDAR, event_time, time_bucket, with_calendar
 from tickseries.operators import align, bars, conform, quality, series, stats
 from tickseries.plans import daily
-from tickseries.session import use_utc, work_dir
+from tickseries.operators.windows import ROWS_PER_TASK
+from tickseries.session import materialize, use_utc, work_dir
 from tickseries.sinks.parquet import append_new, write_parquet
 from tickseries.sources.csv import read_csv, read_csv_union, split_bad_rows, union_by_name
 from tickseries.sources.parquet import between, read_parquet
@@ -56,7 +57,7 @@ def gappy_price() -> Column:
 
 
 def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"]).withColumn("v", gappy_price())
+    return table(spark, sf_dir, "events").withColumn("v", gappy_price())
 
 
 def asset_minutes(spark: SparkSession, sf_dir: str, asset: str, prefix: str) -> DataFrame:
@@ -85,10 +86,6 @@ def hourly_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_bars(price_bars(spark, sf_dir, "hour", A, B), [A, B], ["close"])
 
 
-def hours(spark: SparkSession, sf_dir: str) -> int:
-    return bars.most_buckets(ticks(spark, sf_dir), "ts", "hour")
-
-
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -107,22 +104,27 @@ def csv_bad_rows(spark, sf_dir):
     """Prices of the 'error' asset are written as text, so these lines do not fit the schema."""
     path = work_dir(spark, "csv_bad_rows")
     price = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
-    events = table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
-    events.select("event_id", "event_type", price.alias("value")).write.options(header=True).csv(path)
-    schema = StructType([EVENT_SCHEMA[c] for c in ("event_id", "event_type", "value")])
-    good, bad = split_bad_rows(read_csv(spark, path, schema))
-    return union_by_name([good.withColumn("is_bad", F.lit(False)), bad.withColumn("is_bad", F.lit(True))]).select(
-        "event_id", "event_type", "value", "is_bad", F.col("_bad_row").alias("bad_row")
-    )
+    events = table(spark, sf_dir, "events").withColumn("value", price)
+    events.write.options(header=True, escape='"', **MICROSECONDS).csv(path)
+    good, bad = split_bad_rows(read_csv(spark, path, EVENT_SCHEMA, escape='"', **MICROSECONDS))
+    both = union_by_name([good.withColumn("is_bad", F.lit(False)), bad.withColumn("is_bad", F.lit(True))])
+    return both.withColumnRenamed("_bad_row", "bad_row")
 
 
 def csv_multi_file_union(spark, sf_dir):
-    """Two folders whose headers differ in order, and one lacks `value`."""
+    """A folder per asset; their headers differ in order, and two lack `value`."""
     home = work_dir(spark, "csv_union")
     events = table(spark, sf_dir, "events")
-    for name, columns in {A: ["event_id", "event_type", "value"], B: ["event_type", "event_id"]}.items():
+    headers = {
+        "click": ["event_id", "event_type", "value"],
+        "error": ["value", "event_id", "event_type"],
+        "purchase": ["event_type", "value", "event_id"],
+        "signup": ["event_id", "event_type"],
+        "view": ["event_type", "event_id"],
+    }
+    for name, columns in headers.items():
         events.where(F.col("event_type") == name).select(*columns).write.options(header=True).csv(f"{home}/{name}")
-    union = read_csv_union(spark, [f"{home}/{A}", f"{home}/{B}"], EVENT_SCHEMA)
+    union = read_csv_union(spark, [f"{home}/{name}" for name in headers], EVENT_SCHEMA)
     return split_bad_rows(union)[0]
 
 
@@ -166,7 +168,7 @@ def preview_topk(spark, sf_dir):
 
 
 def schema_listing(spark, sf_dir):
-    return quality.schema_listing(table(spark, sf_dir, "events"))
+    return quality.schema_listing(table(spark, sf_dir, "events"), count_values=True)
 
 
 # Projections and cleaning
@@ -179,8 +181,9 @@ def rename_columns(spark, sf_dir):
 
 def conform_columns(spark, sf_dir):
     feed = replace(BTC, name="a", measures={m: "value" for m in BTC.measures})
-    rows = table(spark, sf_dir, "events").where(F.col("event_type") == A)
-    return rows.select(F.col("ts").alias("timestamp"), *conform.measure_columns(feed, series.PARITY_MEASURES))
+    rows = table(spark, sf_dir, "events")
+    measures = conform.measure_columns(feed, series.PARITY_MEASURES)
+    return rows.select(F.col("event_type").alias("asset"), F.col("ts").alias("timestamp"), *measures)
 
 
 def calendar_parts(spark, sf_dir):
@@ -188,23 +191,35 @@ def calendar_parts(spark, sf_dir):
 
 
 def epoch_to_timestamp(spark, sf_dir):
+    """Every unit and form, with numbers before 1970, fractions, text that is no time, and numbers beyond the year 9999."""
     rows = table(spark, sf_dir, "events", ["event_id", "ts"])
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     raw = rows.select(
         "event_id",
         F.floor(micros / 1_000_000).cast("bigint").alias("s"),
         F.floor(micros / 1_000).cast("bigint").alias("ms"),
+        micros.alias("us"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("text"),
+        F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("slashed"),
     )
-    return raw.select(
-        "event_id",
-        event_time("s", "epoch_s").alias("from_s"),
-        event_time("ms", "epoch_ms").alias("from_ms"),
-        event_time("text", "string").alias("from_text"),
-        event_time("s", "any").alias("any_s"),
-        event_time("ms", "any").alias("any_ms"),
-        event_time("text", "any").alias("any_text"),
-    )
+    forms = {
+        "from_s": ("s", "epoch_s"),
+        "from_ms": ("ms", "epoch_ms"),
+        "from_us": ("us", "epoch_us"),
+        "from_ns": (F.col("us") * 1_000, "epoch_ns"),
+        "from_text": ("text", "string"),
+        "mixed_ms": (F.col("ms").cast("string"), "string_or_ms"),
+        "mixed_text": ("text", "string_or_ms"),
+        "negative": (-F.col("s"), "epoch_s"),
+        "fraction": (F.concat(F.col("s").cast("string"), F.lit(".5")), "epoch_s"),
+        "no_number": (F.concat(F.lit("x"), F.col("s").cast("string")), "epoch_s"),
+        "no_time": (F.concat(F.lit("x"), F.col("text")), "timestamp"),
+        "slashes": ("slashed", "string_or_ms"),
+        "too_large": ("us", "epoch_s"),
+        "overflow": (F.concat(F.col("us").cast("string"), F.lit("000000000000000000")), "epoch_ms"),
+    }
+    columns = [event_time(F.col(c) if isinstance(c, str) else c, form).alias(name) for name, (c, form) in forms.items()]
+    return raw.select("event_id", *columns)
 
 
 def drop_incomplete_rows(spark, sf_dir):
@@ -215,7 +230,9 @@ def drop_incomplete_rows(spark, sf_dir):
 
 
 def distinct_series(spark, sf_dir):
-    return in_calendar_order(asset_minutes(spark, sf_dir, A, "a"))
+    """The distinct (minute, price) rows of every asset."""
+    rows = ticks(spark, sf_dir).select(time_bucket("ts", "minute").alias("timestamp"), "asset", F.col("price").alias("open"))
+    return in_calendar_order(rows.distinct())
 
 
 def both_minutes(spark, sf_dir) -> list[DataFrame]:
@@ -223,12 +240,17 @@ def both_minutes(spark, sf_dir) -> list[DataFrame]:
 
 
 def align_join_minute(spark, sf_dir):
-    """In UTC the minute is one key with the meaning of the five calendar columns, which are split off afterwards.
+    """The join of two series that have one row per minute, so it has at most one row per minute.
 
-    An inner join: a minute with several prices of both assets has all their combinations, by definition.
-    `align_fan_out` tells how many; `align_latest_minute` has one row per minute.
+    In UTC the minute is one key with the meaning of the five calendar columns, which are split off afterwards. Of
+    series with several rows per minute an inner join has all combinations; `align_fan_out` counts them without joining.
     """
-    return in_calendar_order(align.align_join(both_minutes(spark, sf_dir), ["timestamp"]))
+    latest = series.latest_per_bucket(ticks(spark, sf_dir, A, B), "minute", tie_break=["event_id"])
+    sides = [
+        latest.where(F.col("asset") == asset).select(F.col("bucket").alias("timestamp"), F.col("price").alias(f"{prefix}_open"))
+        for asset, prefix in ((A, "a"), (B, "b"))
+    ]
+    return in_calendar_order(align.align_join(sides, ["timestamp"]))
 
 
 def latest_minutes(spark, sf_dir, assets, how: str) -> DataFrame:
@@ -252,7 +274,7 @@ def align_fan_out(spark, sf_dir):
 
 def union_all_series(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return union_by_name(events.where(F.col("event_type") == name) for name in (A, B))
+    return union_by_name(events.where(F.col("event_type") == name) for name in ASSETS)
 
 
 # Counts and checks
@@ -313,9 +335,15 @@ FEED_A = replace(BTC, name="a", path="feed_a")
 FEED_B = replace(ETH, name="b", path="feed_b")
 
 
-def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true") -> None:
-    """Minute bars of A and B as raw CSV feeds. Fixed rule: minutes of A with a high above 150 have NaN prices."""
-    minute = price_bars(spark, sf_dir, "minute", A, B).where(when)
+def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true", spoilt: bool = False, price_factor: int = 1) -> None:
+    """Minute bars of A and B as raw CSV feeds. Fixed rule: minutes of A with a high above 150 have NaN prices.
+
+    `spoilt`: the opens of A are no numbers in the seventh minute of an hour, the times of B have slashes in the ninth.
+    `price_factor`: multiplies the prices of B.
+    """
+    minute = materialize(price_bars(spark, sf_dir, "minute", A, B).where(when), "minutes")
+    no_number = F.lit(spoilt) & (F.minute("bucket") == 7)
+    slashes = F.lit(spoilt) & (F.minute("bucket") == 9)
     gap = F.col("high") > 150
 
     def price(name: str) -> Column:
@@ -324,7 +352,7 @@ def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true") -> None:
     n = F.col("n_rows").cast("double")
     minute.where(F.col("asset") == A).select(
         F.unix_seconds("bucket").alias("Timestamp"),
-        price("open").alias("Open"),
+        F.when(no_number, F.lit("n/a")).otherwise(price("open").cast("string")).alias("Open"),
         price("high").alias("High"),
         price("low").alias("Low"),
         price("close").alias("Close"),
@@ -333,11 +361,8 @@ def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true") -> None:
         price("close").alias("Weighted_Price"),
     ).write.options(header=True).csv(f"{root}/{FEED_A.path}")
     minute.where(F.col("asset") == B).select(
-        F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        "open",
-        "high",
-        "low",
-        "close",
+        F.when(slashes, F.date_format("bucket", "yyyy/MM/dd HH:mm:ss")).otherwise(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
+        *[(F.col(c) * price_factor).alias(c) for c in ("open", "high", "low", "close")],
         n.alias("volume"),
         (F.unix_millis("bucket") + 59_999).alias("close_time"),
         F.col("close").alias("quote_av"),
@@ -348,24 +373,36 @@ def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true") -> None:
     ).write.options(header=True).csv(f"{root}/{FEED_B.path}")
 
 
-def _run_job(spark, sf_dir, parity: bool) -> dict[str, DataFrame]:
+def _run_job(spark, sf_dir, parity: bool, **raw) -> dict[str, DataFrame]:
     root = work_dir(use_utc(spark), "job")
-    _write_raw_feeds(spark, sf_dir, root)
+    _write_raw_feeds(spark, sf_dir, root, **raw)
     return daily.run_feeds(spark, [FEED_A, FEED_B], root, f"{root}/out", parity)
 
 
+def _one_feed(spark, sf_dir, feed):
+    root = work_dir(use_utc(spark), "feed")
+    _write_raw_feeds(spark, sf_dir, root)
+    return daily.run_series(spark, feed, root, f"{root}/out", parity=True)
+
+
 def staged_feed(spark, sf_dir):
     """The staging table of feed A."""
-    root = work_dir(use_utc(spark), "stage")
-    _write_raw_feeds(spark, sf_dir, root)
-    return daily.good_rows(daily.stage(spark, FEED_A, root, f"{root}/out"))
+    return daily.good_rows(_one_feed(spark, sf_dir, FEED_A)[0])
+
+
+def staged_feed_b(spark, sf_dir):
+    """The staging table of feed B."""
+    return daily.good_rows(_one_feed(spark, sf_dir, FEED_B)[0])
 
 
 def series_parity(spark, sf_dir):
     """The series table of feed A: incomplete rows gone, no close."""
-    root = work_dir(use_utc(spark), "series")
-    _write_raw_feeds(spark, sf_dir, root)
-    return daily.run_series(spark, FEED_A, root, f"{root}/out", parity=True)[1]
+    return _one_feed(spark, sf_dir, FEED_A)[1]
+
+
+def series_parity_b(spark, sf_dir):
+    """The series table of feed B."""
+    return _one_feed(spark, sf_dir, FEED_B)[1]
 
 
 def combined_parity(spark, sf_dir):
@@ -377,11 +414,13 @@ def combined_default(spark, sf_dir):
 
 
 def incremental_job(spark, sf_dir):
-    """Two drops of raw files that overlap by ten days, the second one loaded twice."""
+    """Two drops of raw files that overlap by ten days, the second one loaded twice. The first has other prices of B, which
+    the second one restates."""
     root = work_dir(use_utc(spark), "increments")
-    for drop, when in {"first": "bucket < '2024-01-20'", "second": "bucket >= '2024-01-10'"}.items():
-        _write_raw_feeds(spark, sf_dir, f"{root}/{drop}", when)
-    for drop in ("first", "second", "second"):
+    _write_raw_feeds(spark, sf_dir, f"{root}/first", "bucket < '2024-01-10'")
+    _write_raw_feeds(spark, sf_dir, f"{root}/wrong", "bucket >= '2024-01-10' AND bucket < '2024-01-20'", price_factor=-1)
+    _write_raw_feeds(spark, sf_dir, f"{root}/second", "bucket >= '2024-01-10'")
+    for drop in ("first", "wrong", "second", "second"):
         tables = daily.run_increment(spark, [FEED_A, FEED_B], f"{root}/{drop}", f"{root}/out")
     return tables[daily.COMBINED]
 
@@ -390,6 +429,20 @@ def job_quality(spark, sf_dir):
     return daily.report([FEED_A, FEED_B], _run_job(spark, sf_dir, parity=True))
 
 
+def job_quality_bad_rows(spark, sf_dir):
+    """Feeds with lines that do not fit and times that cannot be read: counted, and the check fails."""
+    return daily.report([FEED_A, FEED_B], _run_job(spark, sf_dir, parity=False, spoilt=True))
+
+
+def contract_report(spark, sf_dir):
+    """The tables of the job, which keep their contract, and ticks that do not: missing prices, several per minute, odd years."""
+    good = daily.contract_report([FEED_A, FEED_B], _run_job(spark, sf_dir, parity=False))
+    late = F.col("ts").cast("timestamp") + F.when(F.col("value") > 140, F.expr("INTERVAL 100 YEARS")).otherwise(F.expr("INTERVAL 0 YEARS"))
+    rows = gappy(spark, sf_dir).withColumn("ts", late).withColumn("minute", time_bucket("ts", "minute"))
+    bad = quality.check_contract(rows, "ticks", ["event_id", "ts", "v"], ["minute", "event_type"], "ts")
+    return union_by_name([good, bad])
+
+
 # Bars and statistics
 
 
@@ -455,9 +508,8 @@ def moving_average_split(spark, sf_dir):
 
 
 def hourly_returns(spark, sf_dir):
-    return stats.simple_returns(
-        hourly_closes(spark, sf_dir), [], ["bucket"], [f"{A}_close", f"{B}_close"], longest=hours(spark, sf_dir)
-    )
+    prices = [f"{A}_close", f"{B}_close"]
+    return stats.simple_returns(hourly_closes(spark, sf_dir), [], ["bucket"], prices, rows_per_task=ROWS_PER_TASK)
 
 
 def return_correlation(spark, sf_dir):
@@ -474,7 +526,7 @@ def return_correlation_daily(spark, sf_dir):
 
 def rolling_correlation(spark, sf_dir):
     result = stats.rolling_correlation(
-        hourly_closes(spark, sf_dir), [], ["bucket"], f"{A}_close", f"{B}_close", 24, longest=hours(spark, sf_dir)
+        hourly_closes(spark, sf_dir), [], ["bucket"], f"{A}_close", f"{B}_close", 24, rows_per_task=ROWS_PER_TASK
     )
     return rounded(result.where(F.col("rolling_corr").isNotNull()), "rolling_corr").select("bucket", "rolling_corr")
 
@@ -487,11 +539,23 @@ def trend_regression(spark, sf_dir):
     )
 
 
+def close_lags(spark, sf_dir):
+    """The hourly close of every asset with its two previous closes."""
+    closes = price_bars(spark, sf_dir, "hour").select("asset", "bucket", "close")
+    return stats.lag_features(closes, ["asset"], ["bucket"], "close", 2)
+
+
 def lag_regression(spark, sf_dir):
-    """The hourly close of A on its two previous closes."""
-    closes = price_bars(spark, sf_dir, "hour", A).select("bucket", "close")
-    lags = stats.lag_features(closes, [], ["bucket"], "close", 2, longest=hours(spark, sf_dir))
-    return rounded(stats.fit_linear(lags, "close", ["lag_1", "lag_2"]), "coefficient")
+    """Per asset, the hourly close on its two previous closes."""
+    fitted = stats.fit_linear(close_lags(spark, sf_dir), "close", ["lag_1", "lag_2"], ["asset"])
+    return rounded(fitted, "intercept", "coef_lag_1", "coef_lag_2")
+
+
+def lag_prediction(spark, sf_dir):
+    """The close that each asset's regression predicts for every hour."""
+    lags, features = close_lags(spark, sf_dir), ["lag_1", "lag_2"]
+    predicted = stats.predict_linear(lags, stats.fit_linear(lags, "close", features, ["asset"]), features, ["asset"])
+    return rounded(predicted.drop(*features), "predicted", digits=4)
 
 
 # Incremental and streaming
@@ -585,11 +649,15 @@ QUERIES = {
         year_range_check,
         missing_buckets,
         staged_feed,
+        staged_feed_b,
         series_parity,
+        series_parity_b,
         combined_parity,
         combined_default,
         incremental_job,
         job_quality,
+        job_quality_bad_rows,
+        contract_report,
         ohlc_resample,
         ohlc_rollup,
         align_with_close,
@@ -605,6 +673,7 @@ QUERIES = {
         rolling_correlation,
         trend_regression,
         lag_regression,
+        lag_prediction,
         incremental_append,
         stream_tumbling_ohlc,
         stream_feed_bars,

@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickseries.feeds import FeedSpec
-from tickseries.functions.times import CALENDAR
+from tickseries.feeds import MEASURES, FeedSpec
+from tickseries.functions.missing import complete_row, is_missing
+from tickseries.functions.times import CALENDAR, event_time
 from tickseries.operators.align import align_join
 from tickseries.operators.conform import rename_columns
-from tickseries.operators.quality import assert_quality, quality_report
-from tickseries.operators.series import build_series, series_rows, sort_rows
+from tickseries.operators.quality import assert_quality, check_contract
+from tickseries.operators.series import PARITY_MEASURES, build_series, series_rows, sort_rows
 from tickseries.session import use_utc
-from tickseries.sinks.parquet import NO_TIMES, append_new, append_unique, write_parquet
-from tickseries.sources.csv import BAD_ROW, read_feed, under
-from tickseries.sources.parquet import between
+from tickseries.sinks.parquet import merge_latest, replace_partitions, write_parquet
+from tickseries.sources.csv import BAD_ROW, read_feed, under, union_by_name
 
 COMBINED = "combined_timeseries"
 
-
-def staging_name(feed: FeedSpec) -> str:
-    return f"staging_{feed.name}"
-
-
-def series_name(feed: FeedSpec) -> str:
-    return f"{feed.name}_timeseries"
+# The partition of a staging table that holds one drop of raw files.
+DROP = "_drop"
 
 
 def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str) -> DataFrame:
@@ -35,7 +33,25 @@ def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str
     With a schema the table also has the lines that do not fit it; `good_rows` and `bad_lines` tell them apart.
     """
     raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
-    return write_parquet(raw, under(output_root, staging_name(feed)))
+    return write_parquet(raw, under(output_root, feed.staging_name))
+
+
+def stage_drop(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, drop: str) -> DataFrame:
+    """Add one drop of raw files to the staging table, as a partition that the same drop replaces; returns that partition.
+
+    A feed without a folder has no rows in this drop. Earlier drops stay as they are.
+    """
+    try:
+        raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND" or feed.schema is None:
+            raise
+        fields = [*feed.schema.fields]
+        empty = spark.createDataFrame([], feed.schema).withColumn(BAD_ROW, F.lit(None).cast("string"))
+        raw = rename_columns(empty, feed.renames) if fields else empty
+    path = under(output_root, feed.staging_name)
+    rows = raw.withColumn(DROP, F.lit(drop))
+    return replace_partitions(rows, path, [DROP]).where(F.col(DROP) == drop).drop(DROP)
 
 
 def good_rows(staged: DataFrame) -> DataFrame:
@@ -50,14 +66,19 @@ def bad_lines(staged: DataFrame) -> DataFrame:
 def run_series(
     spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, parity: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the staging and the series table of one feed."""
-    staged = good_rows(stage(spark, feed, input_root, output_root))
-    series = _write(build_series(staged, feed, parity), under(output_root, series_name(feed)), parity)
+    """Write the staging table, bad lines included, and the series table of one feed."""
+    staged = stage(spark, feed, input_root, output_root)
+    series = _write(build_series(good_rows(staged), feed, parity), under(output_root, feed.series_name), parity)
     return staged, series
 
 
 def run_feeds(
-    spark: SparkSession, feeds: Sequence[FeedSpec], input_root: str, output_root: str, parity: bool = False
+    spark: SparkSession,
+    feeds: Sequence[FeedSpec],
+    input_root: str,
+    output_root: str,
+    parity: bool = False,
+    combined: str = COMBINED,
 ) -> dict[str, DataFrame]:
     """Run the whole job and return its tables by name: two per feed and the combined one.
 
@@ -68,44 +89,46 @@ def run_feeds(
     tables: dict[str, DataFrame] = {}
     for feed in feeds:
         staged, series = run_series(spark, feed, input_root, output_root, parity)
-        tables |= {staging_name(feed): staged, series_name(feed): series}
+        tables |= {feed.staging_name: staged, feed.series_name: series}
+    aligned = _aligned([tables[feed.series_name] for feed in feeds], parity)
+    tables[combined] = _write(aligned, under(output_root, combined), parity)
+    return tables
+
 
-    # In default mode the combined table has one timestamp, that of the first feed.
-    series = [tables[series_name(feed)] for feed in feeds]
+def _aligned(series: Sequence[DataFrame], parity: bool = False) -> DataFrame:
+    """In default mode the combined table has one timestamp, that of the first feed."""
     timed, untimed = ([], series) if parity else (series[:1], series[1:])
-    aligned = align_join([*timed, *[s.drop("timestamp") for s in untimed]])
-    tables[COMBINED] = _write(aligned, under(output_root, COMBINED), parity)
-    return tables
+    return align_join([*timed, *[s.drop("timestamp") for s in untimed]])
 
 
 def run_increment(
-    spark: SparkSession, feeds: Sequence[FeedSpec], input_root: str, output_root: str
+    spark: SparkSession,
+    feeds: Sequence[FeedSpec],
+    input_root: str,
+    output_root: str,
+    drop: str | None = None,
+    combined: str = COMBINED,
 ) -> dict[str, DataFrame]:
-    """Add the minutes of a new drop of raw files to the tables of the default mode; returns the tables.
+    """Add a new drop of raw files to the tables of the default mode; returns the tables, of staging those rows that the drop has.
 
-    Staging holds the drop. A minute that a series already has keeps its row, so a drop may overlap earlier ones
-    and may be loaded again. A new combined minute needs a new row in some series, so only the times of
-    the drop are aligned.
+    Increments end where one load of all files would: of the rows of a minute, whichever drop they come from, the latest event
+    stays. Staging keeps every drop under its name, by default the last part of the input root; loading a drop again replaces
+    its part. Of the series and the combined table the years that the drop has are read and written anew.
     """
     use_utc(spark)
+    drop = drop or os.path.basename(input_root.rstrip("/"))
     tables: dict[str, DataFrame] = {}
-    series, times = [], []
+    series: list[DataFrame] = []
+    years: set[int] = set()
     for feed in feeds:
-        staged = good_rows(stage(spark, feed, input_root, output_root))
-        path = under(output_root, series_name(feed))
-        batch = series_rows(staged, feed)
-        times.append(append_new(batch, path, CALENDAR, "timestamp", grain="minute"))
-        series.append(spark.read.schema(batch.schema).parquet(path))
-        tables |= {staging_name(feed): staged, series_name(feed): series[-1]}
-
-    # The series are unique by minute, and so is their join.
-    times = [t for t in times if t]
-    low, high = (min(t[0] for t in times), max(t[1] for t in times)) if times else NO_TIMES
-    touched = [between(s, "timestamp", F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))) for s in series]
-    aligned = align_join([touched[0], *[s.drop("timestamp") for s in touched[1:]]])
-    path = under(output_root, COMBINED)
-    append_unique(aligned, path, CALENDAR, "timestamp", low, high)
-    tables[COMBINED] = spark.read.schema(aligned.schema).parquet(path)
+        staged = stage_drop(spark, feed, input_root, output_root, drop)
+        batch = series_rows(good_rows(staged), feed)
+        table, touched = merge_latest(batch, under(output_root, feed.series_name), CALENDAR, "timestamp")
+        series.append(table)
+        years.update(touched)
+        tables |= {feed.staging_name: staged, feed.series_name: table}
+    aligned = _aligned([s.where(F.col("year").isin(sorted(years))) for s in series])
+    tables[combined] = replace_partitions(aligned, under(output_root, combined), ["year"], ["timestamp"])
     return tables
 
 
@@ -115,12 +138,71 @@ def _write(df: DataFrame, path: str, parity: bool) -> DataFrame:
     return write_parquet(df, path, partition_by=["year"], sort_by=["timestamp"])
 
 
-def report(feeds: Sequence[FeedSpec], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Check every table of the job by its key."""
-    keys = {COMBINED: "year"}
+def _check_staging(staged: DataFrame, feed: FeedSpec, needs_rows: bool) -> DataFrame:
+    """Everything that keeps a staged row out of the series, in one scan: bad lines, times that cannot be read, incomplete rows."""
+    bad = F.col(BAD_ROW).isNotNull() if BAD_ROW in staged.columns else F.lit(False)
+    good = good_rows(staged)
+    no_time = ~bad & event_time(f"`{feed.ts_column}`", feed.ts_format).isNull()
+    incomplete = ~bad & ~complete_row(good) if feed.drop_incomplete else F.lit(False)
+    return _verdict(
+        staged.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(~bad & is_missing(staged.schema[feed.ts_column])).alias("n_missing"),
+            F.count_if(bad).alias("n_bad_lines"),
+            F.count_if(no_time).alias("n_bad_times"),
+            F.count_if(incomplete).alias("n_incomplete"),
+        ),
+        feed.staging_name,
+        feed.ts_column,
+        needs_rows,
+    )
+
+
+def _check_key(table: DataFrame, name: str, key: str) -> DataFrame:
+    none = F.lit(0).cast("long")
+    missing = F.count_if(is_missing(table.schema[key])).alias("n_missing")
+    counts = table.agg(F.count(F.lit(1)).alias("n_rows"), missing).select(
+        "*", none.alias("n_bad_lines"), none.alias("n_bad_times"), none.alias("n_incomplete")
+    )
+    return _verdict(counts, name, key, True)
+
+
+def _verdict(counts: DataFrame, table: str, key: str, needs_rows: bool) -> DataFrame:
+    lost = F.col("n_missing") + F.col("n_bad_lines") + F.col("n_bad_times")
+    passed = (lost == 0) & ((F.col("n_rows") > 0) if needs_rows else F.lit(True))
+    return counts.select(F.lit(table).alias("table"), F.lit(key).alias("key"), "*", passed.alias("passed"))
+
+
+def report(
+    feeds: Sequence[FeedSpec], tables: Mapping[str, DataFrame], combined: str = COMBINED, increment: bool = False
+) -> DataFrame:
+    """Check every table of the job, staging with all its lines.
+
+    A table fails if it has no rows, if its key is missing, and in staging also for lines that do not fit the schema and times that
+    cannot be read, since these rows are in no series. Incomplete rows are counted; dropping them is what the feed asks
+    for. With `increment`, a drop may have no rows of a feed.
+    """
+    checks = []
+    for feed in feeds:
+        checks.append(_check_staging(tables[feed.staging_name], feed, not increment))
+        checks.append(_check_key(tables[feed.series_name], feed.series_name, "timestamp"))
+    return union_by_name([*checks, _check_key(tables[combined], combined, "year")])
+
+
+def contract_report(
+    feeds: Sequence[FeedSpec], tables: Mapping[str, DataFrame], parity: bool = False, combined: str = COMBINED
+) -> DataFrame:
+    """The documented contract of the series and the combined table: required fields, one row per key, likely years."""
+    measures = PARITY_MEASURES if parity else list(MEASURES)
+    fields = {feed.name: [f"{feed.name}_{m}" for m in measures] for feed in feeds}
+    checks = []
     for feed in feeds:
-        keys |= {staging_name(feed): feed.ts_column, series_name(feed): "timestamp"}
-    return quality_report({name: (table, keys[name]) for name, table in tables.items()})
+        series = tables[feed.series_name]
+        ts = None if parity else "timestamp"
+        checks.append(check_contract(series, feed.series_name, ["timestamp", *CALENDAR, *fields[feed.name]], CALENDAR, ts))
+    every = reduce(list.__add__, fields.values())
+    checks.append(check_contract(tables[combined], combined, [*CALENDAR, *every], CALENDAR))
+    return union_by_name(checks)
 
 
 def run_checked(spark: SparkSession, feeds, input_root: str, output_root: str, parity: bool = False) -> DataFrame:

@@ -10,8 +10,7 @@ CALENDAR = """CAST(year({0}) AS INT) AS "year", CAST(month({0}) AS INT) AS "mont
     CAST(hour({0}) AS INT) AS "hour", CAST(minute({0}) AS INT) AS "minute\""""
 
 GAPPY = """gappy AS (
-    SELECT event_id, ts, event_type, value,
-        CASE WHEN value < 5 THEN NULL WHEN value > 150 THEN CAST('NaN' AS DOUBLE) ELSE value END AS v
+    SELECT *, CASE WHEN value < 5 THEN NULL WHEN value > 150 THEN CAST('NaN' AS DOUBLE) ELSE value END AS v
     FROM events)"""
 
 TICKS = "ticks AS (SELECT event_id, ts, event_type AS asset, value AS price FROM events)"
@@ -85,10 +84,29 @@ def _listing(position: int, column: str, data_type: str) -> str:
         true AS nullable, count({column}) AS n_values FROM events"""
 
 
-def _job_check(table: str, key: str, source: str, missing: str = "false") -> str:
-    return f"""SELECT '{table}' AS "table", '{key}' AS "key", count(*) AS n_rows,
-        count(*) FILTER (WHERE {missing}) AS n_missing,
-        count(*) > 0 AND count(*) FILTER (WHERE {missing}) = 0 AS passed FROM {source}"""
+def _job_check(table: str, key: str, source: str, bad_lines="false", bad_times="false", incomplete="false") -> str:
+    return f"""SELECT '{table}' AS "table", '{key}' AS "key", count(*) AS n_rows, 0 AS n_missing,
+        count(*) FILTER (WHERE {bad_lines}) AS n_bad_lines, count(*) FILTER (WHERE {bad_times}) AS n_bad_times,
+        count(*) FILTER (WHERE {incomplete}) AS n_incomplete,
+        count(*) > 0 AND count(*) FILTER (WHERE {bad_lines} OR {bad_times}) = 0 AS passed FROM {source}"""
+
+
+def _contract(table: str, source: str) -> str:
+    return f"""SELECT '{table}' AS "table", count(*) AS n_rows, 0 AS n_missing_fields, 0 AS n_duplicates, 0 AS n_odd_years,
+        true AS passed FROM {source}"""
+
+
+AB_JOIN = "(SELECT a.bucket FROM a JOIN b ON a.bucket = b.bucket)"
+MINUTES_A = "(SELECT * FROM minutes WHERE asset = 'click')"
+
+LAGS = f"""{HOUR_BARS}, lags AS (
+        SELECT asset, bucket, close AS y, lag(close, 1) OVER w AS x1, lag(close, 2) OVER w AS x2
+        FROM hours WINDOW w AS (PARTITION BY asset ORDER BY bucket)),
+        s AS (SELECT asset, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, covar_pop(x1, x1) AS s11,
+            covar_pop(x2, x2) AS s22, covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y
+            FROM lags WHERE x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY asset),
+        b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+            (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)"""
 
 
 EVENT_TYPES = {
@@ -102,11 +120,12 @@ EVENT_TYPES = {
 
 ORACLES = {
     "csv_scan": EVENTS,
-    "csv_bad_rows": """SELECT event_id, event_type,
-        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, event_type = 'error' AS is_bad,
-        CASE WHEN event_type = 'error' THEN CAST(event_id AS VARCHAR) || ',error,n/a' END AS bad_row FROM events""",
-    "csv_multi_file_union": """SELECT event_id, event_type, value FROM events WHERE event_type = 'click'
-        UNION ALL SELECT event_id, event_type, NULL AS value FROM events WHERE event_type = 'view'""",
+    "csv_bad_rows": """SELECT * REPLACE (CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value),
+        event_type = 'error' AS is_bad, CASE WHEN event_type = 'error' THEN event_id || ',' ||
+        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || ',' || user_id || ',error,n/a,"' || replace(props, '"', '""') || '"' END AS bad_row
+        FROM (SELECT event_id, ts, user_id, event_type, value, props FROM events)""",
+    "csv_multi_file_union": """SELECT event_id, event_type, CASE WHEN event_type NOT IN ('view', 'signup') THEN value END AS value
+        FROM events""",
     "parquet_scan": "SELECT * FROM orders",
     "parquet_roundtrip": "SELECT * FROM orders",
     "partitioned_roundtrip": f"SELECT * FROM ({ORDERS_WITH_YEAR}) WHERE \"year\" = 1996",
@@ -118,16 +137,22 @@ ORACLES = {
         _listing(i, column, data_type) for i, (column, data_type) in enumerate(EVENT_TYPES.items(), start=1)
     ),
     "rename_columns": "SELECT event_id, ts AS timestamp, user_id, event_type, value AS volume_btc, props FROM events",
-    "conform_columns": """SELECT ts AS timestamp, value AS a_open, value AS a_high, value AS a_low, value AS a_volume
-        FROM events WHERE event_type = 'click'""",
+    "conform_columns": """SELECT event_type AS asset, ts AS timestamp, value AS a_open, value AS a_high, value AS a_low,
+        value AS a_volume FROM events""",
     "calendar_parts": f"SELECT event_id, ts, {CALENDAR.format('ts')} FROM events",
     "epoch_to_timestamp": """SELECT event_id, date_trunc('second', ts) AS from_s, date_trunc('millisecond', ts) AS from_ms,
-        date_trunc('second', ts) AS from_text, date_trunc('second', ts) AS any_s,
-        date_trunc('millisecond', ts) AS any_ms, date_trunc('second', ts) AS any_text FROM events""",
+        ts AS from_us, ts AS from_ns, date_trunc('second', ts) AS from_text, date_trunc('millisecond', ts) AS mixed_ms,
+        date_trunc('second', ts) AS mixed_text,
+        TIMESTAMP '1970-01-01' - (date_trunc('second', ts) - TIMESTAMP '1970-01-01') AS negative,
+        date_trunc('second', ts) + INTERVAL 500 MILLISECONDS AS fraction, CAST(NULL AS TIMESTAMP) AS no_number,
+        CAST(NULL AS TIMESTAMP) AS no_time, CAST(NULL AS TIMESTAMP) AS slashes, CAST(NULL AS TIMESTAMP) AS too_large,
+        CAST(NULL AS TIMESTAMP) AS overflow FROM events""",
     "drop_incomplete_rows": f"WITH {GAPPY} SELECT * FROM gappy WHERE v IS NOT NULL AND NOT isnan(v)",
-    "distinct_series": f"WITH {asset_minutes('a', 'click', 'a')} SELECT * FROM a",
-    "align_join_minute": f"""{AB_MINUTES} SELECT a.*, b.b_open FROM a JOIN b ON a."year" = b."year" AND a."month" = b."month"
-        AND a."day" = b."day" AND a."hour" = b."hour" AND a."minute" = b."minute\"""",
+    "distinct_series": f"SELECT DISTINCT {CALENDAR.format('ts')}, event_type AS asset, value AS open FROM events",
+    "align_join_minute": f"""WITH {TICKS}, {bars('minutes', 'minute')}
+        SELECT {CALENDAR.format('a.bucket')}, a.close AS a_open, b.close AS b_open
+        FROM (SELECT * FROM minutes WHERE asset = 'click') a JOIN (SELECT * FROM minutes WHERE asset = 'view') b
+        ON a.bucket = b.bucket""",
     "align_fan_out": f"""{AB_MINUTES} SELECT CAST(count(*) AS DOUBLE) AS n_rows FROM a JOIN b ON a."year" = b."year"
         AND a."month" = b."month" AND a."day" = b."day" AND a."hour" = b."hour" AND a."minute" = b."minute\"""",
     "align_latest_minute": f"""WITH {TICKS}, {bars('minutes', 'minute')}
@@ -137,7 +162,7 @@ ORACLES = {
     "multi_asset_minutes": f"""WITH {TICKS}, {bars('minutes', 'minute')} SELECT bucket, """
     + ", ".join(f"max(close) FILTER (WHERE asset = '{a}') AS {a}_price" for a in ASSETS)
     + " FROM minutes GROUP BY bucket",
-    "union_all_series": f"{EVENTS} WHERE event_type = 'click' UNION ALL {EVENTS} WHERE event_type = 'view'",
+    "union_all_series": EVENTS,
     "row_count": "SELECT count(*) AS n_rows, 6 AS n_columns FROM events",
     "non_null_count": f"WITH {GAPPY} SELECT count(v) AS n_non_null FROM gappy",
     "null_key_count": f"WITH {GAPPY} SELECT count(*) FILTER (WHERE v IS NULL) AS n_missing FROM gappy",
@@ -147,8 +172,10 @@ ORACLES = {
         [
             _profile("event_id"),
             _profile("ts"),
+            _profile("user_id"),
             _profile("event_type"),
             _profile("value", "count(*) FILTER (WHERE isnan(value))"),
+            _profile("props"),
             _profile("v", "count(*) FILTER (WHERE isnan(v))"),
         ]
     ),
@@ -175,6 +202,11 @@ ORACLES = {
         CAST(2 * n_rows AS DOUBLE) AS "Volume_Currency", coalesce(gap, close) AS "Weighted_Price" FROM m""",
     "series_parity": f"""{JOB} SELECT CAST(epoch(bucket) AS BIGINT) AS timestamp, {CALENDAR.format('bucket')},
         a_open, a_high, a_low, a_volume FROM a""",
+    "staged_feed_b": f"""WITH {TICKS}, {bars('minutes', 'minute')} SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS timestamp,
+        open, high, low, close, CAST(n_rows AS DOUBLE) AS volume, CAST(epoch_ms(bucket) + 59999 AS BIGINT) AS close_time,
+        close AS quote_av, n_rows AS trades, CAST(n_rows AS DOUBLE) AS tb_base_av, CAST(n_rows AS DOUBLE) AS tb_quote_av,
+        CAST(n_rows AS DOUBLE) AS "ignore" FROM minutes WHERE asset = 'view'""",
+    "series_parity_b": f"""{JOB} SELECT bucket AS timestamp, {CALENDAR.format('bucket')}, b_open, b_high, b_low, b_volume FROM b""",
     "combined_parity": f"""{JOB} SELECT {CALENDAR.format('a.bucket')}, a_open, a_high, a_low, a_volume,
         b_open, b_high, b_low, b_volume FROM a JOIN b ON a.bucket = b.bucket""",
     "combined_default": COMBINED_DEFAULT,
@@ -182,13 +214,32 @@ ORACLES = {
     "job_quality": f"{JOB} "
     + " UNION ALL ".join(
         [
-            _job_check("staging_a", "Timestamp", "(SELECT * FROM minutes WHERE asset = 'click')"),
+            _job_check("staging_a", "Timestamp", MINUTES_A, incomplete="high > 150"),
             _job_check("a_timeseries", "timestamp", "a"),
             _job_check("staging_b", "timestamp", "b"),
             _job_check("b_timeseries", "timestamp", "b"),
-            _job_check("combined_timeseries", "year", "(SELECT a.bucket FROM a JOIN b ON a.bucket = b.bucket)"),
+            _job_check("combined_timeseries", "year", AB_JOIN),
+        ]
+    ),
+    "job_quality_bad_rows": f"{JOB} "
+    + " UNION ALL ".join(
+        [
+            _job_check(
+                "staging_a", "Timestamp", MINUTES_A, "minute(bucket) = 7", incomplete="high > 150 AND minute(bucket) <> 7"
+            ),
+            _job_check("a_timeseries", "timestamp", "a WHERE minute(bucket) <> 7"),
+            _job_check("staging_b", "timestamp", "b", bad_times="minute(bucket) = 9"),
+            _job_check("b_timeseries", "timestamp", "b WHERE minute(bucket) <> 9"),
+            _job_check("combined_timeseries", "year", f"{AB_JOIN} WHERE minute(bucket) NOT IN (7, 9)"),
         ]
     ),
+    "contract_report": f"""{JOB}, {GAPPY}, t AS (
+        SELECT *, ts + CASE WHEN value > 140 THEN INTERVAL 100 YEARS ELSE INTERVAL 0 YEARS END AS t FROM gappy)
+        {_contract("a_timeseries", "a")} UNION ALL {_contract("b_timeseries", "b")}
+        UNION ALL {_contract("combined_timeseries", AB_JOIN)}
+        UNION ALL SELECT 'ticks', count(*), count(*) FILTER (WHERE v IS NULL OR isnan(v)),
+        count(*) - count(DISTINCT (date_trunc('minute', t), event_type)), count(*) FILTER (WHERE year(t) NOT BETWEEN 2009 AND 2100),
+        false FROM t""",
     "ohlc_resample": f"""{HOUR_BARS} SELECT asset, bucket, open, high, low, close, round(volume, 6) AS volume, n_rows
         FROM hours""",
     "ohlc_rollup": f"""WITH {TICKS} SELECT asset, date_trunc('day', ts) AS bucket,
@@ -231,16 +282,10 @@ ORACLES = {
         SELECT asset, close, epoch(bucket) / 86400.0 - 19700 AS x FROM hours)
         SELECT asset, count(*) AS n_rows, round(regr_slope(close, x), 6) AS slope,
         round(regr_intercept(close, x), 6) AS intercept, round(regr_r2(close, x), 6) AS r2 FROM points GROUP BY asset""",
-    "lag_regression": f"""{HOUR_BARS}, lags AS (
-        SELECT close AS y, lag(close, 1) OVER (ORDER BY bucket) AS x1, lag(close, 2) OVER (ORDER BY bucket) AS x2
-        FROM hours WHERE asset = 'click'),
-        s AS (SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, covar_pop(x1, x1) AS s11, covar_pop(x2, x2) AS s22,
-            covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y
-            FROM lags WHERE x1 IS NOT NULL AND x2 IS NOT NULL),
-        b AS (SELECT my, m1, m2, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
-            (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)
-        SELECT 'intercept' AS feature, round(my - b1 * m1 - b2 * m2, 6) AS coefficient FROM b
-        UNION ALL SELECT 'lag_1', round(b1, 6) FROM b UNION ALL SELECT 'lag_2', round(b2, 6) FROM b""",
+    "lag_regression": f"""{LAGS} SELECT asset, n AS n_rows, round(my - b1 * m1 - b2 * m2, 6) AS intercept,
+        round(b1, 6) AS coef_lag_1, round(b2, 6) AS coef_lag_2 FROM b""",
+    "lag_prediction": f"""{LAGS} SELECT asset, bucket, y AS close,
+        round(my - b1 * m1 - b2 * m2 + b1 * x1 + b2 * x2, 4) AS predicted FROM lags LEFT JOIN b USING (asset)""",
     "incremental_append": f"""WITH {TICKS} SELECT event_id, ts, asset, price, CAST(year(ts) AS INT) AS "year" FROM ticks""",
     "stream_tumbling_ohlc": f"""{HOUR_BARS} SELECT asset, bucket, open, high, low, close, round(volume, 6) AS volume, n_rows
         FROM hours WHERE bucket + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",

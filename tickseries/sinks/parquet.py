@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tickseries.functions.times import FIXED_GRAINS
 from tickseries.operators.series import latest_per_key
+from tickseries.session import materialize
 from tickseries.sources.parquet import between
 
 
@@ -55,7 +56,7 @@ def _existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame |
         raise
 
 
-def append_unique(rows: DataFrame, path: str, keys: Sequence[str], ts: str, low: int, high: int) -> None:
+def _append_unique(rows: DataFrame, path: str, keys: Sequence[str], ts: str, low: int, high: int) -> None:
     """Append the rows whose key is not in the table yet. The rows are unique by key, and the rows of the table with
     the same keys lie within the times low..high (microseconds): only that part of the table is read."""
     fresh = rows.withColumn("year", F.year(ts))
@@ -67,6 +68,37 @@ def append_unique(rows: DataFrame, path: str, keys: Sequence[str], ts: str, low:
     write_parquet(fresh, path, partition_by=["year"], sort_by=order, mode="append")
 
 
+def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the partitions that `rows` has, leave the others; returns the whole table. `rows` must not read the table."""
+    if sort_by:
+        rows = rows.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def merge_latest(batch: DataFrame, path: str, keys: Sequence[str], ts: str) -> tuple[DataFrame, list[int]]:
+    """Merge a batch into a table partitioned by year, which must be a column of both: of the rows of a key the latest by `ts` stays.
+
+    The result is that of one load of all rows, in whatever order batches come. Only the years of the batch are
+    read and written anew, clustered by time, so files do not pile up. Rows without `ts` cannot be placed and are left out;
+    the report of the job counts them. Returns the table and the years.
+    """
+    placed = batch.where(F.col(ts).isNotNull())
+    years = sorted(r["year"] for r in placed.select("year").distinct().collect())  # a handful
+    table = _existing(batch.sparkSession, path, batch.schema)
+    known = table.where(F.col("year").isin(years)) if table is not None and years else placed.limit(0)
+    merged = materialize(latest_per_key(known.unionByName(placed), keys, [ts]), "merged")
+    if not years and table is not None:
+        return table, years
+    return replace_partitions(merged, path, ["year"], [ts]), years
+
+
+def compact_years(spark: SparkSession, path: str, schema: StructType, years: Sequence[int], sort_by: Sequence[str]) -> DataFrame:
+    """Write the given years of a table anew, clustered: for tables that only `append_new` has written, after many batches."""
+    rows = spark.read.schema(schema).parquet(path).where(F.col("year").isin(list(years)))
+    return replace_partitions(materialize(rows, "compact"), path, ["year"], sort_by)
+
+
 def append_new(
     batch: DataFrame,
     path: str,
@@ -74,24 +106,30 @@ def append_new(
     ts: str,
     tie_break: Sequence[str] = (),
     grain: str | None = None,
+    bad_rows: str | None = None,
 ) -> tuple[int, int] | None:
     """Append the rows of `batch` whose key is not in the table yet; running it again adds nothing.
 
     A key belongs to one value of `ts`, or with `grain` to one bucket of that length. Copies within the batch are
     reduced to the latest one, in each task before the shuffle. The keys of the table are read only for the
     years and times the batch covers, so the cost follows the batch and not the table. The table is
-    partitioned by the year of `ts`. Returns the covered times in microseconds, None for an empty batch.
+    partitioned by the year of `ts`. Rows that lack a key or `ts` go to the table `bad_rows`, where a rerun may add them again;
+    without such a table they are an error. Returns the covered times in microseconds, None for an empty batch.
     """
+    bad = reduce(or_, (F.col(k).isNull() for k in (*keys, ts)))
     low, high, n_bad = batch.agg(
-        F.unix_micros(F.min(ts).cast("timestamp")),
-        F.unix_micros(F.max(ts).cast("timestamp")),
-        F.count_if(reduce(or_, (F.col(k).isNull() for k in (*keys, ts)))),
+        F.unix_micros(F.min(F.when(~bad, F.col(ts))).cast("timestamp")),
+        F.unix_micros(F.max(F.when(~bad, F.col(ts))).cast("timestamp")),
+        F.count_if(bad),
     ).first()
-    if n_bad:
+    if n_bad and bad_rows is None:
         raise ValueError(f"{n_bad} rows lack a key {list(keys)} or {ts}: a rerun could not tell them from new rows")
+    if n_bad:
+        batch.where(bad).write.mode("append").parquet(bad_rows)
+        batch = batch.where(~bad)
     times = None
     if low is not None:
         length = FIXED_GRAINS[grain] * 1_000_000 if grain else 1
         times = low - low % length, high - high % length + length - 1
-    append_unique(latest_per_key(batch, keys, [ts, *tie_break]), path, keys, ts, *(times or NO_TIMES))
+    _append_unique(latest_per_key(batch, keys, [ts, *tie_break]), path, keys, ts, *(times or NO_TIMES))
     return times
