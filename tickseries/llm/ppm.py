@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from tickseries.llm.common import materialize
 
-ORDER = 4
+ORDER = 5
 END = 0xFF  # stands in no UTF-8 text
-FREQUENT_GRAMS = 1 << 19
+FREQUENT_GRAMS = 1 << 20
 FREQUENT_WORDS = 1 << 18
 BYTES_AT_ONCE = 1 << 24
 
