@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickseries.session import materialize, work_dir
 
-__all__ = ["children", "clear_names", "crc_remainder", "file_system", "forest", "materialize", "put_file", "splitmix",
+__all__ = ["children", "clear_names", "crc_remainder", "file_system", "forest", "materialize", "most_frequent", "put_file", "splitmix",
            "tile_pairs", "work_dir"]
 
 
@@ -53,6 +53,20 @@ def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return label
 
 
+def most_frequent(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the largest counts, at most `most` of them: all from some count on. Rows of one count come together or not at all.
+
+    Only how many rows have each count reaches the driver; nothing is sorted.
+    """
+    least, held = None, 0
+    for n, same in sorted(((r[0], r[1]) for r in rows.groupBy(count).count().collect()), reverse=True):
+        held += same
+        if held > most:
+            break
+        least = n
+    return rows.where(F.col(count) >= least) if least is not None else rows.limit(0)
+
+
 def tile_pairs(rows: DataFrame, keys: Sequence[str], item: str, per_tile: int) -> DataFrame:
     """Deal the rows of each group into tiles and send every pair of tiles of a group to a place of its own.
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickseries.llm.common import materialize
+from tickseries.llm.common import materialize, most_frequent
 
 ORDER = 5
 END = 0xFF  # stands in no UTF-8 text
@@ -180,12 +180,11 @@ def score(docs: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -
     n_docs, n_words, known_words = rows.where("learns").count(), *words.agg(F.sum("c"), F.count(F.lit(1))).first()
     n, v = (n_words or 0) + n_docs, known_words + (n_docs > 0)  # the end is a token too
     unseen = np.log10(n + v + 1.0)
-    frequent = {r["word"].encode(): r["c"] for r in words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS).collect()}
-    log_counts = {w: float(np.log10(c + 1)) for w, c in frequent.items()}
+    frequent = most_frequent(words, "c", FREQUENT_WORDS).toArrow()
     end_log = float(np.log10(n_docs + 1))
 
     grams = materialize(code_lengths(materialize(count_grams(rows), "grams")), "code-lengths")
-    top = grams.orderBy(F.desc("seen"), "code").limit(FREQUENT_GRAMS).select("code", "log10").toPandas().sort_values("code")
+    top = most_frequent(grams, "seen", FREQUENT_GRAMS).select("code", "log10").toArrow().sort_by("code")
     codes, lengths = top["code"].to_numpy(), top["log10"].to_numpy()
 
     kind = "row string, doc_id long, n_tokens long, n_known long, base double, score double, word string, code long, times long"
@@ -194,6 +193,8 @@ def score(docs: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -
         import pyspark
 
         task, number = pyspark.TaskContext.get().partitionId(), 0
+        counted = zip(frequent["word"].to_pylist(), np.log10(frequent["c"].to_numpy() + 1).tolist())
+        log_counts = {w.encode(): x for w, x in counted}
         for batch in batches:
             texts = [(t or "").encode() for t in batch["text"]]
             ids = batch["doc_id"].tolist()
