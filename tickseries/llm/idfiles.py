@@ -12,6 +12,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,9 @@ SAMPLE_DOCUMENTS = 2_000
 SAMPLE_IDS = 2_000_000
 LEVEL = 3
 END_ID = 1
-DOCUMENTS_PER_FILE = 8_192
+DOCUMENTS_PER_FILE = 4_096
+TEXTS_AT_ONCE = 128
+WORDS_HELD = 400_000
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("has_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n_ids", "<i8")])
 _SEPARATE = " \t\n\x0b\x0c\r"
@@ -38,44 +41,101 @@ _SEPARATE = " \t\n\x0b\x0c\r"
 class WordEncoder:
     """Encodes texts with a tokenizers file, without special tokens, and appends `end_id`.
 
-    The tokenizer drops white space and never merges across it, so each distinct word of a batch is encoded once and documents
-    are put together from the ids of their words.
+    The tokenizer drops white space and never merges across it, so each distinct word is encoded once in a task and documents are
+    put together from the ids of their words. Words of letters with marks behind them, nearly all, go to the tokenizer as one
+    text: it cuts such a word into its letters and its marks, and the last token of each piece ends in the vocabulary's word end, so
+    the ids can be told apart again. Other words are encoded one by one.
     """
 
     path: str
     end_id: int = END_ID
 
-    def load(self):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(self.path)
-        tokenizer.encode_special_tokens = True
-        return tokenizer
+    def open(self) -> _Words:
+        return _Words(self)
 
-    def encode(self, tokenizer, texts) -> Iterator[np.ndarray]:
+    def encode(self, words: _Words, texts) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        places: dict[str, int] = {}
-        documents = [np.array([places.setdefault(w, len(places)) for w in _words(t)], np.int64) for t in texts]
-        encoded = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch(list(places), add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        starts = np.cumsum(lengths) - lengths
-        pool = np.concatenate(encoded) if encoded else np.zeros(0, np.uint32)
         end = np.array([self.end_id], np.uint32)
-        for words in documents:
-            n = lengths[words]
-            first = np.cumsum(n) - n
-            at = np.arange(int(n.sum())) + np.repeat(starts[words] - first, n)
-            yield np.concatenate([pool[at], end])
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            for own in words.places([_words(t) for t in texts[at : at + TEXTS_AT_ONCE]]):
+                n = words.lengths[own]
+                first = np.cumsum(n) - n
+                at_id = np.arange(int(n.sum())) + np.repeat(words.starts[own] - first, n)
+                yield np.concatenate([words.pool[at_id], end])
 
 
-def _words(text: str | None) -> list[str]:
-    """Split at [\\x20\\x09-\\x0D], which every white space of the tokenizer includes."""
-    return (text or "").translate(_TO_SPACE).split(" ")
+class _Words:
+    """The words that a task has met: their places in a pool of ids. Forgets them all when they are many."""
 
+    def __init__(self, encoder: WordEncoder):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(encoder.path)
+        self.tokenizer.encode_special_tokens = True
+        word_end = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = bool(word_end) and token.endswith(word_end)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.pool, self.lengths, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, documents: list[list[str]]) -> list[np.ndarray]:
+        """The places of each document's words, which hold until the next call."""
+        if len(self.known) > WORDS_HELD:
+            self._forget()
+        known = self.known
+        found = [np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in documents]
+        new = list(islice(known, len(self.lengths), None))
+        if new:
+            ids, lengths = self._encode(new)
+            self.pool, self.lengths = np.concatenate([self.pool, ids]), np.concatenate([self.lengths, lengths])
+            self.starts = np.cumsum(self.lengths) - self.lengths
+        return found
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces = np.fromiter(map(_pieces, words), np.int64, len(words))
+        plain = np.flatnonzero(pieces)
+        encoded = np.array(self.tokenizer.encode(" ".join([words[i] for i in plain]), add_special_tokens=False).ids, np.uint32)
+        closed = np.flatnonzero(self.ends[encoded]) + 1
+        if len(closed) != pieces.sum() or len(closed) and closed[-1] != len(encoded):
+            plain, encoded, stops = plain[:0], encoded[:0], closed[:0]  # not such a vocabulary: word by word
+        else:
+            stops = closed[np.cumsum(pieces[plain]) - 1]
+        lengths = np.zeros(len(words), np.int64)
+        lengths[plain] = np.diff(stops, prepend=0)
+        others = np.setdiff1d(np.arange(len(words)), plain)
+        single = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([words[i] for i in others], add_special_tokens=False)]
+        lengths[others] = list(map(len, single))
+        starts = np.cumsum(lengths) - lengths
+        ids = np.zeros(int(lengths.sum()), np.uint32)
+        ids[np.arange(len(encoded)) + np.repeat(starts[plain] - (stops - lengths[plain]), lengths[plain])] = encoded
+        for i, own in zip(others, single):
+            ids[starts[i] : starts[i] + len(own)] = own
+        return ids, lengths
 
+
+def _pieces(word: str) -> int:
+    """Into how many pieces the tokenizer cuts a word of letters and marks behind them; 0 for all other words."""
+    letters = word.rstrip(_MARKS)
+    if not letters.isalpha() or not (letters.isascii() or letters.lower().isalpha()):
+        return 0
+    return 1 if len(letters) == len(word) else 2
+
+
+_MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _TO_SPACE = {ord(c): " " for c in _SEPARATE}
 
 
+def _words(text: str | None) -> list[str]:
+    """Split at white space, which the tokenizer drops; it does not count \x1c to \x1f, as str.split() does."""
+    if not text:
+        return []
+    return text.translate(_TO_SPACE).split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
+
 def train_dictionary(docs: DataFrame, encoder: WordEncoder, text: str = "text") -> bytes:
     """A dictionary from the id arrays of about SAMPLE_DOCUMENTS documents, which a hash of the text picks among all.
 
@@ -86,9 +146,9 @@ def train_dictionary(docs: DataFrame, encoder: WordEncoder, text: str = "text")
     picked = docs.where(spread < int((1 << 30) * min(1.0, SAMPLE_DOCUMENTS / max(rows, 1)))).select(text)
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = encoder.load()
+        words = encoder.open()
         for batch in batches:
-            yield pd.DataFrame({"ids": [x.astype("<u4").tobytes() for x in encoder.encode(tokenizer, batch[text])]})
+            yield pd.DataFrame({"ids": [x.astype("<u4").tobytes() for x in encoder.encode(words, batch[text])]})
 
     sampled = picked.mapInPandas(sample, "ids binary")
     # At most 4 * SAMPLE_IDS bytes come to the driver, a fixed share of each of a fixed number of documents.
@@ -120,11 +180,11 @@ def write_ids(docs: DataFrame, folder: str, encoder: WordEncoder, doc_id: str =
     n_files = max(1, -(-rows.count() // DOCUMENTS_PER_FILE))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = encoder.load()
+        words = encoder.open()
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd_dictionary(dictionary), write_content_size=True)
         frames, entries, at, total = [_head(dictionary)], [], len(_head(dictionary)), 0
         for batch in batches:
-            for key, ids in zip(batch["doc_id"], encoder.encode(tokenizer, batch["text"])):
+            for key, ids in zip(batch["doc_id"], encoder.encode(words, batch["text"])):
                 frames.append(packer.compress(ids.astype("<u4").tobytes()))
                 known = not pd.isna(key)
                 entries.append((int(key) if known else 0, known, at, len(frames[-1]), len(ids)))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickseries.llm.common import clear_names, forest, materialize, tile_pairs
+from tickseries.llm.common import forest, materialize, tile_pairs
 from tickseries.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -26,7 +26,6 @@ MAX_BITS = 2
 FINGERPRINTS_PER_TILE = 1_024
 SHINGLES_AT_ONCE = 1 << 18
 
-_ADDED = ["fingerprint", "component_id"]
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
