@@ -27,7 +27,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder for `purpose` below the folder named in `spark.checkpoint.dir`.
 
     That folder is shared by all executors of a cluster. Only a local master, which is
-    its own single executor, may run without the setting; it then gets a temporary folder.
+    its own single executor, may run without the setting; it then gets a temporary folder. Tables stay there as long as
+    a result may read them: who sets the folder removes it after the application.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
