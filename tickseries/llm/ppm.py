@@ -27,7 +27,8 @@ ORDER = 5
 END = 0xFF  # stands in no UTF-8 text
 FREQUENT_GRAMS = 1 << 20
 FREQUENT_WORDS = 1 << 18
-BYTES_AT_ONCE = 1 << 24
+BYTES_AT_ONCE = 1 << 20
+GRAMS_HELD = 1 << 20
 
 _MASKS = [np.int64((1 << (8 * k)) - 1) for k in range(ORDER + 2)]
 
@@ -62,15 +63,25 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """(code, shard, n, seen): how often each gram stands in training texts, and in all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []  # codes, counts in training texts, counts in all: added up in the task as they become many
+        size = 0
         for batch in batches:
             texts, learns = [(t or "").encode() for t in batch["text"]], batch["learns"].to_numpy()
             for group in _groups(texts):
-                parts = []
                 for training in (True, False):
                     own = [texts[i] for i in group if learns[i] == training]
-                    codes, n = np.unique(gram_codes(own)[0], return_counts=True) if own else (np.zeros(0, np.int64),) * 2
-                    parts.append(pd.DataFrame({"code": codes, "n": n if training else n * 0, "seen": n}))
-                yield pd.concat(parts)
+                    if own:
+                        codes, n = np.unique(gram_codes(own)[0], return_counts=True)
+                        held.append(np.stack([codes, n * training, n]))
+                        size += len(codes)
+                if size > 2 * GRAMS_HELD:
+                    held = [_added(held)]
+                    size = held[0].shape[1]
+                    if size > GRAMS_HELD:
+                        yield pd.DataFrame(dict(zip(("code", "n", "seen"), held.pop())))
+                        size = 0
+        if held:
+            yield pd.DataFrame(dict(zip(("code", "n", "seen"), _added(held))))
 
     counted = docs.select("text", "learns").mapInPandas(count, "code long, n long, seen long")
     summed = counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
@@ -78,6 +89,42 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return summed.withColumn("shard", F.shiftright("code", 8).bitwiseAND(F.lit(0xFF)))
 
 
+def _added(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows of (code, n, seen) with each code once."""
+    codes, n, seen = np.concatenate(parts, axis=1)
+    order = np.argsort(codes)
+    codes, n, seen = codes[order], n[order], seen[order]
+    first = np.flatnonzero(np.diff(codes, prepend=codes[0] - 1))
+    return np.stack([codes[first], np.add.reduceat(n, first), np.add.reduceat(seen, first)])
+
+
+class Lookup:
+    """Values by code. Most codes stand in a table at the place that a hash gives; those that another code keeps from theirs are
+    searched for."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.codes, self.values = codes, values
+        self.bits = max(4, len(codes).bit_length())
+        self.held, self.at = np.full(1 << self.bits, -1), np.zeros(1 << self.bits)
+        place = self._place(codes)
+        self.held[place], self.at[place] = codes, values
+
+    def _place(self, codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each code, 0 for unknown ones, and whether it is known."""
+        place = self._place(codes)
+        known = self.held[place] == codes
+        values = np.where(known, self.at[place], 0.0)
+        left = np.flatnonzero(~known)
+        at, hit = _find(self.codes, codes[left])
+        values[left[hit]], known[left[hit]] = self.values[at[hit]], True
+        return values, known
+
+
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the keys stand in a sorted table, and whether they do."""
     if not len(table):
@@ -193,6 +240,7 @@ def score(docs: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -
         import pyspark
 
         task, number = pyspark.TaskContext.get().partitionId(), 0
+        lookup = Lookup(codes, lengths)
         counted = zip(frequent["word"].to_pylist(), np.log10(frequent["c"].to_numpy() + 1).tolist())
         log_counts = {w.encode(): x for w, x in counted}
         for batch in batches:
@@ -203,10 +251,12 @@ def score(docs: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -
                 names = [f"{task}-{number + i}" for i in range(len(own))]
                 number += len(own)
                 found, counts = gram_codes(own)
-                at, hit = _find(codes, found)
+                values, hit = lookup.get(found)
                 row = np.repeat(np.arange(len(own)), counts)
-                sums = np.bincount(row, np.where(hit, lengths[at], 0.0) if len(codes) else 0.0 * found, len(own))
-                rare, times = np.unique(np.stack([row[~hit], found[~hit]]), axis=1, return_counts=True)
+                sums = np.bincount(row, values, len(own))
+                missing_codes, which = np.unique(found[~hit], return_inverse=True)
+                pairs, times = np.unique(row[~hit] * max(len(missing_codes), 1) + which, return_counts=True)
+                whose_gram, rare = np.divmod(pairs, max(len(missing_codes), 1))
                 n_tokens, known, base, tail = [], [], [], []
                 for i, t in enumerate(own):
                     words = t.lower().split()
@@ -222,9 +272,9 @@ def score(docs: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -
                 if len(tail):
                     whose, word, c = zip(*tail)
                     yield _columns(kind, row=[names[i] for i in whose], doc_id=owners[list(whose)], word=word, times=c)
-                if rare.shape[1]:
-                    whose = rare[0].tolist()
-                    yield _columns(kind, row=[names[i] for i in whose], doc_id=owners[whose], code=rare[1], times=times)
+                if len(rare):
+                    whose = whose_gram.tolist()
+                    yield _columns(kind, row=[names[i] for i in whose], doc_id=owners[whose], code=missing_codes[rare], times=times)
 
     parts = materialize(rows.select("doc_id", "text").mapInPandas(scored, kind), "scores")
     sums = ["row", "doc_id", "n_tokens", "n_known", "base", "score"]
