@@ -29,6 +29,7 @@ def awkward_texts() -> list[str | None]:
         "Ünïcödé ẞtraße ﬁ   x y \U0001f600\U0001f600 é \x1c\x1d",
         "don't we'll I'M it's 12345 67 ½ ² ٣ ---- ...   \t  end",
         "<|endoftext|> a <|startoftext|>",
+        "H\u0331 h\u0331 E\u0301 \u0130stanbul \u03a3\u0391\u03a3 a.b (c) --d-- 3.14 x=\u0338 don't. l\u2019eau \u2014. \u2026!",
         "x" * 3000,
         "ab" * 700 + " " + "é" * 400,
         "\r\nTabs\there\x0b\x0c  \r\n",
@@ -49,7 +50,7 @@ def awkward_texts() -> list[str | None]:
 def awkward_docs(spark):
     texts = awkward_texts()
     rows = [(i, t, ("en", "de", None)[i % 3], "src0", None if t is None else len(t), i, "s") for i, t in enumerate(texts)]
-    rows += [rows[12], rows[0], (None, "no id here", "en", None, 10, 1, None), (None, None, None, None, None, None, None)]
+    rows += [rows[13], rows[0], (None, "no id here", "en", None, 10, 1, None), (None, None, None, None, None, None, None)]
     rows += [(100 + i, prose(100 + i, 40) + "\nA shared line. ", "en", "src1", 1, 0, "x") for i in range(14)]
     return spark.createDataFrame(rows, DOCS)
 

@@ -490,7 +490,7 @@ def test_secret_scan(spark, docs):
         assert r["base_sha256"] == hashlib.sha256(",".join(shown).encode()).hexdigest()
         assert [s for s in r["spans"].split(",") if s and not s.startswith("entropy")] == shown
     by_id = {r["doc_id"]: r for r in found}
-    assert by_id[22]["n_entropy"] == 1 and by_id[21]["n_hex"] == 1
+    assert by_id[23]["n_entropy"] == 1 and by_id[22]["n_hex"] == 1
     assert all(r["n_entropy"] == 0 for r in found if r["doc_id"] is not None and 100 <= r["doc_id"])
     assert secret_scan.scan_secrets(docs.where("false")).collect() == []
 

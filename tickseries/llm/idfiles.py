@@ -9,6 +9,7 @@ A short document is thus one read of its entry and one of its frame. Files follo
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,7 @@ END_ID = 1
 DOCUMENTS_PER_FILE = 4_096
 TEXTS_AT_ONCE = 128
 WORDS_HELD = 400_000
+WORDS_AT_ONCE = 1_000
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("has_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n_ids", "<i8")])
 _SEPARATE = " \t\n\x0b\x0c\r"
@@ -42,8 +44,8 @@ class WordEncoder:
     """Encodes texts with a tokenizers file, without special tokens, and appends `end_id`.
 
     The tokenizer drops white space and never merges across it, so each distinct word is encoded once in a task and documents are
-    put together from the ids of their words. Words of letters with marks behind them, nearly all, go to the tokenizer as one
-    text: it cuts such a word into its letters and its marks, and the last token of each piece ends in the vocabulary's word end, so
+    put together from the ids of their words. Words of letters with marks behind them, nearly all, go to the tokenizer as long
+    texts: it cuts such a word into its letters and its marks, and the last token of each piece ends in the vocabulary's word end, so
     the ids can be told apart again. Other words are encoded one by one.
     """
 
@@ -98,7 +100,9 @@ class _Words:
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces = np.fromiter(map(_pieces, words), np.int64, len(words))
         plain = np.flatnonzero(pieces)
-        encoded = np.array(self.tokenizer.encode(" ".join([words[i] for i in plain]), add_special_tokens=False).ids, np.uint32)
+        texts = [" ".join([words[i] for i in plain[at : at + WORDS_AT_ONCE]]) for at in range(0, len(plain), WORDS_AT_ONCE)]
+        parts = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        encoded = np.concatenate([np.zeros(0, np.uint32), *parts])
         closed = np.flatnonzero(self.ends[encoded]) + 1
         if len(closed) != pieces.sum() or len(closed) and closed[-1] != len(encoded):
             plain, encoded, stops = plain[:0], encoded[:0], closed[:0]  # not such a vocabulary: word by word
@@ -118,14 +122,20 @@ class _Words:
 
 
 def _pieces(word: str) -> int:
-    """Into how many pieces the tokenizer cuts a word of letters and marks behind them; 0 for all other words."""
+    """Into how many pieces the tokenizer cuts a word: runs of letters, single digits and runs of marks. 0 if that takes a closer look:
+    apostrophes begin pieces of their own, and what is neither ASCII nor a letter may be a number or may join a letter."""
+    if word.isascii():
+        return 0 if "'" in word else 1 if word.isalpha() else len(_RUNS.findall(word))
     letters = word.rstrip(_MARKS)
-    if not letters.isalpha() or not (letters.isascii() or letters.lower().isalpha()):
+    if not letters.isalpha() or not letters.lower().isalpha():
         return 0
     return 1 if len(letters) == len(word) else 2
 
 
+_RUNS = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
+# Letters whose lower case Python and the tokenizer see differently, and marks that join lower-case letters only.
+_CASED = re.compile("[\u0130\u03a3\u0300-\u036f]")
 _TO_SPACE = {ord(c): " " for c in _SEPARATE}
 
 
@@ -133,6 +143,8 @@ def _words(text: str | None) -> list[str]:
     """Split at white space, which the tokenizer drops; it does not count \x1c to \x1f, as str.split() does."""
     if not text:
         return []
+    if not _CASED.search(text):
+        text = text.lower()  # as the tokenizer does, so that fewer words differ
     return text.translate(_TO_SPACE).split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
