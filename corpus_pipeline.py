@@ -23,16 +23,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Null texts, texts without letters and texts far from every profile go."""
     ship(spark)
     learning = docs.where(~F.coalesce(crc_remainder("doc_id", 3) == HELD_OUT_THIRD, F.lit(False)))
-    found = langid.identify(docs, langid.learn_profiles(learning))
-    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    found = langid.identify(docs, langid.learn_profiles(learning), names=("_lang_pred", "_lang_score"))
+    kept = found.where((F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE))
     return kept.select(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the lines that ten or more have. A text that loses lines gets its new length in n_chars."""
     ship(spark)
-    kept = lines.dedup_lines(docs)
-    shorter = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    kept = lines.dedup_lines(docs, names=("_lines", "_lines_dropped"))
+    shorter = F.when(F.col("_lines_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", shorter).select(*docs.columns)
 
 

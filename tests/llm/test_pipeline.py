@@ -46,7 +46,7 @@ def plain_pipeline(docs, bench, profiles):
     for d in docs:
         lang, score = classifier.predict(d["text"])
         if lang != "und" and score >= corpus_pipeline.LEAST_LANGUAGE_SCORE:
-            kept.append(dict(d))
+            kept.append(d.asDict())
     norm = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
     counts = Counter(k for d in kept for k in {norm(x) for x in d["text"].split("\n")} if k)
     for d in kept:

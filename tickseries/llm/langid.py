@@ -150,19 +150,25 @@ class Classifier:
         return self.languages[best], float(1 - apart[best] / (len(own) * self.size))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE_GRAMS) -> DataFrame:
-    """The rows with `lang_pred` and `score`, from their whole texts alone. One pass, no shuffle.
+def identify(
+    docs: DataFrame,
+    profiles: dict[str, list[int]],
+    text: str = "text",
+    size: int = PROFILE_GRAMS,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The rows with `lang_pred` and `score`, or other `names`, from their whole texts alone. One pass, no shuffle.
 
     `und` and 0 if the text is null or has no letters, or no language was learned. Repeated rows come back as given; columns
-    that are already called lang_pred or score are replaced.
+    that already have these names are replaced.
     """
-    docs = clear_names(docs, ["lang_pred", "score"])
+    docs = clear_names(docs, names)
 
     def predicted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classifier = Classifier(profiles, size)
         for batch in batches:
             found = [classifier.predict(t) for t in batch[text]]
-            yield batch.assign(lang_pred=[x for x, _ in found], score=[s for _, s in found])
+            yield batch.assign(**{names[0]: [x for x, _ in found], names[1]: [s for _, s in found]})
 
-    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in docs.dtypes), "lang_pred string, score double"])
+    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in docs.dtypes), f"`{names[0]}` string, `{names[1]}` double"])
     return docs.mapInPandas(predicted, schema)

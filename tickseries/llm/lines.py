@@ -28,7 +28,6 @@ BITS_PER_KEY = 2.0
 
 _PAIR = np.dtype([("h1", np.int64), ("h2", np.int64)])
 _INDEX = "shard long, n_keys long, widths binary, bits binary, prints binary, counts binary"
-_ADDED = ["n_lines", "n_dropped"]
 
 
 def line_key(line: bytes) -> bytes:
@@ -140,15 +139,16 @@ def dedup_lines(
     text: str = "text",
     keys_per_shard: int = KEYS_PER_SHARD,
     documents_per_chunk: int = DOCUMENTS_PER_CHUNK,
+    names: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """The documents without the lines whose key stands in `min_documents` rows or more; adds n_lines and n_dropped.
+    """The documents without the lines whose key stands in `min_documents` rows or more; adds n_lines and n_dropped, or other `names`.
 
     A line's key has no white space at its ends and A-Z in lower case. A key of no characters never goes. Every row counts
     as a document of its own, repeated ids and copies too, and a line that a row repeats counts once. A null or
-    empty text is one empty line and comes back as an empty text. Other columns pass unchanged; columns that are already called
-    n_lines or n_dropped are replaced. An empty table gives an empty result.
+    empty text is one empty line and comes back as an empty text. Other columns pass unchanged; columns that already have
+    these names are replaced. An empty table gives an empty result.
     """
-    docs = clear_names(docs, _ADDED)
+    docs = clear_names(docs, names)
     counts = materialize(count_lines(docs, text), "line-counts")
     n_shards = max(1, math.ceil(counts.count() / keys_per_shard))
     n_chunks = max(1, math.ceil(docs.count() / documents_per_chunk))
@@ -187,9 +187,9 @@ def dedup_lines(
             kept.append(b"\n".join(stay).decode())
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
-        return rows.drop(columns="_chunk").assign(**{text: kept, "n_lines": n_lines, "n_dropped": n_dropped})
+        return rows.drop(columns="_chunk").assign(**{text: kept, names[0]: n_lines, names[1]: n_dropped})
 
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in docs.dtypes) + ", n_lines long, n_dropped long"
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in docs.dtypes) + f", `{names[0]}` long, `{names[1]}` long"
     return chunked.groupBy("_chunk").cogroup(gone.groupBy("chunk")).applyInPandas(drop, schema)
 
 

@@ -40,7 +40,7 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s USI
 WITH h AS (SELECT page_id, coalesce(html, '') AS p FROM pages
 ), x AS (SELECT page_id, p, upper(sha1(p)) AS s FROM h
 ), bits AS (
-  SELECT page_id, p, array_to_string(list_transform(range(1, 41), i ->
+  SELECT page_id, p, array_to_string(list_transform(range(1, 41), lambda i:
     ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
     [strpos('0123456789ABCDEF', substr(s, i::INT, 1))]), '') AS b FROM x
 ), dg AS (
