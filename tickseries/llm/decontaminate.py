@@ -33,15 +33,27 @@ BANDS_PER_WALK = 4
 FILTER_BITS = 1 << 23
 WINDOWS_AT_ONCE = 1 << 14
 WINDOWS_HELD = 1 << 18
+WORDS_HELD = 500_000
 
 _WORD = re.compile(r"\w+")
 _HIT = "doc_id long, start long, size long, window long, words array<long>, buckets array<long>"
 
 
-def words_of(text: str | None) -> np.ndarray:
-    """The words of a text in lower case, without punctuation, as 64-bit hashes over 0."""
+class Hashes(dict):
+    """Hashes over 0 of the words that a task has met; forgets them all when they are many."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word.encode()) >> 1 | 1
+        return found
+
+
+def words_of(text: str | None, hashes: Hashes | None = None) -> np.ndarray:
+    """The words of a text in lower case, without punctuation, as 64-bit hashes."""
+    hashes = Hashes() if hashes is None else hashes
+    if len(hashes) > WORDS_HELD:
+        hashes.clear()
     found = _WORD.findall((text or "").lower())
-    return np.array([xxhash.xxh64_intdigest(w.encode()) >> 1 | 1 for w in found], np.int64)
+    return np.array([hashes[w] for w in found], np.int64)
 
 
 def allowed_edits(n_words, similarity: float = SIMILARITY):
@@ -145,9 +157,9 @@ def _of_size(tag: int, size, keys: np.ndarray) -> np.ndarray:
     return (_random(tag, size, keys) >> np.uint64(1)).astype(np.int64)
 
 
-def known_by_size(sized: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def known_by_size(sized: np.ndarray, words: np.ndarray, pairs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Which words, and which pairs of neighbours, stand in items of one size."""
-    return _holds(sized, _of_size(17, size, words)), _holds(sized, _of_size(19, size, pairs_of(words)))
+    return _holds(sized, _of_size(17, size, words)), _holds(sized, _of_size(19, size, pairs))
 
 
 def narrowed(starts: np.ndarray, size: int, edit: int, known: np.ndarray, known_pairs: np.ndarray) -> np.ndarray:
@@ -253,15 +265,19 @@ def contaminated(
             frame = frame.astype({"words": object, "buckets": object})  # also without rows
             return frame[["doc_id", "start", "size", "window", "words", "buckets"]]
 
+        hashes = Hashes()
         waiting: dict[int, list[tuple]] = {}
         for batch in batches:
             for key, t in batch.itertuples(index=False):
-                words = words_of(t)
+                words = words_of(t, hashes)
                 if not len(words):
                     continue
-                known, known_pairs = _holds(vocabulary, words), _holds(pair_bits, pairs_of(words))
+                word_pairs = pairs_of(words)
+                known, known_pairs = _holds(vocabulary, words), _holds(pair_bits, word_pairs)
                 for size, starts in window_starts(known, known_pairs, sizes, edits):
-                    starts = narrowed(starts, size, int(allowed_edits(size, similarity)), *known_by_size(sized, words, size))
+                    low, high = int(starts[0]), int(starts[-1]) + size
+                    own = known_by_size(sized, words[low:high], word_pairs[low : high - 1], size)
+                    starts = low + narrowed(starts - low, size, int(allowed_edits(size, similarity)), *own)
                     if not len(starts):
                         continue
                     places = starts[:, None] + np.arange(size)[None, :]
