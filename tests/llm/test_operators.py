@@ -403,6 +403,20 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, none).collect() == [] == decontaminate.contaminated(docs.where("false"), bench).collect()
 
 
+@pytest.mark.parametrize("size", [50, 100, 200])
+def test_decontamination_finds_long_items_at_the_edit_limit(spark, size):
+    rng = random.Random(size)
+    items = [[f"w{i}x{j}" for j in range(size)] for i in range(150)]
+    copies = []
+    for i, item in enumerate(items):
+        at = range(i % 5, size, 5) if i % 2 else rng.sample(range(size), size // 5)
+        copies.append([f"{w}changed" if j in set(at) else w for j, w in enumerate(item)])
+    docs, bench = (spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(x)], f"{k} long, text string") for x, k in ((copies, "doc_id"), (items, "item_id")))
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert all(r["doc_id"] == r["item_id"] and r["distance"] == size // 5 for r in found)
+    assert len(found) >= 149
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------------
 
 

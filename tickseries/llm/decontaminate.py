@@ -3,8 +3,10 @@
 Texts are words, and edits insert, delete or change a word. A window is as long as the item. The CGK embedding walks over
 a string of n words for 3n steps, repeats the present word, and at each step moves on or stays as a random bit of (step, word) says; a
 small edit distance becomes a small Hamming distance, as two walks soon meet again behind an edit. Bit sampling takes a few
-steps of an embedding for a bucket; repeated, with walks and steps drawn anew, it finds a pair with the target recall. Windows and
-items that share a bucket are then verified by their exact edit distance.
+steps of an embedding for a bucket, near each other, since two walks that agree at one step mostly agree at the next ones too. Each
+bucket has a walk of its own. How many a length needs is measured: pairs of that length with as many edits as are allowed, of
+several kinds, are walked, and the kind that meets least must reach the target recall. Windows and items that share a bucket are then
+verified by their exact edit distance.
 
 Each edit spoils one word and two pairs of neighbouring words at most, so a window in which more words or pairs stand in no item
 of its length is not embedded; nothing within reach is lost by it. Equal windows are embedded once in a task and joined and
@@ -16,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,8 +31,10 @@ from tickseries.llm.common import materialize, splitmix
 SIMILARITY = 0.8
 TARGET_RECALL = 0.999
 SAMPLED_STEPS = 3
-AGREEMENT = 0.5
-BANDS_PER_WALK = 4
+STEPS_APART = 3
+MEASURED_PAIRS = 16
+MEASURED_WALKS = 128
+MEASURED_ONE_BY_ONE = 20
 FILTER_BITS = 1 << 23
 WINDOWS_AT_ONCE = 1 << 14
 WINDOWS_HELD = 1 << 18
@@ -61,10 +66,66 @@ def allowed_edits(n_words, similarity: float = SIMILARITY):
     return np.floor(np.asarray(n_words) * (1 - similarity) + 1e-9).astype(np.int64)
 
 
-def repetitions(target_recall: float = TARGET_RECALL, agreement: float = AGREEMENT, steps: int = SAMPLED_STEPS) -> int:
-    """Buckets a window is put into, so that a pair whose walks agree in the share `agreement` of their steps meets with the target
-    recall."""
-    return math.ceil(math.log(1 - target_recall) / math.log(1 - agreement**steps))
+def _limit_pair(n: int, edits: int, kind: str, even: bool, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Two strings of n words within so many edits, evenly spread or at random places. What insertions push out of the second one,
+    or deletions leave open at its end, takes edits too."""
+    n_places = edits if kind in ("change", "alternate") else edits // 2
+    spread = ((np.arange(n_places) + rng.random()) * n / max(n_places, 1)).astype(np.int64)
+    edited = np.zeros(n, bool)
+    edited[spread if even else rng.choice(n, n_places, replace=False)] = True
+    nth = np.cumsum(edited)
+    inserts = edited & ((kind == "insert") | ((kind == "alternate") & (nth % 2 == 0)))
+    deletes = edited & ((kind == "delete") | ((kind == "alternate") & (nth % 2 == 1)))
+    own = np.where(edited & (kind == "change"), n + np.arange(n), np.arange(n))
+    other = np.insert(own, np.flatnonzero(inserts), 2 * n + np.flatnonzero(inserts))
+    other = other[~np.insert(deletes, np.flatnonzero(inserts), False)]
+    return np.arange(n), np.concatenate([other, 3 * n + np.arange(n)])[:n]
+
+
+def _meeting(n: int, edits: int, kind: str, even: bool) -> np.ndarray:
+    """For some pairs of strings of n words with so many edits: the chance that one walk puts both into one bucket."""
+    rng = np.random.default_rng(n)
+    pairs = [_limit_pair(n, edits, kind, even, rng) for _ in range(MEASURED_PAIRS)]
+    one, two = (np.repeat([np.append(p[i], -1) for p in pairs], MEASURED_WALKS, axis=0) for i in (0, 1))
+    rows, n_starts = np.arange(len(one)), _starts(n)
+    at, other, met = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64), np.zeros(len(one))
+    agreed = []  # of the last steps
+    for step in range(n_starts + (SAMPLED_STEPS - 1) * STEPS_APART):
+        same = one[rows, at] == two[rows, other]
+        agreed = [*agreed[-(SAMPLED_STEPS - 1) * STEPS_APART :], same]
+        if step >= (SAMPLED_STEPS - 1) * STEPS_APART:
+            met += np.logical_and.reduce(agreed[::STEPS_APART])
+        moves = rng.integers(0, 2, (2, len(one)))
+        at, other = np.minimum(at + moves[0], n), np.minimum(other + np.where(same, moves[0], moves[1]), n)
+    return met.reshape(MEASURED_PAIRS, MEASURED_WALKS).mean(axis=1) / n_starts
+
+
+@lru_cache(maxsize=None)
+def _walks_at(n: int, edits: int, target_recall: float) -> int:
+    most = 1
+    for kind in ("change", "insert", "delete", "alternate"):
+        for even in (True, False):
+            chance = np.maximum(_meeting(n, edits, kind, even), 1e-6)
+            while np.mean((1 - chance) ** most) > 1 - target_recall:
+                most += 1
+    return most
+
+
+def repetitions(n: int, target_recall: float = TARGET_RECALL, similarity: float = SIMILARITY) -> int:
+    """Walks, with a bucket each, that strings of n words need: a pair with all the edits that are allowed meets with the target recall.
+
+    Measured for the kind of edits that spoils most; a tenth is added for the error of the measurement. Above MEASURED_ONE_BY_ONE
+    words a length takes the figure of one up to a quarter longer, as longer strings need more.
+    """
+    edits = int(allowed_edits(n, similarity))
+    if not edits:
+        return 1
+    size = MEASURED_ONE_BY_ONE
+    while size < n:
+        size = math.ceil(size / 4) * 5
+    if n > MEASURED_ONE_BY_ONE:
+        n, edits = size, math.ceil(size * (1 - similarity) - 1e-9)
+    return math.ceil(1.1 * _walks_at(n, edits, target_recall))
 
 
 def _random(*parts) -> np.ndarray:
@@ -75,23 +136,32 @@ def _random(*parts) -> np.ndarray:
     return x
 
 
-def buckets(strings: np.ndarray, n_bands: int, steps: int = SAMPLED_STEPS) -> np.ndarray:
-    """The buckets (strings x bands) of strings of one length, given as rows of word hashes."""
+def _starts(n: int) -> int:
+    """Steps at which the sample of a walk may begin. A walk of n words is mostly at their end after 2n of its 3n steps; samples are
+    drawn from those 2n."""
+    return max(1, 2 * n - (SAMPLED_STEPS - 1) * STEPS_APART)
+
+
+def buckets(strings: np.ndarray, n_walks: int) -> np.ndarray:
+    """The buckets (strings x walks) of strings of one length, given as rows of word hashes."""
     n_strings, n = strings.shape
-    n_walks = -(-n_bands // BANDS_PER_WALK)
     padded = np.concatenate([strings, np.zeros((n_strings, 1), np.int64)], axis=1)  # the end, repeated from there on
-    bands, walks = np.arange(n_bands), np.arange(n_walks)
-    # A walk of n words is mostly at their end after 2n of its 3n steps; samples are drawn from those 2n.
-    sampled = (_random(7, bands[:, None], np.arange(steps)[None, :]) % np.uint64(max(1, 2 * n))).astype(np.int64)
-    keys = np.tile(_random(11, bands, n), (n_strings, 1))
+    first = (_random(7, np.arange(n_walks)) % np.uint64(_starts(n))).astype(np.int64)
+    walks = np.argsort(first, kind="stable")  # walks whose sample ends early come first and stop there
+    first = first[walks]
+    last = first + (SAMPLED_STEPS - 1) * STEPS_APART
+    keys = np.tile(_random(11, walks, n), (n_strings, 1))
     rows, position = np.arange(n_strings)[:, None], np.zeros((n_strings, n_walks), np.int64)
-    for step in range(int(sampled.max()) + 1):
+    done = 0
+    for step in range(int(last[-1]) + 1):
+        left = int(np.searchsorted(last, step))
+        position, done = position[:, left - done :], left
         word = padded[rows, position]
-        for place in range(steps):
-            band = np.flatnonzero(sampled[:, place] == step)
-            if len(band):
-                keys[:, band] = _random(keys[:, band], place, word[:, band // BANDS_PER_WALK])
-        position = np.minimum(position + (_random(walks[None, :], step, word) & np.uint64(1)).astype(np.int64), n)
+        place, rest = np.divmod(step - first[left:], STEPS_APART)
+        sampled = np.flatnonzero((place >= 0) & (rest == 0))
+        if len(sampled):
+            keys[:, left + sampled] = _random(keys[:, left + sampled], place[sampled], word[:, sampled])
+        position = np.minimum(position + (_random(walks[left:], step, word) & np.uint64(1)).astype(np.int64), n)
     return (keys >> np.uint64(1)).astype(np.int64)
 
 
@@ -210,19 +280,19 @@ def contaminated(
     Windows go through a bitmap of the items' buckets, whose size is fixed, and join the items by bucket; no item
     is sent to all tasks.
     """
-    n_bands = repetitions(target_recall)
     items = materialize(item_words(benchmark, item_id, item_text), "items")
     sizes = np.array(sorted(r[0] for r in items.select("size").distinct().collect()), np.int64)  # lengths of items
     nothing = "doc_id long, item_id long, start long, distance long"
     if not len(sizes):
         return docs.sparkSession.createDataFrame([], nothing)
     edits = allowed_edits(sizes, similarity)
+    n_walks = {n: repetitions(n, target_recall, similarity) for n in sizes.tolist()}
 
     def item_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, same in batch.groupby("size"):
-                found = buckets(np.stack(same["words"]), n_bands)
-                ids = np.repeat(same["item_id"].to_numpy(), n_bands)
+            for size, same in batch.groupby("size"):
+                found = buckets(np.stack(same["words"]), n_walks[size])
+                ids = np.repeat(same["item_id"].to_numpy(), n_walks[size])
                 yield pd.DataFrame({"item_id": ids, "bucket": found.ravel()})
 
     in_buckets = materialize(items.select("item_id", "size", "words").mapInPandas(item_buckets, "item_id long, bucket long"), "buckets")
@@ -249,7 +319,7 @@ def contaminated(
             distinct, first = np.unique(keys, return_index=True)
             new = np.array([k not in met for k in distinct.tolist()], bool)
             if new.any():
-                own = buckets(windows[first[new]], n_bands)
+                own = buckets(windows[first[new]], n_walks[size])
                 shared = _holds(bucket_bits, own.ravel()).reshape(own.shape)
                 met.update({k: b[s] for k, b, s in zip(distinct[new].tolist(), own, shared)})
             lists = [met[k] for k in keys.tolist()]
