@@ -417,6 +417,17 @@ def test_decontamination_finds_long_items_at_the_edit_limit(spark, size):
     assert len(found) >= 149
 
 
+def test_clean_rows_stay_whatever_their_id(spark):
+    item = prose(77, 30)
+    rows = [(None, f"so {item} so", 0), (None, prose(78, 50), 1), (None, None, 2), (None, "", 3), (4, item, 4), (4, prose(79, 50), 5), (4, item, 6), (5, prose(80, 9), 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long").repartition(3)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r["row"] for r in decontaminate.drop_contaminated(docs, bench).collect()) == [1, 2, 3, 5, 7]
+    renamed = docs.withColumnRenamed("text", "body").withColumns({"_key": F.lit("x"), "_found": F.lit(1)})
+    kept = decontaminate.drop_contaminated(renamed, bench, text="body", doc_id="doc_id")
+    assert kept.columns == renamed.columns and sorted(r["row"] for r in kept.collect()) == [1, 2, 3, 5, 7]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------------
 
 

@@ -389,7 +389,14 @@ def _window_keys(windows: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """The documents that contain no item; the columns stay as they are."""
-    found = contaminated(docs, benchmark, **parameters).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **parameters) -> DataFrame:
+    """The documents that contain no item; the columns stay as they are.
+
+    Whether a document goes depends on its text alone, so rows are told apart by a 64-bit hash of the text: null and repeated ids
+    do not matter, and rows without a text stay.
+    """
+    key = F.when(docs[text].isNotNull(), F.xxhash64(docs[text].cast("string")))
+    keyed = docs.select(key.alias("_key"), docs[text].alias("_text")).where(F.col("_key").isNotNull())
+    parameters = parameters | {"doc_id": "_key", "text": "_text"}
+    found = contaminated(keyed, benchmark, **parameters).select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, key == found["_found"], "left_anti")
