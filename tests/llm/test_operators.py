@@ -204,6 +204,22 @@ def test_scores(spark, docs, head, monkeypatch):
     assert key(got) == key(want)
 
 
+def test_places_of_grams_are_bounded(spark, docs, monkeypatch):
+    monkeypatch.setattr(ppm, "GRAMS_PER_NODE", 6)
+    monkeypatch.setattr(ppm, "GRAMS_PER_PLACE", 50)
+    small = docs.where(F.length("text") < 300)
+    learns = F.col("doc_id") % 3 != 1
+    grams = ppm.count_grams(small.select("text", F.coalesce(learns, F.lit(False)).alias("learns"))).cache()
+    placed = ppm.dealt(grams, ppm.split_endings(grams))
+    sizes = [r["count"] for r in placed.groupBy("place").count().collect()]
+    by_last_byte = [r["count"] for r in grams.groupBy(F.expr("code >> 8 & 255")).count().collect()]
+    assert sum(sizes) == sum(by_last_byte) and max(sizes) <= 100 < max(by_last_byte)
+    assert {r["depth"] for r in placed.select("depth").distinct().collect()} >= {2, 3, 4}
+    train = [(r["text"] or "").encode() for r in small.collect() if r["doc_id"] is not None and r["doc_id"] % 3 != 1]
+    want = [(r["doc_id"], round(ppm_log10(train, r["text"].encode()), 6)) for r in small.collect()]
+    assert key((r["doc_id"], round(r["score"], 6)) for r in ppm.score(small, learns).collect()) == key(want)
+
+
 def test_scores_of_nothing(spark, docs):
     assert ppm.score(docs.where("false"), F.lit(True)).collect() == []
     one = ppm.score(spark.createDataFrame([(1, "ab")], "doc_id long, text string"), F.lit(False)).first()

@@ -6,13 +6,17 @@ estimate is the share of the context's distinct followers (method C), and the co
 the bytes that the longer context would have predicted are excluded there. Below the empty context all bytes left
 are alike. Texts begin after, and end with, a byte that UTF-8 does not have, so probabilities of texts add up to one.
 
-The counts of all training texts meet by gram (context and byte). The code length of each gram that any text has follows from
-the trie of its shard, all contexts that end in one byte. Texts then look the code lengths up: the most frequent grams, a
-fixed number, are sent to every task; the others are joined.
+The counts of all training texts meet by gram (context and byte). Grams are dealt into places of about GRAMS_PER_PLACE by the last two
+bytes of their context; endings that more than GRAMS_PER_NODE grams have are split by the byte before, down to whole contexts, which have
+256 grams at most. A place has all grams of its endings and of longer contexts, so their tries are whole there; what follows the
+shorter contexts, that is all bytes and pairs and the endings that were split, is counted beforehand and sent to every task. The
+code lengths of grams follow from both. Texts then look the code lengths up: the most frequent grams, a fixed number, are sent to
+every task; the others are joined.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,6 +33,9 @@ FREQUENT_GRAMS = 1 << 20
 FREQUENT_WORDS = 1 << 18
 BYTES_AT_ONCE = 1 << 20
 GRAMS_HELD = 1 << 20
+GRAMS_PER_NODE = 1 << 16
+GRAMS_PER_PLACE = 1 << 18
+LEAST_DEPTH = 2
 
 _MASKS = [np.int64((1 << (8 * k)) - 1) for k in range(ORDER + 2)]
 
@@ -60,7 +67,7 @@ def _groups(texts: list[bytes]) -> Iterator[list[int]]:
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(code, shard, n, seen): how often each gram stands in training texts, and in all."""
+    """(code, n, seen): how often each gram stands in training texts, and in all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []  # codes, counts in training texts, counts in all: added up in the task as they become many
@@ -84,9 +91,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(dict(zip(("code", "n", "seen"), _added(held))))
 
     counted = docs.select("text", "learns").mapInPandas(count, "code long, n long, seen long")
-    summed = counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
-    # The last byte of the context. All shorter contexts but the empty one end in it too.
-    return summed.withColumn("shard", F.shiftright("code", 8).bitwiseAND(F.lit(0xFF)))
+    return counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def _added(parts: list[np.ndarray]) -> np.ndarray:
@@ -133,17 +138,29 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
+Followers = list[tuple[np.ndarray, np.ndarray]]  # by order: the grams of some contexts, sorted, and their counts
+
+
 class Trie:
-    """Counts by context for the orders 0 to ORDER, from the counts of whole grams (and, for order 0, of all bytes)."""
+    """Counts by context for the orders 0 to ORDER, for grams of one place.
+
+    `depths` tells how many bytes of a gram's context it was dealt by. Contexts of that order and above have all their grams here; what
+    follows the shorter ones is taken from `split`.
+    """
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, byte_counts: np.ndarray):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, depths: np.ndarray, split: Followers):
         self.grams, self.n, self.contexts, self.total, self.distinct = [], [], [], [], []
         for order in range(ORDER + 1):
-            if order:
-                grams, where = np.unique(codes & _MASKS[order + 1], return_inverse=True)
-                n = np.bincount(where, counts, len(grams)).astype(np.int64) if len(grams) else np.zeros(0, np.int64)
-            else:
-                grams, n = np.flatnonzero(byte_counts), byte_counts[byte_counts > 0]
+            own = (depths <= order) & (counts > 0)
+            grams, where = np.unique(codes[own] & _MASKS[order + 1], return_inverse=True)
+            n = np.bincount(where, counts[own], len(grams)).astype(np.int64)
+            known, known_n = split[order]
+            asked = np.unique((codes[depths > order] >> 8) & _MASKS[order])
+            low, high = np.searchsorted(known, asked << 8), np.searchsorted(known, (asked + 1) << 8)
+            at = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange(int((high - low).sum()))
+            grams, n = np.concatenate([grams, known[at]]), np.concatenate([n, known_n[at]])
+            by_gram = np.argsort(grams)
+            grams, n = grams[by_gram], n[by_gram]
             contexts, where = np.unique(grams >> 8, return_inverse=True)
             self.grams.append(grams)
             self.n.append(n)
@@ -184,18 +201,59 @@ class Trie:
         return np.where(open_, result - np.log10(max(left, 1)), result)
 
 
+def _ending(order: int):
+    """The last bytes of a gram's context."""
+    return F.shiftright("code", 8).bitwiseAND(F.lit(int(_MASKS[order])))
+
+
+def split_endings(grams: DataFrame) -> dict[int, list[int]]:
+    """By length: the endings of contexts, from LEAST_DEPTH bytes on, that more than GRAMS_PER_NODE grams have. There is at most one a length
+    for every so many grams."""
+    split, within = {}, grams
+    for order in range(LEAST_DEPTH, ORDER):
+        sizes = within.groupBy(_ending(order).alias("ending")).count().where(F.col("count") > GRAMS_PER_NODE)
+        split[order] = [r["ending"] for r in sizes.collect()]
+        if not split[order]:
+            break
+        within = within.where(_ending(order).isin(split[order]))
+    return split
+
+
+def dealt(grams: DataFrame, split: dict[int, list[int]]) -> DataFrame:
+    """Adds `depth`, the bytes of the context that a gram is dealt by, and `place`."""
+    depth, ending = F.lit(LEAST_DEPTH), _ending(LEAST_DEPTH)
+    for order in sorted(k for k in split if split[k]):
+        inside = _ending(order).isin(split[order])
+        depth, ending = F.when(inside, order + 1).otherwise(depth), F.when(inside, _ending(order + 1)).otherwise(ending)
+    places = max(1, math.ceil(grams.count() / GRAMS_PER_PLACE))
+    return grams.withColumns({"depth": depth.cast("tinyint"), "place": F.pmod(F.xxhash64(depth, ending), F.lit(places))})
+
+
+def split_followers(grams: DataFrame, split: dict[int, list[int]]) -> Followers:
+    """What follows the contexts whose grams lie in several places: the empty one, single bytes and the endings that were split."""
+    learned, found = grams.where(F.col("n") > 0), []
+    for order in range(ORDER + 1):
+        if order < LEAST_DEPTH or split.get(order):
+            rows = learned if order < LEAST_DEPTH else learned.where(_ending(order).isin(split[order]))
+            gram = F.col("code").bitwiseAND(F.lit(int(_MASKS[order + 1])))
+            counted = rows.groupBy(gram.alias("gram")).agg(F.sum("n").alias("n")).toArrow().sort_by("gram")
+            found.append((counted["gram"].to_numpy(), counted["n"].to_numpy()))
+        else:
+            found.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    return found
+
+
 def code_lengths(grams: DataFrame) -> DataFrame:
-    """(code, log10): the code length of every gram, from the rows of `count_grams`."""
-    byte_counts = np.zeros(256, np.int64)
-    for row in grams.groupBy(F.col("code").bitwiseAND(F.lit(0xFF)).alias("byte")).agg(F.sum("n").alias("n")).collect():  # 256 at most
-        byte_counts[row["byte"]] = row["n"]
+    """(code, log10, seen): the code length of every gram, from the rows of `count_grams`."""
+    split = split_endings(grams)
+    followers = split_followers(grams, split)
 
     def price(rows: pd.DataFrame) -> pd.DataFrame:
-        codes, n = rows["code"].to_numpy(), rows["n"].to_numpy()
-        trie = Trie(codes[n > 0], n[n > 0], byte_counts)
+        codes = rows["code"].to_numpy()
+        trie = Trie(codes, rows["n"].to_numpy(), rows["depth"].to_numpy(), followers)
         return pd.DataFrame({"code": codes, "log10": trie.log10(codes), "seen": rows["seen"].to_numpy()})
 
-    return grams.groupBy("shard").applyInPandas(price, "code long, log10 double, seen long")
+    return dealt(grams, split).groupBy("place").applyInPandas(price, "code long, log10 double, seen long")
 
 
 def tokens_of(text: str | None) -> list[bytes]:
