@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickseries.llm import bpe, decontaminate, embeddings, idfiles, langid, lines, ppm, secret_scan, simhash, warc
+from tickseries.llm import bpe, decontaminate, embeddings, htmltext, idfiles, langid, lines, ppm, secret_scan, simhash, spelling, vector_codes, warc
 from tickseries.llm.common import crc_remainder
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -83,6 +83,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), spoil_divisor=spelling.SPOIL_DIVISOR)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,5 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_id_files,
         op9_warc,
         op10_secret_scan,
+        op11_spelling_variants,
+        op12_vector_codes,
+        op13_html_extraction,
     )
 }
