@@ -10,6 +10,9 @@ the length of the shorter word. That loses no pair. Large blocks are dealt into
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -19,14 +22,15 @@ from pyspark.sql import functions as F
 
 from tickseries.llm.common import materialize, tile_pairs
 
-# A word: the longest runs of these letters.
-RUN = "[A-Za-zÀ-ÿ]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# A word is a longest run of these letters.
+RUN = "[A-Za-zÀ-ÿ]"
 LEAST_LETTERS = 5
 LEAST_COUNT = 3
 # A form is at least this many times as frequent as its variant.
 TIMES = 2
 WORDS_PER_TILE = 2048
+# Different words that a task counts before it passes them on.
+WORDS_IN_TASK = 250_000
 # One in so many (document, word) pairs loses a letter, where a caller asks for that.
 SPOIL_DIVISOR = 97
 
@@ -42,21 +46,31 @@ def count_words(
 
     With `spoil_divisor`, of the words of a document those whose crc32 of `<key>:<word>` it divides lose the letter at crc32 modulo
     length: spelling errors by rule. Null texts have no words, a null key is written as empty text, repeated rows count
-    again. Occurrences are counted in each task before the shuffle, so a word that fills a third of all texts is one row a task.
+    again. Tasks count before the shuffle, so a word that fills a third of all texts is a few rows a task.
     """
-    runs = docs.select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.explode(F.regexp_extract_all(text, F.lit(RUN), F.lit(0))).alias("run")
-    )
-    # The fast way where lower-casing can change nothing but A-Z.
-    lowered = F.when(F.octet_length("run") == F.length("run"), F.lower("run")).otherwise(F.translate("run", UPPER, LOWER))
-    words = runs.select("k", lowered.alias("word"))
-    if spoil_divisor is not None:
-        mixed = F.crc32(F.concat("k", F.lit(":"), "word").cast("binary"))
-        at = F.pmod("h", F.length("word")).cast("int")
-        cut = F.concat(F.col("word").substr(F.lit(1), at), F.col("word").substr(at + 2, F.length("word")))
-        words = words.select("word", mixed.alias("h")).select(F.when(F.col("h") % spoil_divisor == 0, cut).otherwise(F.col("word")).alias("word"))
-    counted = words.where(F.length("word") >= least_letters).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") >= least_count)
+    longest_runs = re.compile(f"{RUN}{{{least_letters},}}")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for name, whole in zip(batch["k"], batch["text"]):
+                start = zlib.crc32(f"{name}:".encode())
+                # Lower-casing bytes changes A-Z only.
+                for word, n in Counter(longest_runs.findall(whole.encode().lower().decode())).items():
+                    if spoil_divisor is not None:
+                        h = zlib.crc32(word.encode(), start)
+                        if h % spoil_divisor == 0:
+                            at = h % len(word)
+                            word = word[:at] + word[at + 1 :]
+                    counts[word] += n
+                if len(counts) >= WORDS_IN_TASK:
+                    yield pd.DataFrame(counts.items(), columns=["word", "n"])
+                    counts.clear()
+        yield pd.DataFrame(counts.items(), columns=["word", "n"]).astype({"n": "int64"})
+
+    texts = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.col(text).alias("text"))
+    counted = texts.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.where((F.col("n") >= least_count) & (F.length("word") >= least_letters))
 
 
 def _blocks(words: DataFrame, least_letters: int) -> DataFrame:
