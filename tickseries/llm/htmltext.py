@@ -56,7 +56,7 @@ IMPLIED = {
 DEEPEST = 512
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?--!?>|.*)"  # a comment, or one that never ends
+    r"<!--(?:-?>|.*?--!?>|.*)"  # a comment, or one that never ends
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^=>]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"  # a tag with its attributes
     r"|</?[a-zA-Z].*"  # a tag that never ends
     r"|<(?:[!?]|/[^a-zA-Z])[^>]*+>?",  # a declaration
