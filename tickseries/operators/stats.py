@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickseries.operators.windows import ordered_window
+from tickseries.operators.windows import ROWS_PER_TASK, ordered_window
 
 
 def _frame(w, rows: int):
@@ -100,13 +100,17 @@ def fit_linear(df: DataFrame, label: str, features: Sequence[str], by: Sequence[
     pairs = F.array(*[F.covar_pop(a, b) for a in names for b in names])
     sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), means.alias("_means"), pairs.alias("_pairs"))
 
+    fitted = sums.withColumn("_c", _solver()("_means", "_pairs"))
+    coefficients = [F.col("_c")[i + 1].alias(f"coef_{f}") for i, f in enumerate(features)]
+    return fitted.select(*by, "n_rows", F.col("_c")[0].alias("intercept"), *coefficients)
+
+
+def _solver():
     @F.pandas_udf("array<double>")
     def solve(means: pd.Series, pairs: pd.Series) -> pd.Series:
         return pd.Series([_solve(np.array(m, float), np.array(p, float)) for m, p in zip(means, pairs)], dtype=object)
 
-    fitted = sums.withColumn("_c", solve("_means", "_pairs"))
-    coefficients = [F.col("_c")[i + 1].alias(f"coef_{f}") for i, f in enumerate(features)]
-    return fitted.select(*by, "n_rows", F.col("_c")[0].alias("intercept"), *coefficients)
+    return solve
 
 
 def _solve(means: np.ndarray, pairs: np.ndarray) -> list[float | None]:
@@ -125,3 +129,89 @@ def predict_linear(df: DataFrame, fitted: DataFrame, features: Sequence[str], by
     coefficients = fitted.select(*by, "intercept", *[f"coef_{f}" for f in features])
     joined = df.join(coefficients, list(by), "left")
     return joined.withColumn("predicted", value).drop("intercept", *[f"coef_{f}" for f in features])
+
+
+def walk_forward(
+    df: DataFrame, label: str, features: Sequence[str], by: Sequence[str], period: Column, least_rows: int = 10
+) -> DataFrame:
+    """Adds `predicted` by a least-squares fit on the rows of all earlier periods of the group only, and `n_fitted`, their number.
+
+    A row never takes part in a fit that predicts it, nor does a later one. Null where earlier periods have fewer than
+    `least_rows` complete rows or determine no fit. One aggregation gives the sums of products per period, running sums over
+    these few rows are the sums of everything earlier, and each period solves one small system.
+    """
+    rows = df.withColumn("_period", period)
+    fitted = _fits_before(rows, label, features, by, least_rows)
+    value = reduce(add, (F.col("_c")[i + 1] * F.col(f) for i, f in enumerate(features)), F.col("_c")[0])
+    same = reduce(and_, (rows[c].eqNullSafe(fitted[f"_of_{c}"]) for c in by), rows["_period"] == fitted["_for"])
+    joined = rows.join(fitted, same, "left")
+    return joined.select(*[rows[c] for c in df.columns], value.alias("predicted"), F.coalesce("n_fitted", F.lit(0)).alias("n_fitted"))
+
+
+def _fits_before(rows: DataFrame, label: str, features: Sequence[str], by: Sequence[str], least_rows: int) -> DataFrame:
+    """(by as _of_<by>, _for, n_fitted, _c) for each period of `_period`: the coefficients from all rows of earlier periods."""
+    names = [label, *features]
+    complete = reduce(and_, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in names))
+    x = [F.when(complete, F.col(c).cast("double")) for c in names]
+    terms = {"_n": F.count_if(complete), **{f"_s{i}": F.coalesce(F.sum(c), F.lit(0.0)) for i, c in enumerate(x)}}
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    terms |= {f"_q{i}_{j}": F.coalesce(F.sum(x[i] * x[j]), F.lit(0.0)) for i, j in pairs}
+    sums = rows.groupBy(*by, "_period").agg(*[c.alias(name) for name, c in terms.items()])
+    earlier = Window.partitionBy(*by).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*by, "_period", *[F.sum(name).over(earlier).alias(name) for name in terms])
+    n = F.col("_n")
+    means = F.array(*[F.col(f"_s{i}") / n for i in range(len(x))])
+    covariances = F.array(
+        *[F.col(f"_q{min(i, j)}_{max(i, j)}") / n - F.col(f"_s{i}") * F.col(f"_s{j}") / (n * n) for i in range(len(x)) for j in range(len(x))]
+    )
+    enough = before.where(n >= least_rows)
+    return enough.select(
+        *[F.col(f"`{c}`").alias(f"_of_{c}") for c in by], F.col("_period").alias("_for"), n.alias("n_fitted"), _solver()(means, covariances).alias("_c")
+    )
+
+
+def forecast_errors(df: DataFrame, actual: str, predicted: str, by: Sequence[Column | str], naive: str | None = None) -> DataFrame:
+    """n, mean_abs_error and rmse of predictions per group, over rows that have both; with `naive`, also those of that column as the prediction."""
+    seen = df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    out = [F.count(F.lit(1)).alias("n")]
+    for column, prefix in ((predicted, ""), *([(naive, "naive_")] if naive else [])):
+        error = F.col(column) - F.col(actual)
+        out += [F.avg(F.abs(error)).alias(f"{prefix}mean_abs_error"), F.sqrt(F.avg(error * error)).alias(f"{prefix}rmse")]
+    return seen.groupBy(*by).agg(*out)
+
+
+def next_value(df: DataFrame, fitted: DataFrame, value: str, lags: int, by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The value after the last row of each group, which has not happened yet: (by, the last row's first order column, predicted).
+
+    `fitted` are coefficients of `lag_1` ... as `fit_linear` gives them. Each task passes on the last `lags` rows of a group only. Groups with
+    fewer rows have no forecast.
+    """
+    latest = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in order_by])
+    last = df.withColumn("_k", F.row_number().over(latest)).where(F.col("_k") <= lags)
+    held = {f"_v{k}": F.max(F.when(F.col("_k") == k, F.col(value))) for k in range(1, lags + 1)}
+    ends = last.groupBy(*by).agg(F.max(order_by[0]).alias(order_by[0]), F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in held.items()])
+    predicted = reduce(add, (F.col(f"coef_lag_{k}") * F.col(f"_v{k}") for k in range(1, lags + 1)), F.col("intercept"))
+    return ends.where(F.col("_n") == lags).join(fitted, list(by)).select(*by, order_by[0], predicted.alias("predicted"))
+
+
+def lead_lag_correlation(
+    df: DataFrame, order_by: Sequence[str], values: Mapping[str, str], lags: int, rows_per_task: int | None = ROWS_PER_TASK
+) -> DataFrame:
+    """How each asset goes with every other one, and itself, some rows later: (leader, follower, lag, n_pairs, corr).
+
+    `values` names a column per asset. The row at lag k pairs the leader's value k rows earlier with the follower's value; pairs with a null
+    are left out, and corr is null below two pairs. All assets and lags come from one pass and one aggregation, no join a pair.
+    """
+    def earlier(column, k):
+        return lambda w: F.lag(column, k).over(w)
+
+    shifted = ordered_window(
+        df, [], order_by, lags, {f"_{name}_{k}": earlier(c, k) for name, c in values.items() for k in range(1, lags + 1)}, rows_per_task
+    )
+    leaders = F.array(*[
+        F.struct(F.lit(name).alias("leader"), F.lit(k).alias("lag"), F.col(f"_{name}_{k}" if k else c).alias("x"))
+        for name, c in values.items() for k in range(lags + 1)
+    ])
+    followers = F.array(*[F.struct(F.lit(name).alias("follower"), F.col(c).alias("y")) for name, c in values.items()])
+    pairs = shifted.select(leaders.alias("_l"), followers.alias("_f")).select("_f", F.inline("_l")).select("leader", "lag", "x", F.inline("_f"))
+    return correlation(pairs, "x", "y", ["leader", "follower", "lag"])

@@ -19,7 +19,7 @@ from tickseries.session import materialize
 # map task and chunk.
 ROWS_PER_TASK = 2_000_000
 
-_CHUNK = "_chunk"
+CHUNK = "_chunk"
 _CARRIED = "_carried"
 _FROM_END = "_from_end"
 _REACH = "_reach"
@@ -43,7 +43,7 @@ def ordered_window(
     `preceding` rows, nor forward. `order_by` must order each group totally, so that results are defined.
 
     Without `rows_per_task` a group is sorted in one task: right for groups that a task can hold, lazy. With it the rows are
-    cut into chunks of about that size, with the same result: a count, and one table in the working folder, which stays
+    cut into chunks of about that size, with the same result: a count, and if one chunk is not enough a table in the working folder, which stays
     as long as the result may be read (the owner of spark.checkpoint.dir removes it with the job's other work). One series
     without groups needs it.
     """
@@ -55,21 +55,33 @@ def ordered_window(
     return _chunked_window(df, by, order_by, preceding, columns, rows_per_task)
 
 
-def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> DataFrame:
+def chunks(df: DataFrame, by: Sequence[str], order_by: Sequence[str], rows_per_task: int) -> DataFrame | None:
+    """The rows in consecutive chunks of about `rows_per_task`, stored, with their chunk number; None if one chunk is enough.
+
+    Chunks follow each other in the order of `by` and `order_by`, which must be unique together: range partitioning can then
+    cut any group and any instant. Only one group goes on from one chunk into the next.
+    """
+    n_chunks = math.ceil(df.count() / rows_per_task)
+    if n_chunks < 2:
+        return None
     keys = [*by, *order_by]
-    n_chunks = max(2, math.ceil(df.count() / rows_per_task))
-    # The sort key is unique, so range partitioning can cut any group and any instant. The chunk numbers
-    # must be stored: planning the range exchange again could choose other bounds. Rows are stored last
+    # The chunk numbers must be stored: planning the range exchange again could choose other bounds. Rows are stored last
     # first, so the end of each chunk is a condition on one column that skips all row groups but the first.
     ranged = (
         df.repartitionByRange(n_chunks, *keys)
         .sortWithinPartitions(*[F.desc(c) for c in keys])
         .withColumns(
-            {_CHUNK: F.spark_partition_id(), _FROM_END: F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION)}
+            {CHUNK: F.spark_partition_id(), _FROM_END: F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION)}
         )
     )
-    rows = materialize(ranged, "chunks")
+    return materialize(ranged, "chunks")
 
+
+def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> DataFrame:
+    rows = chunks(df, by, order_by, rows_per_task)
+    if rows is None:
+        w = Window.partitionBy(*by, CHUNK).orderBy(*order_by)
+        return df.withColumn(CHUNK, F.lit(0)).withColumns({name: make(w) for name, make in columns.items()}).drop(CHUNK)
     # A group goes on into the next chunk only if it is the last of its chunk, so the last rows are those that matter.
     last = rows.where(F.col(_FROM_END) < preceding)
     reach = _chunks_to_reach(rows, by, preceding)
@@ -77,13 +89,13 @@ def _chunked_window(df, by, order_by, preceding, columns, rows_per_task) -> Data
         last = last.join(reach, [last[c].eqNullSafe(reach[f"_{c}"]) for c in by]).drop(*[f"_{c}" for c in by])
     else:
         last = last.withColumn(_REACH, F.lit(reach.first()[_REACH]))
-    carried = last.withColumn(_CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + F.col(_REACH)))).drop(_REACH)
+    carried = last.withColumn(CHUNK, F.explode(F.sequence(F.col(CHUNK) + 1, F.col(CHUNK) + F.col(_REACH)))).drop(_REACH)
     both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(carried.withColumn(_CARRIED, F.lit(True)))
-    w = Window.partitionBy(*by, _CHUNK).orderBy(*order_by)
+    w = Window.partitionBy(*by, CHUNK).orderBy(*order_by)
     return (
         both.withColumns({name: make(w) for name, make in columns.items()})
         .where(~F.col(_CARRIED))
-        .drop(_CHUNK, _CARRIED, _FROM_END)
+        .drop(CHUNK, _CARRIED, _FROM_END)
     )
 
 
@@ -94,9 +106,9 @@ def _chunks_to_reach(rows: DataFrame, by: Sequence[str], preceding: int) -> Data
     smallest of these inner chunks has q rows, the `preceding` rows before a chunk lie in the
     ceil(preceding / q) chunks before it. Counts per chunk are small: one row per chunk and group.
     """
-    per_chunk = rows.groupBy(*by, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    ends = F.struct(F.min(_CHUNK).alias("first"), F.max(_CHUNK).alias("last"))
-    chunks = F.collect_list(F.struct(F.col(_CHUNK).alias("c"), F.col("_n").alias("n")))
+    per_chunk = rows.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    ends = F.struct(F.min(CHUNK).alias("first"), F.max(CHUNK).alias("last"))
+    chunks = F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_n").alias("n")))
     grouped = per_chunk.groupBy(*by).agg(ends.alias("_ends"), chunks.alias("_chunks"))
     inner = F.filter("_chunks", lambda x: (x["c"] > F.col("_ends")["first"]) & (x["c"] < F.col("_ends")["last"]))
     smallest = F.array_min(F.transform(inner, lambda x: x["n"]))

@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from tickseries.feeds import BTC, ETH
 from tickseries.functions.times import CALENDAR, event_time, time_bucket, with_calendar
-from tickseries.operators import align, bars, conform, quality, series, stats
+from tickseries.operators import align, bars, conform, quality, rolling, series, smoothing, stats
 from tickseries.plans import daily
 from tickseries.operators.windows import ROWS_PER_TASK
 from tickseries.session import materialize, use_utc, work_dir
@@ -558,6 +558,107 @@ def lag_prediction(spark, sf_dir):
     return rounded(predicted.drop(*features), "predicted", digits=4)
 
 
+def walk_forward(spark, sf_dir):
+    """Every hourly close predicted from its two previous closes by a fit on earlier days only."""
+    return rounded(_walk_forward(spark, sf_dir).drop("lag_1", "lag_2"), "predicted", digits=4)
+
+
+def _walk_forward(spark, sf_dir):
+    day = time_bucket("bucket", "day")
+    return stats.walk_forward(close_lags(spark, sf_dir), "close", ["lag_1", "lag_2"], ["asset"], day)
+
+
+def walk_forward_errors(spark, sf_dir):
+    """Per asset, how far the predictions for days that their fit has not seen are off, beside taking the previous close."""
+    errors = stats.forecast_errors(_walk_forward(spark, sf_dir), "close", "predicted", ["asset"], "lag_1")
+    return rounded(errors, *[c for c in errors.columns if c not in ("asset", "n")], digits=4)
+
+
+def next_hour_forecast(spark, sf_dir):
+    """Per asset, the close of the hour after the last one, by the regression on all hours."""
+    lags = close_lags(spark, sf_dir)
+    fitted = stats.fit_linear(lags, "close", ["lag_1", "lag_2"], ["asset"])
+    found = stats.next_value(lags, fitted, "close", 2, ["asset"], ["bucket"])
+    return rounded(found.withColumn("bucket", F.col("bucket") + F.expr("INTERVAL 1 HOUR")), "predicted", digits=4)
+
+
+def lead_lag_correlation(spark, sf_dir):
+    """The hourly returns of five assets against each other's up to three hours earlier."""
+    closes = align.align_bars(price_bars(spark, sf_dir, "hour"), ASSETS, ["close"], how="outer")
+    returns = stats.simple_returns(closes, [], ["bucket"], [f"{a}_close" for a in ASSETS], rows_per_task=ROWS_PER_TASK)
+    values = {a: f"{a}_close_return" for a in ASSETS}
+    return rounded(stats.lead_lag_correlation(returns, ["bucket"], values, 3), "corr")
+
+
+# Running columns over assets too long for one task
+
+
+def align_last_known(spark, sf_dir):
+    """The latest tick of A in each minute with the last price of B at or before it, if that is at most ten minutes old."""
+    latest = series.latest_per_bucket(ticks(spark, sf_dir, A), "minute", tie_break=["event_id"])
+    known = {"price": "b_price", "ts": "b_ts"}
+    return align.align_last_known(
+        latest.select("event_id", "ts", "price"), ticks(spark, sf_dir, B), "ts", known, ["event_id"], tolerance=600, **_split(spark, sf_dir)
+    )
+
+
+def align_last_known_assets(spark, sf_dir):
+    """Every tick of an asset with the last purchase of the same user, however long ago."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    bought = events.where(F.col("event_type") == "purchase")
+    asked = events.where(F.col("event_type") != "purchase").select("event_id", "ts", "user_id")
+    return align.align_last_known(asked, bought, "ts", {"value": "paid", "event_id": "purchase_id"}, ["event_id"], ["user_id"], **_split(spark, sf_dir))
+
+
+def volume_bars(spark, sf_dir):
+    """Bars of each asset that end whenever another thousand has been traded."""
+    found = bars.size_bars(ticks(spark, sf_dir), ["asset"], ["ts", "event_id"], 1000, "price", **_split(spark, sf_dir), **PRICE)
+    return rounded(found, "volume", digits=4)
+
+
+def row_bars(spark, sf_dir):
+    """Bars of fifty ticks of each asset."""
+    found = bars.size_bars(ticks(spark, sf_dir), ["asset"], ["ts", "event_id"], 50, **_split(spark, sf_dir), **PRICE)
+    return rounded(found, "volume", digits=4)
+
+
+def gap_intervals(spark, sf_dir):
+    """The minutes without a tick of each asset, as intervals of at least a quarter of an hour."""
+    return align.gap_intervals(ticks(spark, sf_dir), "asset", "ts", "minute", 15, **_split(spark, sf_dir))
+
+
+def rolling_statistics(spark, sf_dir):
+    """Mean, deviation, least and largest price of the last 200 ticks of each asset."""
+    found = rolling.rolling_statistics(ticks(spark, sf_dir), ["asset"], ["ts", "event_id"], "price", 200, **_split(spark, sf_dir))
+    return rounded(found, "rolling_avg", "rolling_stddev")
+
+
+def _hour_closes(spark, sf_dir) -> DataFrame:
+    return price_bars(spark, sf_dir, "hour").select("asset", "bucket", "close")
+
+
+def _few_hours(hours: DataFrame) -> dict:
+    """Chunks of a third of the hours of an asset."""
+    return {"rows_per_task": max(2, hours.count() // 15)}
+
+
+def exponential_averages(spark, sf_dir):
+    """Exponential averages of every asset's hourly closes over 10 and 50 hours."""
+    hours = materialize(_hour_closes(spark, sf_dir), "hours")
+    averages = {f"ema_{n}": ("close", smoothing.alpha_of(n)) for n in (10, 50)}
+    return rounded(smoothing.exponential_averages(hours, ["asset"], ["bucket"], averages, **_few_hours(hours)), *averages)
+
+
+def macd(spark, sf_dir):
+    hours = materialize(_hour_closes(spark, sf_dir), "hours")
+    return rounded(smoothing.macd(hours, ["asset"], ["bucket"], "close", **_few_hours(hours)), "macd", "macd_signal")
+
+
+def relative_strength(spark, sf_dir):
+    hours = materialize(_hour_closes(spark, sf_dir), "hours")
+    return rounded(smoothing.relative_strength(hours, ["asset"], ["bucket"], "close", **_few_hours(hours)), "rsi", digits=5)
+
+
 # Incremental and streaming
 
 
@@ -674,6 +775,19 @@ QUERIES = {
         trend_regression,
         lag_regression,
         lag_prediction,
+        walk_forward,
+        walk_forward_errors,
+        next_hour_forecast,
+        lead_lag_correlation,
+        align_last_known,
+        align_last_known_assets,
+        volume_bars,
+        row_bars,
+        gap_intervals,
+        rolling_statistics,
+        exponential_averages,
+        macd,
+        relative_strength,
         incremental_append,
         stream_tumbling_ohlc,
         stream_feed_bars,

@@ -109,6 +109,50 @@ LAGS = f"""{HOUR_BARS}, lags AS (
             (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)"""
 
 
+# Per asset and day, the sums over all earlier days, and the fit that they give.
+WALK_FORWARD = f"""{HOUR_BARS}, lags AS (
+        SELECT asset, bucket, close AS y, lag(close, 1) OVER w AS x1, lag(close, 2) OVER w AS x2, date_trunc('day', bucket) AS d
+        FROM hours WINDOW w AS (PARTITION BY asset ORDER BY bucket)),
+        day_sums AS (SELECT asset, d, count(y) FILTER (WHERE x2 IS NOT NULL) AS n, sum(y) FILTER (WHERE x2 IS NOT NULL) AS y,
+            sum(x1) FILTER (WHERE x2 IS NOT NULL) AS a, sum(x2) AS b, sum(x1 * x1) FILTER (WHERE x2 IS NOT NULL) AS aa, sum(x2 * x2) AS bb,
+            sum(x1 * x2) AS ab, sum(x1 * y) FILTER (WHERE x2 IS NOT NULL) AS ay, sum(x2 * y) AS b_y FROM lags GROUP BY ALL),
+        earlier AS (SELECT asset, d, sum(n) OVER w AS n, sum(y) OVER w AS y, sum(a) OVER w AS a, sum(b) OVER w AS b, sum(aa) OVER w AS aa,
+            sum(bb) OVER w AS bb, sum(ab) OVER w AS ab, sum(ay) OVER w AS ay, sum(b_y) OVER w AS b_y
+            FROM day_sums WINDOW w AS (PARTITION BY asset ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        cov AS (SELECT asset, d, n, y / n AS my, a / n AS m1, b / n AS m2, aa - a * a / n AS s11, bb - b * b / n AS s22, ab - a * b / n AS s12,
+            ay - a * y / n AS s1y, b_y - b * y / n AS s2y FROM earlier WHERE n >= 10),
+        fit AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM cov),
+        ahead AS (SELECT asset, bucket, lags.y AS close, x1, my - b1 * m1 - b2 * m2 + b1 * x1 + b2 * x2 AS predicted,
+            coalesce(fit.n, 0)::BIGINT AS n_fitted FROM lags LEFT JOIN fit USING (asset, d))"""
+
+LEAD_LAG = f"""{HOUR_BARS}, long AS (SELECT asset, bucket, close FROM (SELECT DISTINCT bucket FROM hours)
+            CROSS JOIN (SELECT DISTINCT asset FROM hours) LEFT JOIN hours USING (asset, bucket)),
+        returns AS (SELECT asset, bucket, close / nullif(lag(close) OVER (PARTITION BY asset ORDER BY bucket), 0) - 1 AS r FROM long),
+        shifted AS (SELECT asset, bucket, k, lag(r, k) OVER (PARTITION BY asset, k ORDER BY bucket) AS x FROM returns, range(4) t(k))"""
+
+
+def _size_bars(bar: str) -> str:
+    """Bars of ticks by their number `bar` in the order of time."""
+    return f"""WITH {TICKS}, summed AS (SELECT *, row_number() OVER w AS i, sum(CAST(price AS DECIMAL(28,9))) OVER w AS s
+        FROM ticks WINDOW w AS (PARTITION BY asset ORDER BY ts, event_id))
+        SELECT asset, {bar} AS bar, min(ts) AS start, max(ts) AS "end", first(price ORDER BY ts, event_id) AS open, max(price) AS high,
+        min(price) AS low, last(price ORDER BY ts, event_id) AS close, round(sum(price), 4) AS volume, count(*) AS n_rows FROM summed GROUP BY ALL"""
+
+
+def _averages(source: str, columns: dict[str, tuple[str, str]]) -> str:
+    """Rows of `source` (asset, i, ...) with exponential averages (column, weight) that begin with the first value, by recursion."""
+    first = ", ".join(f"{x} AS {name}" for name, (x, _) in columns.items())
+    step = ", ".join(f"coalesce({w} * s.{x} + (1 - {w}) * e.{name}, e.{name}, s.{x})" for name, (x, w) in columns.items())
+    return f"""SELECT *, {first} FROM {source} WHERE i = 1
+        UNION ALL SELECT s.*, {step} FROM e JOIN {source} s ON s.asset = e.asset AND s.i = e.i + 1"""
+
+
+NUMBERED = f"""WITH RECURSIVE {HOUR_BARS.removeprefix('WITH ')}, closes AS MATERIALIZED (
+        SELECT asset, bucket, close, row_number() OVER w AS i, close - lag(close) OVER w AS m FROM hours WINDOW w AS (PARTITION BY asset ORDER BY bucket)),
+        moves AS MATERIALIZED (SELECT *, greatest(m, 0) AS up, greatest(-m, 0) AS down FROM closes WHERE m IS NOT NULL
+            UNION ALL SELECT *, NULL, NULL FROM closes WHERE m IS NULL)"""
+
+
 EVENT_TYPES = {
     "event_id": "bigint",
     "ts": "timestamp_ntz",
@@ -286,6 +330,42 @@ ORACLES = {
         round(b1, 6) AS coef_lag_1, round(b2, 6) AS coef_lag_2 FROM b""",
     "lag_prediction": f"""{LAGS} SELECT asset, bucket, y AS close,
         round(my - b1 * m1 - b2 * m2 + b1 * x1 + b2 * x2, 4) AS predicted FROM lags LEFT JOIN b USING (asset)""",
+    "walk_forward": f"""{WALK_FORWARD} SELECT asset, bucket, close, round(predicted, 4) AS predicted, n_fitted FROM ahead""",
+    "walk_forward_errors": f"""{WALK_FORWARD} SELECT asset, count(*) AS n, round(avg(abs(predicted - close)), 4) AS mean_abs_error,
+        round(sqrt(avg((predicted - close) ** 2)), 4) AS rmse, round(avg(abs(x1 - close)), 4) AS naive_mean_abs_error,
+        round(sqrt(avg((x1 - close) ** 2)), 4) AS naive_rmse FROM ahead WHERE predicted IS NOT NULL GROUP BY asset""",
+    "next_hour_forecast": f"""{LAGS} SELECT asset, bucket + INTERVAL 1 HOUR AS bucket, round(my - b1 * m1 - b2 * m2 + b1 * y + b2 * x1, 4) AS predicted
+        FROM lags JOIN b USING (asset) WHERE x1 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY asset ORDER BY bucket DESC) = 1""",
+    "lead_lag_correlation": f"""{LEAD_LAG} SELECT s.asset AS leader, r.asset AS follower, CAST(k AS INT) AS lag, count(x + r) AS n_pairs,
+        round(CASE WHEN count(x + r) > 1 THEN corr(x, r) END, 6) AS corr FROM shifted s JOIN returns r USING (bucket) GROUP BY ALL""",
+    "align_last_known": f"""WITH {TICKS}, a AS (SELECT * FROM ticks WHERE asset = 'click'
+            QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts DESC, event_id DESC) = 1),
+        b AS (SELECT ts AS b_ts, price AS b_price FROM ticks WHERE asset = 'view' QUALIFY row_number() OVER (PARTITION BY ts ORDER BY event_id DESC) = 1),
+        j AS (SELECT a.event_id, a.ts, a.price, b_price, b_ts, a.ts - b_ts <= INTERVAL 10 MINUTES AS fresh FROM a ASOF LEFT JOIN b ON a.ts >= b.b_ts)
+        SELECT event_id, ts, price, CASE WHEN fresh THEN b_price END AS b_price, CASE WHEN fresh THEN b_ts END AS b_ts FROM j""",
+    "align_last_known_assets": """WITH b AS (SELECT user_id, ts, event_id AS purchase_id, value AS paid FROM events WHERE event_type = 'purchase'
+            QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+        SELECT e.event_id, e.ts, e.user_id, paid, purchase_id FROM (SELECT * FROM events WHERE event_type <> 'purchase') e
+        ASOF LEFT JOIN b ON e.user_id = b.user_id AND e.ts >= b.ts""",
+    "volume_bars": _size_bars("CAST(floor((s - CAST(price AS DECIMAL(28,9))) / 1000) AS BIGINT)"),
+    "row_bars": _size_bars("(i - 1) // 50"),
+    "gap_intervals": f"""WITH {TICKS}, seen AS (SELECT DISTINCT asset, date_trunc('minute', ts) AS m FROM ticks),
+        pairs AS (SELECT asset, m, lag(m) OVER (PARTITION BY asset ORDER BY m) AS p FROM seen)
+        SELECT asset, p + INTERVAL 1 MINUTE AS start, m - INTERVAL 1 MINUTE AS "end", date_diff('minute', p, m) - 1 AS n_missing
+        FROM pairs WHERE date_diff('minute', p, m) - 1 >= 15""",
+    "rolling_statistics": f"""WITH {TICKS}, r AS (SELECT *, row_number() OVER o AS i, avg(price) OVER w AS a, stddev_samp(price) OVER w AS s,
+            min(price) OVER w AS l, max(price) OVER w AS h
+            FROM ticks WINDOW o AS (PARTITION BY asset ORDER BY ts, event_id), w AS (PARTITION BY asset ORDER BY ts, event_id ROWS 199 PRECEDING))
+        SELECT event_id, ts, asset, price, CASE WHEN i >= 200 THEN round(a, 6) END AS rolling_avg, CASE WHEN i >= 200 THEN round(s, 6) END AS rolling_stddev,
+        CASE WHEN i >= 200 THEN l END AS rolling_min, CASE WHEN i >= 200 THEN h END AS rolling_max FROM r""",
+    "exponential_averages": f"""{NUMBERED}, e AS ({_averages('closes', {'e10': ('close', '(2 / 11.0)::DOUBLE'), 'e50': ('close', '(2 / 51.0)::DOUBLE')})})
+        SELECT asset, bucket, close, round(e10, 6) AS ema_10, round(e50, 6) AS ema_50 FROM e""",
+    "macd": f"""{NUMBERED}, e AS ({_averages('closes', {'e12': ('close', '(2 / 13.0)::DOUBLE'), 'e26': ('close', '(2 / 27.0)::DOUBLE')})}),
+        line AS MATERIALIZED (SELECT asset, bucket, close, i, e12 - e26 AS macd FROM e),
+        g AS ({_averages('line', {'sig': ('macd', '0.2::DOUBLE')}).replace('FROM e JOIN', 'FROM g AS e JOIN')})
+        SELECT asset, bucket, close, round(macd, 6) AS macd, round(sig, 6) AS macd_signal FROM g""",
+    "relative_strength": f"""{NUMBERED}, e AS ({_averages('moves', {'u': ('up', '(1 / 14.0)::DOUBLE'), 'd': ('down', '(1 / 14.0)::DOUBLE')})})
+        SELECT asset, bucket, close, round(100 * u / nullif(u + d, 0), 5) AS rsi FROM e""",
     "incremental_append": f"""WITH {TICKS} SELECT event_id, ts, asset, price, CAST(year(ts) AS INT) AS "year" FROM ticks""",
     "stream_tumbling_ohlc": f"""{HOUR_BARS} SELECT asset, bucket, open, high, low, close, round(volume, 6) AS volume, n_rows
         FROM hours WHERE bucket + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
