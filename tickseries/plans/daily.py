@@ -2,72 +2,45 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickseries.feeds import MEASURES, FeedSpec
 from tickseries.functions.missing import complete_row, is_missing
 from tickseries.functions.times import CALENDAR, event_time
-from tickseries.operators.align import align_join
 from tickseries.operators.conform import rename_columns
 from tickseries.operators.quality import assert_quality, check_contract
 from tickseries.operators.series import PARITY_MEASURES, build_series, series_rows, sort_rows
+from tickseries.plans.loads import (
+    COMBINED, DROP, PARTITIONS, aligned, apply_load, bad_lines, check_new, good_rows, history_report, in_months, ledger, load_name, months_of,
+    raw_rows, start_ledger,
+)
 from tickseries.session import use_utc
-from tickseries.sinks.parquet import merge_latest, replace_partitions, write_parquet
+from tickseries.sinks.parquet import write_parquet
 from tickseries.sources.csv import BAD_ROW, read_feed, under, union_by_name
 
-COMBINED = "combined_timeseries"
+__all__ = ["COMBINED", "DROP", "bad_lines", "good_rows", "history_report", "ledger"]
 
-# The partition of a staging table that holds one drop of raw files.
-DROP = "_drop"
 
-
-def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str) -> DataFrame:
-    """Copy one raw feed to Parquet under its staging names, in one pass over the CSV.
+def stage(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, load: str = "first") -> DataFrame:
+    """Copy one raw feed to Parquet under its staging names, in one pass over the CSV, as the only load that staging has.
 
     With a schema the table also has the lines that do not fit it; `good_rows` and `bad_lines` tell them apart.
     """
-    raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
-    return write_parquet(raw, under(output_root, feed.staging_name))
-
-
-def stage_drop(spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, drop: str) -> DataFrame:
-    """Add one drop of raw files to the staging table, as a partition that the same drop replaces; returns that partition.
-
-    A feed without a folder has no rows in this drop. Earlier drops stay as they are.
-    """
-    try:
-        raw = rename_columns(read_feed(spark, feed, input_root), feed.renames)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND" or feed.schema is None:
-            raise
-        fields = [*feed.schema.fields]
-        empty = spark.createDataFrame([], feed.schema).withColumn(BAD_ROW, F.lit(None).cast("string"))
-        raw = rename_columns(empty, feed.renames) if fields else empty
+    raw = rename_columns(read_feed(spark, feed, input_root), feed.renames).withColumn(DROP, F.lit(load))
     path = under(output_root, feed.staging_name)
-    rows = raw.withColumn(DROP, F.lit(drop))
-    return replace_partitions(rows, path, [DROP]).where(F.col(DROP) == drop).drop(DROP)
-
-
-def good_rows(staged: DataFrame) -> DataFrame:
-    """The rows that fit the schema. The condition reaches the row groups, where the marker is nearly always null."""
-    return staged.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW) if BAD_ROW in staged.columns else staged
-
-
-def bad_lines(staged: DataFrame) -> DataFrame:
-    return staged.where(F.col(BAD_ROW).isNotNull()) if BAD_ROW in staged.columns else staged.limit(0)
+    raw.write.mode("overwrite").partitionBy(DROP).parquet(path)
+    return spark.read.schema(raw.schema).parquet(path).drop(DROP)
 
 
 def run_series(
-    spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, parity: bool = False
+    spark: SparkSession, feed: FeedSpec, input_root: str, output_root: str, parity: bool = False, load: str = "first"
 ) -> tuple[DataFrame, DataFrame]:
     """Write the staging table, bad lines included, and the series table of one feed."""
-    staged = stage(spark, feed, input_root, output_root)
+    staged = stage(spark, feed, input_root, output_root, load)
     series = _write(build_series(good_rows(staged), feed, parity), under(output_root, feed.series_name), parity)
     return staged, series
 
@@ -79,26 +52,38 @@ def run_feeds(
     output_root: str,
     parity: bool = False,
     combined: str = COMBINED,
+    drop: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run the whole job and return its tables by name: two per feed and the combined one.
+    """Run the whole job and return its tables by name: two per feed and the combined one. Tables that are there are replaced.
 
     The input root applies to the reads, the output root to the writes. Parity mode writes the plain tables sorted by
-    minute. Default mode adds closes and timestamps, has one row per minute and partitions by year.
+    minute. Default mode adds closes and timestamps, has one row per minute and partitions by year and month. The raw rows
+    are the first load of the history in staging, under the name `drop` (see `run_increment`).
     """
     use_utc(spark)
+    load = drop or load_name(spark, feeds, input_root)
     tables: dict[str, DataFrame] = {}
+    loaded = []
     for feed in feeds:
-        staged, series = run_series(spark, feed, input_root, output_root, parity)
+        staged, series = run_series(spark, feed, input_root, output_root, parity, load)
         tables |= {feed.staging_name: staged, feed.series_name: series}
-    aligned = _aligned([tables[feed.series_name] for feed in feeds], parity)
-    tables[combined] = _write(aligned, under(output_root, combined), parity)
+        loaded.append(_first_load(feed, load, staged, series, parity))
+    wide = aligned([tables[feed.series_name] for feed in feeds], parity)
+    tables[combined] = _write(wide, under(output_root, combined), parity)
+    start_ledger(spark, output_root, loaded)
     return tables
 
 
-def _aligned(series: Sequence[DataFrame], parity: bool = False) -> DataFrame:
-    """In default mode the combined table has one timestamp, that of the first feed."""
-    timed, untimed = ([], series) if parity else (series[:1], series[1:])
-    return align_join([*timed, *[s.drop("timestamp") for s in untimed]])
+def _first_load(feed: FeedSpec, load: str, staged: DataFrame, series: DataFrame, parity: bool) -> tuple:
+    """The ledger's line for a full load: its rows are in the series, are unused, or are copies within a minute."""
+    used = event_time(f"`{feed.ts_column}`", feed.ts_format).isNotNull() | F.lit(parity)
+    used = used & complete_row(good_rows(staged)) if feed.drop_incomplete else used
+    bad = F.col(BAD_ROW).isNotNull() if BAD_ROW in staged.columns else F.lit(False)
+    n_rows, n_used = staged.agg(F.count(F.lit(1)), F.count_if(~bad & used)).first()
+    found = F.collect_set(F.col("year") * 100 + F.col("month"))  # as many as a history has months
+    n_minutes, months = series.agg(F.count(F.lit(1)), found).first()
+    months = [] if parity else sorted(months)
+    return (load, feed.name, n_rows, n_rows - n_used, n_used - n_minutes, n_minutes, 0, 0, months)
 
 
 def run_increment(
@@ -108,34 +93,28 @@ def run_increment(
     output_root: str,
     drop: str | None = None,
     combined: str = COMBINED,
+    replace: bool = False,
+    rollups: bool = False,
 ) -> dict[str, DataFrame]:
     """Add a new drop of raw files to the tables of the default mode; returns the tables, of staging those rows that the drop has.
 
     Increments end where one load of all files would: of the rows of a minute, whichever drop they come from, the latest event
-    stays. Staging keeps every drop under its name, by default the last part of the input root; loading a drop again replaces
-    its part. Of the series and the combined table the years that the drop has are read and written anew.
+    stays. Staging keeps every drop under its name. Without a name it is made of the files' paths, sizes and times, so the same
+    files again replace their part and others never do. A name that is loaded already is an error unless `replace` says that its raw rows
+    are to be replaced; minutes that only they had stay in the series. Of all other tables the months that the drop has are read
+    and written anew, in one commit (`sinks.commit`). `rollups` keeps up hour and day bars of every feed.
     """
     use_utc(spark)
-    drop = drop or os.path.basename(input_root.rstrip("/"))
-    tables: dict[str, DataFrame] = {}
-    series: list[DataFrame] = []
-    years: set[int] = set()
-    for feed in feeds:
-        staged = stage_drop(spark, feed, input_root, output_root, drop)
-        batch = series_rows(good_rows(staged), feed)
-        table, touched = merge_latest(batch, under(output_root, feed.series_name), CALENDAR, "timestamp")
-        series.append(table)
-        years.update(touched)
-        tables |= {feed.staging_name: staged, feed.series_name: table}
-    aligned = _aligned([s.where(F.col("year").isin(sorted(years))) for s in series])
-    tables[combined] = replace_partitions(aligned, under(output_root, combined), ["year"], ["timestamp"])
-    return tables
+    if drop:
+        check_new(spark, output_root, drop, replace)
+    raw = {feed.name: raw_rows(spark, feed, input_root) for feed in feeds}
+    return apply_load(spark, feeds, raw, output_root, drop or load_name(spark, feeds, input_root), combined, rollups)
 
 
 def _write(df: DataFrame, path: str, parity: bool) -> DataFrame:
     if parity:
         return write_parquet(sort_rows(df), path)
-    return write_parquet(df, path, partition_by=["year"], sort_by=["timestamp"])
+    return write_parquet(df, path, partition_by=PARTITIONS, sort_by=["timestamp"])
 
 
 def _check_staging(staged: DataFrame, feed: FeedSpec, needs_rows: bool) -> DataFrame:
@@ -205,8 +184,28 @@ def contract_report(
     return union_by_name(checks)
 
 
+def check(
+    spark: SparkSession, feeds: Sequence[FeedSpec], tables: Mapping[str, DataFrame], output_root: str, parity: bool = False,
+    combined: str = COMBINED, increment: bool = False,
+) -> list[DataFrame]:
+    """The reports that decide whether the job has succeeded: of the rows, of the contract of the tables, of the raw history.
+
+    After an increment the contract is checked in the months that its rows are in; the others are as they were.
+    """
+    touched: set[int] = set()
+    if increment:
+        for feed in feeds:
+            touched |= set(months_of(series_rows(good_rows(tables[feed.staging_name]), feed)))
+        names = [combined, *(feed.series_name for feed in feeds)]
+        changed = {**tables, **{name: in_months(tables[name], touched) for name in names}}
+    contract = contract_report(feeds, changed if increment else tables, parity, combined)
+    return [report(feeds, tables, combined, increment), contract, history_report(spark, feeds, output_root)]
+
+
 def run_checked(spark: SparkSession, feeds, input_root: str, output_root: str, parity: bool = False) -> DataFrame:
-    """`run_feeds` that fails when a check fails; returns the report."""
-    result = report(feeds, run_feeds(spark, feeds, input_root, output_root, parity))
-    assert_quality(result)
-    return result
+    """`run_feeds` that fails when a check fails: of the rows, the contract or the raw history. Returns the report of the rows."""
+    tables = run_feeds(spark, feeds, input_root, output_root, parity)
+    reports = check(spark, feeds, tables, output_root, parity)
+    for found in reports:
+        assert_quality(found)
+    return reports[0]

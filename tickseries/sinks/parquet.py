@@ -47,7 +47,8 @@ def write_parquet(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table at a path, None if there is none."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -60,7 +61,7 @@ def _append_unique(rows: DataFrame, path: str, keys: Sequence[str], ts: str, low
     """Append the rows whose key is not in the table yet. The rows are unique by key, and the rows of the table with
     the same keys lie within the times low..high (microseconds): only that part of the table is read."""
     fresh = rows.withColumn("year", F.year(ts))
-    table = _existing(rows.sparkSession, path, fresh.schema)
+    table = existing(rows.sparkSession, path, fresh.schema)
     if table is not None:
         known = between(table, ts, F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
         fresh = fresh.join(known.select(*keys), list(keys), "left_anti")
@@ -85,7 +86,7 @@ def merge_latest(batch: DataFrame, path: str, keys: Sequence[str], ts: str) -> t
     """
     placed = batch.where(F.col(ts).isNotNull())
     years = sorted(r["year"] for r in placed.select("year").distinct().collect())  # a handful
-    table = _existing(batch.sparkSession, path, batch.schema)
+    table = existing(batch.sparkSession, path, batch.schema)
     known = table.where(F.col("year").isin(years)) if table is not None and years else placed.limit(0)
     merged = materialize(latest_per_key(known.unionByName(placed), keys, [ts]), "merged")
     if not years and table is not None:

@@ -42,9 +42,9 @@ def read_feed(spark: SparkSession, feed: FeedSpec, root: str = "") -> DataFrame:
     return read_csv(spark, under(root, feed.path), feed.schema)
 
 
-def read_feed_stream(spark: SparkSession, feed: FeedSpec, root: str = "") -> DataFrame:
+def read_feed_stream(spark: SparkSession, feed: FeedSpec, root: str = "", **options) -> DataFrame:
     """The feed as a stream of the files that arrive in its folder. A stream cannot infer its schema."""
-    schema, options = _checked_csv(feed.schema)
+    schema, options = _checked_csv(feed.schema, **options)
     return spark.readStream.schema(schema).options(**options).csv(under(root, feed.path))
 
 
