@@ -16,12 +16,14 @@ from tickseries.feeds import BTC, ETH
 from tickseries.functions.times import CALENDAR, event_time, time_bucket, with_calendar
 from tickseries.operators import align, bars, conform, quality, rolling, series, smoothing, stats
 from tickseries.plans import daily
+from tickseries.plans.loads import read_rollup
 from tickseries.operators.windows import ROWS_PER_TASK
 from tickseries.session import materialize, use_utc, work_dir
 from tickseries.sinks.parquet import append_new, write_parquet
 from tickseries.sources.csv import read_csv, read_csv_union, split_bad_rows, union_by_name
 from tickseries.sources.parquet import between, read_parquet
 from tickseries.streaming import feeds as streaming
+from tickseries.streaming.job import run_stream_job
 
 A, B = "click", "view"
 ASSETS = ["click", "error", "purchase", "signup", "view"]
@@ -335,7 +337,7 @@ FEED_A = replace(BTC, name="a", path="feed_a")
 FEED_B = replace(ETH, name="b", path="feed_b")
 
 
-def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true", spoilt: bool = False, price_factor: int = 1) -> None:
+def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true", spoilt: bool = False, price_factor: int = 1, mode: str = "error") -> None:
     """Minute bars of A and B as raw CSV feeds. Fixed rule: minutes of A with a high above 150 have NaN prices.
 
     `spoilt`: the opens of A are no numbers in the seventh minute of an hour, the times of B have slashes in the ninth.
@@ -359,7 +361,7 @@ def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true", spoilt: bool
         n.alias("Volume_(BTC)"),
         (n * 2).alias("Volume_(Currency)"),
         price("close").alias("Weighted_Price"),
-    ).write.options(header=True).csv(f"{root}/{FEED_A.path}")
+    ).write.mode(mode).options(header=True).csv(f"{root}/{FEED_A.path}")
     minute.where(F.col("asset") == B).select(
         F.when(slashes, F.date_format("bucket", "yyyy/MM/dd HH:mm:ss")).otherwise(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
         *[(F.col(c) * price_factor).alias(c) for c in ("open", "high", "low", "close")],
@@ -370,7 +372,7 @@ def _write_raw_feeds(spark, sf_dir, root: str, when: str = "true", spoilt: bool
         n.alias("tb_base_av"),
         n.alias("tb_quote_av"),
         n.alias("ignore"),
-    ).write.options(header=True).csv(f"{root}/{FEED_B.path}")
+    ).write.mode(mode).options(header=True).csv(f"{root}/{FEED_B.path}")
 
 
 def _run_job(spark, sf_dir, parity: bool, **raw) -> dict[str, DataFrame]:
@@ -413,16 +415,53 @@ def combined_default(spark, sf_dir):
     return _run_job(spark, sf_dir, parity=False)[daily.COMBINED]
 
 
-def incremental_job(spark, sf_dir):
-    """Two drops of raw files that overlap by ten days, the second one loaded twice. The first has other prices of B, which
-    the second one restates."""
+JOB_FEEDS = [FEED_A, FEED_B]
+
+
+def _loaded(spark, sf_dir) -> str:
+    """A full load and two drops of raw files, which overlap by ten days; returns the folder of the tables. The first drop has other
+    prices of B, which the second one restates."""
     root = work_dir(use_utc(spark), "increments")
     _write_raw_feeds(spark, sf_dir, f"{root}/first", "bucket < '2024-01-10'")
     _write_raw_feeds(spark, sf_dir, f"{root}/wrong", "bucket >= '2024-01-10' AND bucket < '2024-01-20'", price_factor=-1)
     _write_raw_feeds(spark, sf_dir, f"{root}/second", "bucket >= '2024-01-10'")
-    for drop in ("first", "wrong", "second", "second"):
-        tables = daily.run_increment(spark, [FEED_A, FEED_B], f"{root}/{drop}", f"{root}/out")
-    return tables[daily.COMBINED]
+    daily.run_feeds(spark, JOB_FEEDS, f"{root}/first", f"{root}/out", drop="first")
+    for drop in ("wrong", "second"):
+        daily.run_increment(spark, JOB_FEEDS, f"{root}/{drop}", f"{root}/out", drop)
+    return root
+
+
+def incremental_job(spark, sf_dir):
+    """The combined table after a full load and two drops, the second one loaded once more."""
+    root = _loaded(spark, sf_dir)
+    return daily.run_increment(spark, JOB_FEEDS, f"{root}/second", f"{root}/out", "second", replace=True)[daily.COMBINED]
+
+
+def load_history(spark, sf_dir):
+    """What each load brought and changed, beside the raw rows that staging has of it."""
+    out = f"{_loaded(spark, sf_dir)}/out"
+    kept = daily.history_report(spark, JOB_FEEDS, out).select("load", F.regexp_replace("table", "staging_", "").alias("feed"), "n_kept")
+    return daily.ledger(spark, out).drop("months").join(kept, ["load", "feed"])
+
+
+def stream_job(spark, sf_dir):
+    """The combined table kept up by streams of both feeds, whose files come in two parts that overlap by ten days."""
+    root = work_dir(use_utc(spark), "stream_job")
+    for when in ("bucket < '2024-01-20'", "bucket >= '2024-01-10'"):
+        _write_raw_feeds(spark, sf_dir, f"{root}/in", when, mode="append")
+        run_stream_job(spark, JOB_FEEDS, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
+    return read_parquet(spark, f"{root}/out/{daily.COMBINED}")
+
+
+def rollup_increments(spark, sf_dir):
+    """Hour and day bars of feed A after four drops that overlap by five days."""
+    root = work_dir(use_utc(spark), "rollups")
+    for i in range(4):
+        when = f"day(bucket) >= {1 + 7 * i} AND day(bucket) < {40 if i == 3 else 13 + 7 * i}"
+        _write_raw_feeds(spark, sf_dir, f"{root}/{i}", when)
+        daily.run_increment(spark, JOB_FEEDS[:1], f"{root}/{i}", f"{root}/out", rollups=True)
+    grains = [read_rollup(spark, FEED_A, f"{root}/out", g).withColumn("grain", F.lit(g)).drop("year", "month") for g in ("hour", "day")]
+    return union_by_name(grains)
 
 
 def job_quality(spark, sf_dir):
@@ -756,6 +795,9 @@ QUERIES = {
         combined_parity,
         combined_default,
         incremental_job,
+        load_history,
+        stream_job,
+        rollup_increments,
         job_quality,
         job_quality_bad_rows,
         contract_report,

@@ -255,6 +255,21 @@ ORACLES = {
         b_open, b_high, b_low, b_volume FROM a JOIN b ON a.bucket = b.bucket""",
     "combined_default": COMBINED_DEFAULT,
     "incremental_job": COMBINED_DEFAULT,
+    "load_history": f"""{JOB}, feeds AS (SELECT 'a' AS feed, bucket, high <= 150 AS used FROM minutes WHERE asset = 'click'
+            UNION ALL SELECT 'b', bucket, true FROM minutes WHERE asset = 'view'),
+        loads(load, low, high, known) AS (VALUES ('first', TIMESTAMP '2000-01-01', TIMESTAMP '2024-01-10', TIMESTAMP '2000-01-01'),
+            ('wrong', TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-20', TIMESTAMP '2000-01-01'),
+            ('second', TIMESTAMP '2024-01-10', TIMESTAMP '2100-01-01', TIMESTAMP '2024-01-20'))
+        SELECT load, feed, count(*) AS n_rows, count(*) FILTER (WHERE NOT used) AS n_unused, 0::BIGINT AS n_copies,
+            count(*) FILTER (WHERE used AND bucket >= known) AS n_inserted, count(*) FILTER (WHERE used AND bucket < known AND feed = 'b') AS n_corrected,
+            count(*) FILTER (WHERE used AND bucket < known AND feed = 'a') AS n_unchanged, count(*) AS n_kept
+        FROM feeds JOIN loads ON bucket >= low AND bucket < loads.high GROUP BY load, feed""",
+    "stream_job": COMBINED_DEFAULT,
+    "rollup_increments": " UNION ALL ".join(
+        f"""(SELECT * FROM ({JOB} SELECT '{grain}' AS grain, date_trunc('{grain}', bucket) AS timestamp, first(a_open ORDER BY bucket) AS open, max(a_high) AS high,
+            min(a_low) AS low, last(a_close ORDER BY bucket) AS close, sum(a_volume) AS volume, count(*) AS n_minutes FROM a GROUP BY ALL))"""
+        for grain in ("hour", "day")
+    ),
     "job_quality": f"{JOB} "
     + " UNION ALL ".join(
         [
