@@ -315,6 +315,17 @@ def test_one_document_of_a_group_stays(spark, docs):
     assert key(r["doc_id"] for r in kept.collect()) == key({r["component_id"] for r in groups})
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    """Groups of copies with null, repeated and mixed ids keep one row each, and the right one."""
+    texts = {name: prose(500 + i, 60) for i, name in enumerate("abcde")}
+    rows = [(None, "a"), (None, "a"), (7, "b"), (None, "b"), (7, "c"), (5, "c"), (9, "d"), (9, "d"), (9, "e"), (1, "c")]
+    docs = spark.createDataFrame([(i, texts[t], t) for i, t in rows], "doc_id long, text string, _row string").repartition(4)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert key((r["doc_id"], r["_row"]) for r in kept.collect()) == key([(None, "a"), (7, "b"), (1, "c"), (9, "d"), (9, "e")])
+    assert simhash.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
 # 6 ---------------------------------------------------------------------------------------------------------------------
 
 
@@ -447,12 +458,33 @@ def test_clean_rows_stay_whatever_their_id(spark):
 # 8 ---------------------------------------------------------------------------------------------------------------------
 
 
+def test_added_tokens_are_as_in_the_library():
+    encoder = idfiles.WordEncoder(public_tokenizers.path(WORD_FILE))
+    library = Tokenizer.from_file(public_tokenizers.path(WORD_FILE))
+    rng = random.Random(9)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "a", "B", " ", "\n", "e\u0301", "\u0301", "don't", "12", "\x1c", "\u0130"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(3000)]
+    for text, ids in zip(texts, encoder.encode(encoder.open(), texts)):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+
+
+def test_dictionary_of_a_corpus_of_nulls_and_copies(spark):
+    """Null, empty and repeated texts take no place in the sample, and long texts are sampled over their whole length."""
+    texts = [prose(i, 60) for i in range(1500)] + [None] * 3000 + [""] * 500 + [prose(0, 60)] * 3000
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    trained = idfiles.train_dictionary(docs, idfiles.WordEncoder(public_tokenizers.path(WORD_FILE)))
+    assert len(trained) > 10_000
+    assert idfiles.train_dictionary(docs.limit(0), idfiles.WordEncoder(public_tokenizers.path(WORD_FILE))) == b""
+    ids = np.arange(100_000)
+    runs = idfiles._runs(ids)
+    assert len(runs) == 500 and runs[0] == 0 and runs[-1] == 99_999 and len({x // 20_000 for x in runs}) == 5
+
+
 @pytest.mark.parametrize("per_file", [4, 8192])
 def test_token_id_files(spark, docs, tmp_path, per_file, monkeypatch):
     monkeypatch.setattr(idfiles, "DOCUMENTS_PER_FILE", per_file)
     encoder = idfiles.WordEncoder(public_tokenizers.path(WORD_FILE))
     library = Tokenizer.from_file(public_tokenizers.path(WORD_FILE))
-    library.encode_special_tokens = True
     found = idfiles.ids_round_trip(docs, encoder).collect()
     first = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)
     texts = defaultdict(list)

@@ -19,7 +19,7 @@ from tickseries.llm.queries import QUERIES, bpe_vocabulary
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) and set(ORACLES) <= set(QUERIES)
 

@@ -144,11 +144,18 @@ def simhash_groups(
     return prints.join(named, "_fp").select(doc_id, shown, "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
-    """One document of each group stays: the one whose doc_id names the group. The columns stay as they are.
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """One row of each group stays, that with the smallest doc_id. The columns stay as they are.
 
-    Rows that repeat that doc_id and belong to its group stay too, as they cannot be told apart by id.
+    Rows without an id come after those with one; rows of one id are told apart by their text, and equal rows by where they are
+    stored. So a group of repeated rows, or of rows without ids, keeps one row like any other, and no row decides over another group.
     """
-    groups = simhash_groups(docs, **parameters)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi")
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    # Stored, so that a row has the same number whenever it is read.
+    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    place = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("text"), F.col(row).alias("row"))
+    groups = simhash_groups(stored.select(place.alias("place"), text), doc_id="place", text=text, **parameters)
+    first = groups.where(F.col("place").eqNullSafe(F.col("component_id"))).select(F.col("place.row").alias(row))
+    return stored.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
