@@ -9,6 +9,7 @@ A short document is thus one read of its entry and one of its frame. Files follo
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,22 +27,27 @@ from tickseries.llm.common import file_system, put_file, work_dir
 
 MAGIC = b"TOKIDS1\0"
 DICTIONARY_BYTES = 112_640
+# The dictionary is trained on about so many texts; of a longer one on so many runs of ids, spread evenly over it.
 SAMPLE_DOCUMENTS = 2_000
-SAMPLE_IDS = 2_000_000
+RUN_IDS, RUNS = 100, 5
 LEVEL = 3
 END_ID = 1
 DOCUMENTS_PER_FILE = 4_096
 TEXTS_AT_ONCE = 128
-WORDS_HELD = 400_000
+WORDS_HELD = 200_000
 WORDS_AT_ONCE = 1_000
+ROWS_AT_ONCE = 1_024
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("has_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n_ids", "<i8")])
+_ADDED = " "
 _SEPARATE = " \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
 class WordEncoder:
-    """Encodes texts with a tokenizers file, without special tokens, and appends `end_id`.
+    """Encodes texts with a tokenizers file, adding no special tokens, and appends `end_id`.
+
+    Strings of the file's own added tokens in a text are those tokens, as in the library.
 
     The tokenizer drops white space and never merges across it, so each distinct word is encoded once in a task and documents are
     put together from the ids of their words. Words of letters with marks behind them, nearly all, go to the tokenizer as long
@@ -53,13 +59,15 @@ class WordEncoder:
     end_id: int = END_ID
 
     def open(self) -> _Words:
+        # A task has one core; threads of the tokenizer's own would each hold memory of theirs.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return _Words(self)
 
     def encode(self, words: _Words, texts) -> Iterator[np.ndarray]:
         """The ids of each text."""
         end = np.array([self.end_id], np.uint32)
         for at in range(0, len(texts), TEXTS_AT_ONCE):
-            for own in words.places([_words(t) for t in texts[at : at + TEXTS_AT_ONCE]]):
+            for own in words.places([words.cut(t) for t in texts[at : at + TEXTS_AT_ONCE]]):
                 n = words.lengths[own]
                 first = np.cumsum(n) - n
                 at_id = np.arange(int(n.sum())) + np.repeat(words.starts[own] - first, n)
@@ -73,7 +81,14 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(encoder.path)
+        # Added tokens are cut out of the texts before; a word that only lower-casing makes look like one is none.
         self.tokenizer.encode_special_tokens = True
+        self.added = {_ADDED + t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        for t in self.tokenizer.get_added_tokens_decoder().values():
+            if t.normalized or t.lstrip or t.rstrip or t.single_word:
+                raise ValueError(f"added token {t.content!r} is not matched literally")
+        longest_first = sorted((re.escape(a[len(_ADDED) :]) for a in self.added), key=len, reverse=True)
+        self.literal = re.compile(f"({'|'.join(longest_first)})") if self.added else None
         word_end = self.tokenizer.model.end_of_word_suffix
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -97,6 +112,13 @@ class _Words:
             self.starts = np.cumsum(self.lengths) - self.lengths
         return found
 
+    def cut(self, text: str | None) -> list[str]:
+        """The words of a text; an added token is a word that begins with a space, as no other does."""
+        parts = self.literal.split(text) if text and self.literal else [text]
+        if len(parts) == 1:
+            return _words(text)
+        return [word for i, part in enumerate(parts) for word in ([_ADDED + part] if i % 2 else _words(part))]
+
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces = np.fromiter(map(_pieces, words), np.int64, len(words))
         plain = np.flatnonzero(pieces)
@@ -111,7 +133,7 @@ class _Words:
         lengths = np.zeros(len(words), np.int64)
         lengths[plain] = np.diff(stops, prepend=0)
         others = np.setdiff1d(np.arange(len(words)), plain)
-        single = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([words[i] for i in others], add_special_tokens=False)]
+        single = [self._single(words[i]) for i in others]
         lengths[others] = list(map(len, single))
         starts = np.cumsum(lengths) - lengths
         ids = np.zeros(int(lengths.sum()), np.uint32)
@@ -121,11 +143,16 @@ class _Words:
         return ids, lengths
 
 
+    def _single(self, word: str) -> np.ndarray:
+        ids = [self.added[word]] if word in self.added else self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, np.uint32)
+
+
 def _pieces(word: str) -> int:
     """Into how many pieces the tokenizer cuts a word: runs of letters, single digits and runs of marks. 0 if that takes a closer look:
     apostrophes begin pieces of their own, and what is neither ASCII nor a letter may be a number or may join a letter."""
     if word.isascii():
-        return 0 if "'" in word else 1 if word.isalpha() else len(_RUNS.findall(word))
+        return 0 if "'" in word or word.startswith(_ADDED) else 1 if word.isalpha() else len(_RUNS.findall(word))
     letters = word.rstrip(_MARKS)
     if not letters.isalpha() or not letters.lower().isalpha():
         return 0
@@ -149,29 +176,39 @@ def _words(text: str | None) -> list[str]:
 
 
 def train_dictionary(docs: DataFrame, encoder: WordEncoder, text: str = "text") -> bytes:
-    """A dictionary from the id arrays of about SAMPLE_DOCUMENTS documents, which a hash of the text picks among all.
+    """A dictionary from the id arrays of about SAMPLE_DOCUMENTS different texts that are not empty, which a hash picks among all.
 
-    Empty where the sample is too small to train on; frames then stand alone.
+    Of an array of more than RUNS * RUN_IDS ids, RUNS runs spread evenly over it are taken, so that about 4 MB reach the driver. Empty
+    where a corpus is too small to train on; frames then stand alone. A failure on a larger one is an error.
     """
-    rows = docs.count()
-    spread = F.pmod(F.xxhash64(text), F.lit(1 << 30))
-    picked = docs.where(spread < int((1 << 30) * min(1.0, SAMPLE_DOCUMENTS / max(rows, 1)))).select(text)
+    some = docs.where(F.length(text) > 0).select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    different = some.agg(F.approx_count_distinct("h")).first()[0]
+    share = min(1.0, SAMPLE_DOCUMENTS / max(different, 1))
+    # Copies of a text have one hash: all are picked or none, and one of them stays.
+    picked = some.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * share)).dropDuplicates(["h"])
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = encoder.open()
         for batch in batches:
-            yield pd.DataFrame({"ids": [x.astype("<u4").tobytes() for x in encoder.encode(words, batch[text])]})
+            yield pd.DataFrame({"ids": [_runs(x).astype("<u4").tobytes() for x in encoder.encode(words, batch["text"])]})
 
-    sampled = picked.mapInPandas(sample, "ids binary")
-    # At most 4 * SAMPLE_IDS bytes come to the driver, a fixed share of each of a fixed number of documents.
-    most = 4 * SAMPLE_IDS // (2 * SAMPLE_DOCUMENTS)
-    samples = [bytes(r[0]) for r in sampled.select(F.substring("ids", 1, most)).limit(2 * SAMPLE_DOCUMENTS).collect()]
+    samples = sorted(bytes(r[0]) for r in picked.select("text").mapInPandas(sample, "ids binary").collect())
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, sorted(samples)).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
+        if sum(map(len, samples)) >= 10 * DICTIONARY_BYTES:
+            raise
         return b""
 
 
+def _runs(ids: np.ndarray) -> np.ndarray:
+    """The ids, or of many of them runs that are spread evenly."""
+    if len(ids) <= RUNS * RUN_IDS:
+        return ids
+    starts = np.linspace(0, len(ids) - RUN_IDS, RUNS).astype(np.int64)
+    return np.concatenate([ids[a : a + RUN_IDS] for a in starts])
+
+
 def _head(dictionary: bytes) -> bytes:
     return MAGIC + hashlib.sha256(dictionary).digest()[:8]
 
@@ -195,8 +232,9 @@ def write_ids(docs: DataFrame, folder: str, encoder: WordEncoder, doc_id: str =
         words = encoder.open()
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd_dictionary(dictionary), write_content_size=True)
         frames, entries, at, total = [_head(dictionary)], [], len(_head(dictionary)), 0
-        for batch in batches:
-            for key, ids in zip(batch["doc_id"], encoder.encode(words, batch["text"])):
+        pieces = (batch.iloc[i : i + ROWS_AT_ONCE] for batch in batches for i in range(0, len(batch), ROWS_AT_ONCE))
+        for batch in pieces:
+            for key, ids in zip(batch["doc_id"], encoder.encode(words, batch["text"].tolist())):
                 frames.append(packer.compress(ids.astype("<u4").tobytes()))
                 known = not pd.isna(key)
                 entries.append((int(key) if known else 0, known, at, len(frames[-1]), len(ids)))
@@ -231,8 +269,11 @@ def read_ids(spark: SparkSession, folder: str, parts: DataFrame) -> DataFrame:
         fs, path = file_system(folder)
         head = _head(dictionary)
         for batch in batches:
-            for name, content in batch.itertuples(index=False):
-                with fs.open_input_stream(f"{path}/{name[:-4]}.idx") as stored:
+            for part in batch["part"].tolist():
+                name = f"part-{part:06d}"
+                with fs.open_input_stream(f"{path}/{name}.ids") as stored:
+                    content = stored.read()
+                with fs.open_input_stream(f"{path}/{name}.idx") as stored:
                     index = stored.read()
                 if content[: len(head)] != head or index[: len(head)] != head:
                     raise ValueError(f"{name} was written with another dictionary")
@@ -248,14 +289,14 @@ def read_ids(spark: SparkSession, folder: str, parts: DataFrame) -> DataFrame:
                     raise ValueError(f"{name} does not fit its index")
                 keys = pd.array(entries["doc_id"].astype(np.int64), "Int64")
                 keys[entries["has_id"] == 0] = pd.NA
-                first = starts[int(name[5:11])]
+                first = starts[part]
                 yield pd.DataFrame({"doc_id": keys, "start": first + np.cumsum(n) - n, "n_tokens": n, "ids_crc32": crcs})
 
     if not totals:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    return named.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # One row a file; the files are read where their rows are.
+    files = spark.createDataFrame([(part,) for part, _ in totals], "part long").repartition(len(totals))
+    return files.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_document(folder: str, part: int, position: int) -> tuple[int | None, np.ndarray]:
