@@ -50,7 +50,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, with digests of the ids and of the text that they decode to."""
     ship(spark)
-    encoded = bpe.encode_documents(docs, bpe_vocabulary())
+    encoded = bpe.encode_documents(docs, bpe_vocabulary(), decoded=False)
     return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
