@@ -56,12 +56,14 @@ def ordered_window(
 
 
 def chunks(df: DataFrame, by: Sequence[str], order_by: Sequence[str], rows_per_task: int) -> DataFrame | None:
-    """The rows in consecutive chunks of about `rows_per_task`, stored, with their chunk number; None if one chunk is enough.
+    """The rows in consecutive chunks of about `rows_per_task`, stored, with their chunk number; None if one chunk is enough for all groups.
+
+    One series without groups has two chunks at least, so that it never meets in one task.
 
     Chunks follow each other in the order of `by` and `order_by`, which must be unique together: range partitioning can then
     cut any group and any instant. Only one group goes on from one chunk into the next.
     """
-    n_chunks = math.ceil(df.count() / rows_per_task)
+    n_chunks = max(1 if by else 2, math.ceil(df.count() / rows_per_task))
     if n_chunks < 2:
         return None
     keys = [*by, *order_by]
