@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tickseries.session import materialize, use_utc, work_dir
 from tickseries.sinks.parquet import append_new, write_parquet
 from tickseries.sources.csv import read_csv, read_csv_union, split_bad_rows, union_by_name
 from tickseries.sources.parquet import between, read_parquet
+from tickseries.streaming import clock as clocks
 from tickseries.streaming import feeds as streaming
 from tickseries.streaming.job import run_stream_job
 
@@ -732,6 +734,57 @@ def stream_feed_bars(spark, sf_dir):
     return streaming.run_available(streaming.tumbling_bars(minutes, ["asset"], "ts", "1 hour"), "stream_feed_bars")
 
 
+def _run_to_the_end(spark, sf_dir, purpose: str, build) -> DataFrame:
+    """Run the stream that `build` makes of the clock's folder: from the first event, with six feeds named, and on to two days after the last."""
+    home = work_dir(use_utc(spark), purpose)
+    clock = f"{home}/clock"
+    first, last = ticks(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    clocks.name_feeds(spark, clock, [*ASSETS, "refund"], first)
+    stream = build(clock)
+    streaming.write_available(stream, f"{home}/table", f"{home}/checkpoint")
+    clocks.pass_time(spark, clock, last + timedelta(days=2))
+    streaming.write_available(stream, f"{home}/table", f"{home}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{home}/table")
+
+
+def _clocked_ticks(spark, sf_dir, clock: str, *assets: str) -> DataFrame:
+    stream = streaming.read_stream(spark, f"{sf_dir}/events.parquet*", EVENT_SCHEMA)
+    rows = stream.select("event_id", "ts", F.col("event_type").alias("asset"), F.col("value").alias("price"))
+    return clocks.with_clock(rows.where(F.col("asset").isin(*assets)) if assets else rows, clock, "ts", "1 hour")
+
+
+def stream_last_windows(spark, sf_dir):
+    """The hour bars of `stream_tumbling_ohlc` with those that only the clock closes."""
+
+    def build(clock):
+        rows = clocks.without_clock(_clocked_ticks(spark, sf_dir, clock), "ts")
+        return streaming.tumbling_bars(rows, ["asset"], "ts", "1 hour", ["event_id"], **PRICE)
+
+    return rounded(_run_to_the_end(spark, sf_dir, "stream_last", build), "volume")
+
+
+def stream_join(spark, sf_dir):
+    """The last prices of A and B side by side for every minute that either has: a join of two streams."""
+
+    def build(clock):
+        sides = (
+            clocks.last_in_window(
+                clocks.without_clock(_clocked_ticks(spark, sf_dir, clock, a), "ts"), "ts", "1 minute", "price", f"{a}_close", ["event_id"]
+            )
+            for a in (A, B)
+        )
+        return clocks.join_windows(*sides)
+
+    return _run_to_the_end(spark, sf_dir, "stream_join", build)
+
+
+def stream_silent_feeds(spark, sf_dir):
+    """Every silence of half an hour or more of six feeds, one of which never sends a row."""
+    return _run_to_the_end(
+        spark, sf_dir, "stream_silent", lambda clock: clocks.silent_feeds(_clocked_ticks(spark, sf_dir, clock), "ts", 60, 30)
+    )
+
+
 def stream_align(spark, sf_dir):
     windows = streaming.tumbling_align(_tick_stream(spark, sf_dir), "asset", [A, B], "ts", "1 minute", "price", ["event_id"])
     return streaming.run_available(windows, "stream_align")
@@ -833,6 +886,9 @@ QUERIES = {
         incremental_append,
         stream_tumbling_ohlc,
         stream_feed_bars,
+        stream_last_windows,
+        stream_join,
+        stream_silent_feeds,
         stream_align,
         stream_drop_copies,
         stream_incremental_append,

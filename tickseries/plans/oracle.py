@@ -389,6 +389,16 @@ ORACLES = {
         last(a_close ORDER BY bucket) AS close, sum(a_volume) AS volume, count(*) AS n_rows FROM a
         GROUP BY date_trunc('hour', bucket)
         HAVING date_trunc('hour', bucket) + INTERVAL 2 HOURS <= (SELECT max(bucket) FROM a)""",
+    "stream_last_windows": f"""{HOUR_BARS} SELECT asset, bucket, open, high, low, close, round(volume, 6) AS volume, n_rows FROM hours""",
+    "stream_join": f"""WITH {TICKS}, {bars('minutes', 'minute')}
+        SELECT bucket, a.close AS click_close, b.close AS view_close
+        FROM (SELECT * FROM minutes WHERE asset = 'click') a FULL JOIN (SELECT * FROM minutes WHERE asset = 'view') b USING (bucket)""",
+    "stream_silent_feeds": f"""WITH {TICKS}, active AS (
+            SELECT DISTINCT asset, date_trunc('minute', ts) AS m, true AS seen FROM ticks
+            UNION ALL SELECT asset, date_trunc('minute', min(ts)), false FROM events, (SELECT unnest({[*ASSETS, 'refund']}) AS asset) GROUP BY asset),
+        minutes AS (SELECT asset, m, bool_or(seen) AS seen FROM active GROUP BY asset, m),
+        spans AS (SELECT *, lead(m) OVER (PARTITION BY asset ORDER BY m) AS n FROM minutes)
+        SELECT asset, m + INTERVAL 1 MINUTE AS silent_from, seen FROM spans WHERE n IS NULL OR n - m >= INTERVAL 31 MINUTES""",
     "stream_align": f"""WITH {TICKS}, {bars('minutes', 'minute')}
         SELECT a.bucket, a.close AS click_close, b.close AS view_close
         FROM (SELECT * FROM minutes WHERE asset = 'click') a JOIN (SELECT * FROM minutes WHERE asset = 'view') b
