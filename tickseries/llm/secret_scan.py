@@ -3,8 +3,9 @@
 The patterns give the base spans. Beside them, every run of characters that a key could be made of is a candidate. A window
 moves over it; the counts of its characters change by one in and one out per step, and with them the sum of c log c, from
 which the window's Shannon entropy follows. Windows of high entropy for their character class are joined into spans. An
-allow-list takes back what is known to look random and is none: identifiers, paths, dates, repetitions, words.
-Base spans always stay.
+allow-list takes back what is known to look random and is none: numbers, identifiers, paths, dates, repetitions, words. What
+base spans cover, and the pieces that look like a date, an identifier or an example, are cut out of a candidate; what is left of
+it is looked at on its own, so a key beside them is found. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ ACCESS_LEAST = 18
 HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run of 16 or more, as [0-9a-f]+ that is then measured
 KINDS = ("assign", "access", "hex")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST_CANDIDATE = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CANDIDATE)
+MARKS = "-_=+/"
 ENTROPY = "entropy"
 
 
@@ -44,21 +47,27 @@ class CharacterClass:
 
 #: The first class whose pattern fits a candidate decides.
 CLASSES = (
-    CharacterClass("digits", re.compile(r"[0-9]+"), 20, 9.0),  # out of reach: numbers are not reported
     CharacterClass("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 20, 3.0),
     CharacterClass("base32", re.compile(r"[A-Z2-7]+=*"), 20, 3.6),
     CharacterClass("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.9),
 )
 
-#: A candidate that one of these fits as a whole is no secret.
+#: Pieces that are cut out of a candidate.
+CUTS = (
+    re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"),  # a UUID
+    re.compile(r"(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])(T[0-9]{2}([0-9]{2}){0,2}Z?(?![A-Za-z0-9]))?"),  # a date
+    re.compile(r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),  # fixed value: a key that manuals show
+)
+#: A segment of a candidate that holds one of these words is cut out as well.
+SEGMENT = re.compile(r"[A-Za-z0-9+_-]+")
+SAMPLE = re.compile(r"EXAMPLE|example|placeholder|your[_-]?(key|token)")
+
+#: A piece that one of these fits as a whole, marks at its ends left out, is no secret.
 ALLOWED = (
+    re.compile(r"[0-9]+"),  # a number, however long
     re.compile(r"[A-Za-z]+"),  # letters only: a word, however long
-    re.compile(r"[A-Za-z]*[a-z]{3}[A-Za-z]*([/_=+-]+[A-Za-z]*)*"),  # words joined by marks
-    re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),  # a UUID
-    re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*"),  # begins with a date
-    re.compile(r"[-_=+/]+"),
+    re.compile(r"(?=[A-Za-z]*?[a-z]{3})[A-Za-z]++([/_=+-]++[A-Za-z]*+)*+"),  # words joined by marks
     re.compile(r"(.{1,8}?)\1+.{0,8}"),  # a short piece over and over
-    re.compile(r".*(EXAMPLE|example|placeholder|your[_-]?(key|token)).*"),
 )
 
 
@@ -91,12 +100,32 @@ def window_entropies(string: str, window: int) -> list[float]:
     return found
 
 
-def entropy_spans(text: str, classes=CLASSES, allowed=ALLOWED) -> list[tuple[int, int]]:
-    """Joined suspect windows of the candidates that no allow-list pattern fits."""
-    spans: list[tuple[int, int]] = []
+def pieces(text: str, hidden=(), cuts=CUTS) -> Iterator[tuple[int, str]]:
+    """What is left of the candidates without `hidden` (disjoint (start, end), ascending), what the cuts match and sample segments: (start, piece)."""
+    first = 0
     for match in CANDIDATE.finditer(text):
-        run = match[0]
-        if run.isalpha() or any(p.fullmatch(run) for p in allowed):
+        start, end, run = match.start(), match.end(), match[0]
+        while first < len(hidden) and hidden[first][1] <= start:
+            first += 1
+        out, at = [], first
+        while at < len(hidden) and hidden[at][0] < end:
+            out.append(hidden[at])
+            at += 1
+        out += [(start + m.start(), start + m.end()) for p in cuts for m in p.finditer(run)]
+        if SAMPLE.search(run):
+            out += [(start + m.start(), start + m.end()) for m in SEGMENT.finditer(run) if SAMPLE.search(m[0])]
+        for a, b in [*sorted(out), (end, end)]:
+            if a - start >= LEAST_CANDIDATE:
+                yield start, text[start:a]
+            start = max(start, b)
+
+
+def entropy_spans(text: str, classes=CLASSES, allowed=ALLOWED, hidden=()) -> list[tuple[int, int]]:
+    """Joined suspect windows of the pieces of the candidates that no allow-list pattern fits."""
+    spans: list[tuple[int, int]] = []
+    for begin, run in pieces(text, hidden):
+        bare = run.strip(MARKS)
+        if not bare or bare.isalpha() or any(p.fullmatch(bare) for p in allowed):
             continue
         kind = next(c for c in classes if c.pattern.fullmatch(run) or c is classes[-1])
         start = None
@@ -107,23 +136,23 @@ def entropy_spans(text: str, classes=CLASSES, allowed=ALLOWED) -> list[tuple[int
             elif bits >= kind.least_bits:
                 last = at
             elif start is not None and (at - last > kind.window or at == len(values)):
-                spans.append((match.start() + start, match.start() + last + min(kind.window, len(run))))
+                spans.append((begin + start, begin + last + min(kind.window, len(run))))
                 start = None
     return spans
 
 
 def scan(text: str | None) -> dict:
-    """All spans of one text. A suspect span that overlaps a base span adds nothing and is left out."""
+    """All spans of one text. Suspect spans lie beside base spans, never over them."""
     text = text or ""
     base = base_spans(text)
     names = [f"{KINDS[k]}:{a}:{b}" for a, k, b in base]
-    added, at, reach = [], 0, -1
-    for a, b in entropy_spans(text):  # both lists are by start
-        while at < len(base) and base[at][0] < b:
-            reach = max(reach, base[at][2])
-            at += 1
-        if reach <= a:
-            added.append((a, len(KINDS), b))
+    hidden: list[tuple[int, int]] = []
+    for a, _, b in base:
+        if hidden and a <= hidden[-1][1]:
+            hidden[-1] = hidden[-1][0], max(hidden[-1][1], b)
+        else:
+            hidden.append((a, b))
+    added = [(a, len(KINDS), b) for a, b in entropy_spans(text, hidden=hidden)]
     merged = sorted([*base, *added])
     return {
         **{f"n_{kind}": sum(k == i for _, k, _ in base) for i, kind in enumerate(KINDS)},
