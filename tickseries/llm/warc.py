@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from tickseries.llm.common import file_system, put_file, work_dir
 
 RECORDS_PER_FILE = 20_000
+FILE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
+READ_BYTES_PER_TASK = 256 << 20
 GAP_BYTES = 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 
@@ -108,28 +111,33 @@ def assign_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
     """Write a record per row of pages (page_id, url, html) below `folder` and return the index, which is stored beside it.
 
-    Each task writes one gzip archive at a time; a task that runs again replaces its files by the same
-    records. A null html is an empty payload.
+    Each task writes one gzip archive at a time and begins another at `RECORDS_PER_FILE` records or `FILE_BYTES`; it holds no more than that
+    and a record. A task that runs again replaces its files by the same records. A null html is an empty payload.
     """
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, n = TaskContext.get().partitionId(), 0
+        members, entries, offset = [], [], 0
+
+        def close() -> pd.DataFrame:
+            put_file(folder, f"part-{task:06d}-{n:05d}.warc.gz", members)
+            return pd.DataFrame(entries, columns=[x.split()[0] for x in INDEX.split(", ")]).astype({"page_id": "Int64"})
+
         for batch in batches:
-            for at in range(0, len(batch), RECORDS_PER_FILE):
-                name, members, entries, offset = f"part-{task:06d}-{n:05d}.warc.gz", [], [], 0
-                n += 1
-                for page_id, url, html, digest, refers_to, revisit in batch.iloc[at : at + RECORDS_PER_FILE].itertuples(index=False):
-                    page_id, refers_to = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
-                    raw = record_bytes(page_id, url, (html or "").encode(), digest, refers_to, bool(revisit))
-                    members.append(gzip.compress(raw, 6, mtime=0))
-                    kind = "revisit" if revisit else "response"
-                    entries.append((name, offset, len(members[-1]), url, digest, page_id, kind))
-                    offset += len(members[-1])
-                put_file(folder, name, members)
-                frame = pd.DataFrame(entries, columns=[x.split()[0] for x in INDEX.split(", ")])
-                yield frame.astype({"page_id": "Int64"})
+            for page_id, url, html, digest, refers_to, revisit in batch.itertuples(index=False):
+                page_id, refers_to = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
+                raw = record_bytes(page_id, url, (html or "").encode(), digest, refers_to, bool(revisit))
+                members.append(gzip.compress(raw, 6, mtime=0))
+                kind = "revisit" if revisit else "response"
+                entries.append((f"part-{task:06d}-{n:05d}.warc.gz", offset, len(members[-1]), url, digest, page_id, kind))
+                offset += len(members[-1])
+                if len(members) >= RECORDS_PER_FILE or offset >= FILE_BYTES:
+                    yield close()
+                    n, members, entries, offset = n + 1, [], [], 0
+        if members:
+            yield close()
 
     rows = assign_revisits(pages, least_bytes).select("page_id", "url", "html", "digest", "refers_to", "revisit")
     index = rows.mapInPandas(write, INDEX)
@@ -142,8 +150,12 @@ def read_warc(selected: DataFrame, folder: str, read_bytes: int = READ_BYTES, ga
     """The records that rows of the index name, by sorted byte ranges.
 
     Ranges of a file within `gap_bytes` of each other become one read, of at most about `read_bytes` unless one record is longer.
-    Each read is a row of its own, so reads spread over the cluster whatever files they are in.
+    Each read is a row of its own; the reads are dealt by the bytes to read, not by the size of the index, so
+    they spread over the cluster whatever files they are in: a task per `READ_BYTES_PER_TASK`, and one per core at least.
     """
+    spark = selected.sparkSession
+    to_read = selected.agg(F.sum("length")).first()[0] or 0
+    n_tasks = max(spark.sparkContext.defaultParallelism, math.ceil(to_read / READ_BYTES_PER_TASK))
     in_order = Window.partitionBy("file").orderBy("offset", "length")
     end = F.col("offset") + F.col("length")
     gap = F.col("offset") - F.lag(end).over(in_order)
@@ -157,7 +169,9 @@ def read_warc(selected: DataFrame, folder: str, read_bytes: int = READ_BYTES, ga
         .withColumn("read", F.sum("fresh").over(in_order))
         .groupBy("file", "read")
         .agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
-        .select("file", F.col("ranges.offset").alias("offsets"), F.col("ranges.length").alias("lengths"))
+        .select("file", "read", F.col("ranges.offset").alias("offsets"), F.col("ranges.length").alias("lengths"))
+        .repartition(n_tasks, "file", "read")
+        .drop("read")
     )
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
