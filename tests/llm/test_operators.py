@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -347,6 +348,24 @@ def test_line_dedup(spark, docs, keys_per_shard, per_chunk):
     assert lines.dedup_lines(docs.where("false")).collect() == []
 
 
+def test_line_dedup_of_equal_rows_and_few_lines(spark):
+    """Most rows are equal, so one chunk has most of them, and all chunks probe with the same few keys."""
+    texts = [None] * 150 + ["a\nb\n C "] * 150 + [f"c\nown {i}" for i in range(40)]
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string").repartition(3)
+    found = lines.dedup_lines(docs, 100, keys_per_shard=10, documents_per_chunk=10, probes_per_task=4)
+    want = [(7, 1, 0, "")] * 150 + [(7, 3, 3, "")] * 150 + [(7, 2, 1, f"own {i}") for i in range(40)]
+    assert key((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in found.collect()) == key(want)
+
+
+def test_counts_stop_at_the_threshold():
+    h1, h2 = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, (2, 100))
+    for most, size in ((10, 1), (65_535, 2), (1 << 20, 4)):
+        shard = lines.build_shard(h1, h2, np.arange(100) * 5_000, most)
+        place = lines.probe_shard(shard, h1, h2)
+        assert shard["counts"].itemsize == size and shard["prints"].itemsize == 4
+        assert np.array_equal(shard["counts"][place], np.minimum(np.arange(100) * 5_000, most))
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 1000):
@@ -593,3 +612,45 @@ def test_allow_list():
     assert spans("see /usr/local/share/applications/somewhere") == []
     assert spans("a" * 50 + " " + "0123456789" * 5) == []
     assert spans("q7Zk2PvX9sLw4TgBn8RjYc3HmDf6AeUo1K5iVx0S") != []
+
+
+def test_keys_beside_dates_digests_and_identifiers_are_found():
+    key = "q7Zk2PvX9sLw4TgBn8RjYc3HmDf6AeUo1K5iVx0SqW9eRt2y"
+    for before, after in (
+        ("2024-01-01T", ""),
+        ("2024-01-01T12/", ""),
+        ("0123456789abcdef" * 2 + "/", ""),
+        ("550e8400-e29b-41d4-a716-446655440000/", ""),
+        ("example/", "=="),
+        ("", "/" + "fedcba9876543210" * 4),
+    ):
+        found = [x.split(":") for x in secret_scan.scan(f"x {before}{key}{after} y")["spans"].split(",")]
+        at = len(before) + 2
+        assert any(k == "entropy" and int(a) <= at + 2 and int(b) >= at + len(key) - 2 for k, a, b in found), before
+        spans = sorted((int(a), int(b)) for k, a, b in found)
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+    assert secret_scan.entropy_spans("2024-01-01T12 wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY sk-EXAMPLEq7Zk2PvX9sLw4TgBn8RjYc3") == []
+    assert secret_scan.scan("0123456789abcdef" * 4)["n_entropy"] == 0
+
+
+def test_long_runs_take_time_in_proportion():
+    rng = random.Random(5)
+    for run in ("a" * 300_000 + "1", "".join(rng.choice("abcXYZ019+/") for _ in range(300_000)), "ab1-" * 75_000, "0a1b2c3d4e5f60718" + "/" * 300_000):
+        started = time.monotonic()
+        secret_scan.scan(run)
+        assert time.monotonic() - started < 20
+
+
+def test_warc_files_are_cut_by_bytes_and_reads_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES_PER_TASK", 4_000)
+    pages = [(i, f"http://x/{i}", random.Random(i).randbytes(600).hex()) for i in range(300)]
+    pages += [(300, "long", random.Random(300).randbytes(100_000).hex())]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    folder = str(tmp_path / "warc")
+    index = warc.write_warc(df, folder)
+    assert index.agg(F.sum("length")).first()[0] > 200_000
+    found = warc.read_warc(index, folder, read_bytes=2_000)
+    assert found.rdd.getNumPartitions() >= 50
+    read_by = found.select("page_id", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(read_by) > 20
+    assert sorted(r.page_id for r in found.collect()) == list(range(301))

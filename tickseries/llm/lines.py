@@ -3,9 +3,10 @@
 1. Every document gives each of its line keys once, as 128 hash bits; the keys are counted over all documents.
 2. The distinct keys are cut into shards of a bounded size. Each shard gets a minimal perfect hash: levels of
    bits, in each of which the keys that fall alone on a bit are settled, so that the rank of its bit is a key's place.
-   The shard keeps a fingerprint and a count per place, no keys and no lines.
+   The shard keeps a fingerprint of 32 bits and a count that stops at the threshold per place, no keys and no lines.
 3. Documents are dealt into chunks. The distinct keys of a chunk probe the arrays of their shard, so that a line that a third
-   of all documents have reaches its shard once per chunk. Only the keys that must go return to their chunk.
+   of all documents have reaches its shard once per chunk; a shard with many probes is sent to several tasks, which share them.
+   Only the keys that must go return to their chunk; a chunk that equal rows have made large is split as well.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from tickseries.llm.common import clear_names, materialize, splitmix
 MIN_DOCUMENTS = 10
 KEYS_PER_SHARD = 250_000
 DOCUMENTS_PER_CHUNK = 1_024
+PROBES_PER_TASK = 1_000_000
+MOST = 65_535
 BITS_PER_KEY = 2.0
 
 _PAIR = np.dtype([("h1", np.int64), ("h2", np.int64)])
@@ -72,8 +75,8 @@ def _mixed(h1: np.ndarray, h2: np.ndarray, level: int) -> np.ndarray:
         return splitmix(h1.view(np.uint64) ^ splitmix(h2.view(np.uint64) + salt))
 
 
-def build_shard(h1: np.ndarray, h2: np.ndarray, n_docs: np.ndarray) -> dict:
-    """Arrays of one shard. `bits` has all levels one after another, `widths` the bits of each level."""
+def build_shard(h1: np.ndarray, h2: np.ndarray, n_docs: np.ndarray, most: int = MOST) -> dict:
+    """Arrays of one shard. `bits` has all levels one after another, `widths` the bits of each level. Counts stop at `most`."""
     left, levels = np.arange(len(h1)), []
     while len(left):
         width = 8 * math.ceil(BITS_PER_KEY * len(left) / 8)
@@ -84,8 +87,8 @@ def build_shard(h1: np.ndarray, h2: np.ndarray, n_docs: np.ndarray) -> dict:
     bits = np.concatenate(levels) if levels else np.zeros(0, bool)
     shard = {"widths": np.array([len(x) for x in levels], np.int64), "bits": np.packbits(bits)}
     place = probe_shard(shard | {"n_keys": len(h1)}, h1, h2)
-    prints, counts = np.empty(len(h1), np.int64), np.empty(len(h1), np.int64)
-    prints[place], counts[place] = h2, n_docs
+    prints, counts = np.empty(len(h1), np.uint32), np.empty(len(h1), np.min_scalar_type(most))
+    prints[place], counts[place] = h2.astype(np.uint32), np.minimum(n_docs, most)
     return shard | {"prints": prints, "counts": counts}
 
 
@@ -106,29 +109,47 @@ def _shard_of(h1: str, n_shards: int) -> Column:
     return F.pmod(F.col(h1), F.lit(n_shards))
 
 
-def line_index(counts: DataFrame, n_shards: int) -> DataFrame:
-    """One row of arrays per shard, from the rows of `count_lines`."""
+def line_index(counts: DataFrame, n_shards: int, most: int = MOST) -> DataFrame:
+    """One row of arrays per shard, from the rows of `count_lines`. Counts stop at `most`."""
 
     def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        arrays = build_shard(*(pdf[c].to_numpy() for c in ("h1", "h2", "n_docs")))
+        arrays = build_shard(*(pdf[c].to_numpy() for c in ("h1", "h2", "n_docs")), most)
         return pd.DataFrame([{"shard": key[0], "n_keys": len(pdf)} | {k: v.tobytes() for k, v in arrays.items()}])
 
     return counts.withColumn("shard", _shard_of("h1", n_shards)).groupBy("shard").applyInPandas(build, _INDEX)
 
 
+def _split_large(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(`key`, _n_pieces) of the keys with more than `most` rows. Written, so that Spark knows its size when it plans the join with it."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / most).alias("_n_pieces"))
+    return materialize(sizes.where("_n_pieces > 1"), "pieces")
+
+
+def _i_n_pieces(rows: DataFrame, large: DataFrame, key: str, number) -> DataFrame:
+    """Deal the rows of the large keys into their pieces: adds `_piece`, 0 for the others."""
+    dealt = F.pmod(number, F.coalesce("_n_pieces", F.lit(1)))
+    return rows.join(large, key, "left").withColumn("_piece", dealt).drop("_n_pieces")
+
+
+def _to_all_pieces(rows: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """Send each row to all pieces of its key: adds `_piece`."""
+    all_pieces = F.sequence(F.lit(0).cast("long"), F.coalesce("_n_pieces", F.lit(1)) - 1)
+    return rows.join(large, key, "left").withColumn("_piece", F.explode(all_pieces)).drop("_n_pieces")
+
+
 def _frequent(min_documents: int):
     """Probe the arrays of a shard with the keys of all chunks."""
 
     def probe(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         if not len(probes) or not len(index):
-            return pd.DataFrame({"chunk": [], "h1": [], "h2": []}).astype(np.int64)
+            return pd.DataFrame({"_chunk": [], "h1": [], "h2": []}).astype(np.int64)
         row = index.iloc[0]
-        kinds = {"widths": np.int64, "bits": np.uint8, "prints": np.int64, "counts": np.int64}
+        kinds = {"widths": np.int64, "bits": np.uint8, "prints": np.uint32, "counts": np.min_scalar_type(min_documents)}
         shard = {k: np.frombuffer(row[k], kind) for k, kind in kinds.items()}
         h1, h2 = probes["h1"].to_numpy(), probes["h2"].to_numpy()
         place = probe_shard(shard, h1, h2)
-        found = (place >= 0) & (shard["prints"][place] == h2) & (shard["counts"][place] >= min_documents)
-        return probes.loc[found, ["chunk", "h1", "h2"]]
+        found = (place >= 0) & (shard["prints"][place] == h2.astype(np.uint32)) & (shard["counts"][place] >= min_documents)
+        return probes.loc[found, ["chunk", "h1", "h2"]].rename(columns={"chunk": "_chunk"})
 
     return probe
 
@@ -139,6 +160,7 @@ def dedup_lines(
     text: str = "text",
     keys_per_shard: int = KEYS_PER_SHARD,
     documents_per_chunk: int = DOCUMENTS_PER_CHUNK,
+    probes_per_task: int = PROBES_PER_TASK,
     names: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """The documents without the lines whose key stands in `min_documents` rows or more; adds n_lines and n_dropped, or other `names`.
@@ -152,7 +174,7 @@ def dedup_lines(
     counts = materialize(count_lines(docs, text), "line-counts")
     n_shards = max(1, math.ceil(counts.count() / keys_per_shard))
     n_chunks = max(1, math.ceil(docs.count() / documents_per_chunk))
-    index = materialize(line_index(counts, n_shards), "line-index")
+    index = materialize(line_index(counts, n_shards, min_documents), "line-index")
 
     key = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if kind in ("bigint", "string")])
     chunked = docs.withColumn("_chunk", F.pmod(key, F.lit(n_chunks)))
@@ -163,17 +185,22 @@ def dedup_lines(
                 pairs = np.unique(_hashes({k for t in texts for k in _keys(t)}))
                 yield _frame(pairs, chunk=np.int64(chunk))
 
-    probes = (
+    probes = materialize(
         chunked.select("_chunk", text)
         .mapInPandas(keys_by_chunk, "chunk long, h1 long, h2 long")
         .distinct()
-        .withColumn("shard", _shard_of("h1", n_shards))
+        .withColumn("shard", _shard_of("h1", n_shards)),
+        "line-probes",
     )
+    busy = _split_large(probes, "shard", probes_per_task)
     gone = (
-        probes.groupBy("shard")
-        .cogroup(index.groupBy("shard"))
-        .applyInPandas(_frequent(min_documents), "chunk long, h1 long, h2 long")
+        _i_n_pieces(probes, busy, "shard", F.col("chunk"))
+        .groupBy("shard", "_piece")
+        .cogroup(_to_all_pieces(index, busy, "shard").groupBy("shard", "_piece"))
+        .applyInPandas(_frequent(min_documents), "_chunk long, h1 long, h2 long")
     )
+    # Only equal rows make a chunk this large. Any deal of its rows will do, as each piece gets all keys of the chunk.
+    large = _split_large(chunked, "_chunk", 2 * documents_per_chunk)
 
     def drop(rows: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         pairs = np.empty(len(keys), _PAIR)
@@ -187,10 +214,12 @@ def dedup_lines(
             kept.append(b"\n".join(stay).decode())
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
-        return rows.drop(columns="_chunk").assign(**{text: kept, names[0]: n_lines, names[1]: n_dropped})
+        return rows.drop(columns=["_chunk", "_piece"]).assign(**{text: kept, names[0]: n_lines, names[1]: n_dropped})
 
     schema = ", ".join(f"`{c}` {kind}" for c, kind in docs.dtypes) + f", `{names[0]}` long, `{names[1]}` long"
-    return chunked.groupBy("_chunk").cogroup(gone.groupBy("chunk")).applyInPandas(drop, schema)
+    rows = _i_n_pieces(chunked, large, "_chunk", F.monotonically_increasing_id())
+    keys = _to_all_pieces(gone, large, "_chunk")
+    return rows.groupBy("_chunk", "_piece").cogroup(keys.groupBy("_chunk", "_piece")).applyInPandas(drop, schema)
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
