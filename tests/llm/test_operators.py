@@ -474,6 +474,25 @@ def test_clean_rows_stay_whatever_their_id(spark):
     assert kept.columns == renamed.columns and sorted(r["row"] for r in kept.collect()) == [1, 2, 3, 5, 7]
 
 
+def test_edit_distances_of_many_pairs():
+    rng = np.random.default_rng(8)
+    for n, m in ((1, 1), (6, 6), (9, 4)):
+        a, b = rng.integers(1, 4, (200, n)), rng.integers(1, 4, (200, m))
+        lengths = rng.integers(0, n + 1, 200)
+        for most in (0, 2, 20):
+            want = [min(plain_distance(x[:k].tolist(), y.tolist()), most + 1) for x, k, y in zip(a, lengths, b)]
+            assert decontaminate.edit_distances(a, lengths, b, most).tolist() == want
+
+
+def test_an_item_under_many_ids(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    items = spark.createDataFrame([(i, text) for i in range(50)] + [(7, "short one here now"), (None, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {text} x"), (2, "a short one here now"), (3, "clean")], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, items).collect()
+    want = [(1, i, 1, 0) for i in range(50)] + [(1, None, 1, 0), (2, 7, 1, 0)]
+    assert key(map(tuple, found)) == key(want)
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------------
 
 

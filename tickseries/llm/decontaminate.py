@@ -37,6 +37,7 @@ MEASURED_WALKS = 128
 MEASURED_ONE_BY_ONE = 20
 FILTER_BITS = 1 << 23
 WINDOWS_AT_ONCE = 1 << 14
+WORDS_AT_ONCE = 1 << 20
 WINDOWS_HELD = 1 << 18
 WORDS_HELD = 500_000
 
@@ -165,19 +166,34 @@ def buckets(strings: np.ndarray, n_walks: int) -> np.ndarray:
     return (keys >> np.uint64(1)).astype(np.int64)
 
 
+def edit_distances(a: np.ndarray, lengths: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Of each pair of rows the edit distance of the first `lengths` words in `a` and those in `b`, or most + 1 if it is larger.
+
+    One word of all pairs at a time; a pair leaves when its words are over or no way through it stays within `most`.
+    """
+    n = b.shape[1]
+    places = np.arange(n + 1, dtype=np.int32)
+    found = np.where(lengths == 0, min(n, most + 1), most + 1)
+    left = np.flatnonzero(lengths > 0)
+    a, b, lengths, before = a[left], b[left], lengths[left], np.tile(places, (len(left), 1))
+    for i in range(a.shape[1]):
+        now = np.empty_like(before)
+        now[:, 0] = i + 1
+        now[:, 1:] = np.minimum(before[:, 1:] + 1, before[:, :-1] + (b != a[:, i, None]))
+        before = np.minimum.accumulate(now - places, axis=1) + places  # insertions
+        over = lengths == i + 1
+        found[left[over]] = np.minimum(before[over, -1], most + 1)
+        stay = ~over & (before.min(axis=1) <= most)
+        if not stay.all():
+            a, b, lengths, before, left = a[stay], b[stay], lengths[stay], before[stay], left[stay]
+        if not len(left):
+            break
+    return found
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """The edit distance of two word strings, or most + 1 if it is larger."""
-    before = np.arange(len(b) + 1)
-    places = np.arange(len(b) + 1)
-    for i, word in enumerate(a, 1):
-        now = np.empty_like(before)
-        now[0] = i
-        now[1:] = np.minimum(before[1:] + 1, before[:-1] + (b != word))
-        now = np.minimum.accumulate(now - places) + places  # insertions
-        if now.min() > most:
-            return most + 1
-        before = now
-    return int(min(before[-1], most + 1))
+    return int(edit_distances(np.asarray(a)[None, :], np.array([len(a)]), np.asarray(b)[None, :], most)[0])
 
 
 def item_words(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -280,7 +296,11 @@ def contaminated(
     Windows go through a bitmap of the items' buckets, whose size is fixed, and join the items by bucket; no item
     is sent to all tasks.
     """
-    items = materialize(item_words(benchmark, item_id, item_text), "items")
+    # Equal items are one until the end, however many ids they have.
+    ids = materialize(item_words(benchmark, item_id, item_text), "items")
+    texts = ids.groupBy("words").agg(F.first("size").alias("size")).withColumn("item", F.monotonically_increasing_id())
+    items = materialize(texts, "item-texts")
+    members = ids.join(items.select("words", "item"), "words").select("item", "item_id")
     sizes = np.array(sorted(r[0] for r in items.select("size").distinct().collect()), np.int64)  # lengths of items
     nothing = "doc_id long, item_id long, start long, distance long"
     if not len(sizes):
@@ -292,10 +312,11 @@ def contaminated(
         for batch in batches:
             for size, same in batch.groupby("size"):
                 found = buckets(np.stack(same["words"]), n_walks[size])
-                ids = np.repeat(same["item_id"].to_numpy(), n_walks[size])
-                yield pd.DataFrame({"item_id": ids, "bucket": found.ravel()})
+                owners = np.repeat(same["item"].to_numpy(), n_walks[size])
+                yield pd.DataFrame({"item": owners, "bucket": found.ravel()})
+
+    in_buckets = materialize(items.select("item", "size", "words").mapInPandas(item_buckets, "item long, bucket long"), "buckets")
 
-    in_buckets = materialize(items.select("item_id", "size", "words").mapInPandas(item_buckets, "item_id long, bucket long"), "buckets")
     @F.pandas_udf("array<long>")
     def neighbours(words: pd.Series) -> pd.Series:
         return pd.Series([pairs_of(np.asarray(w)) for w in words], dtype=object)
@@ -348,13 +369,14 @@ def contaminated(
                     low, high = int(starts[0]), int(starts[-1]) + size
                     own = known_by_size(sized, words[low:high], word_pairs[low : high - 1], size)
                     starts = low + narrowed(starts - low, size, int(allowed_edits(size, similarity)), *own)
-                    if not len(starts):
-                        continue
-                    places = starts[:, None] + np.arange(size)[None, :]
-                    windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
-                    waiting.setdefault(size, []).append((key, starts, windows))
-                    if sum(len(x) for _, x, _ in waiting[size]) >= WINDOWS_AT_ONCE:
-                        yield embed(size, waiting.pop(size))
+                    at_once = max(1, min(WINDOWS_AT_ONCE, WORDS_AT_ONCE // size))
+                    for at in range(0, len(starts), at_once):
+                        some = starts[at : at + at_once]
+                        places = some[:, None] + np.arange(size)[None, :]
+                        windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
+                        waiting.setdefault(size, []).append((key, some, windows))
+                        if sum(len(x) for _, x, _ in waiting[size]) >= at_once:
+                            yield embed(size, waiting.pop(size))
             for size in list(waiting):
                 yield embed(size, waiting.pop(size))
 
@@ -362,24 +384,34 @@ def contaminated(
     occurring = materialize(rows.mapInPandas(hits, _HIT), "windows")
     windows = materialize(occurring.groupBy("window").agg(*[F.first(c).alias(c) for c in ("size", "words", "buckets")]), "windows")
     candidates = (
-        windows.select("window", F.explode("buckets").alias("bucket")).join(in_buckets, "bucket").select("window", "item_id").distinct()
+        windows.select("window", F.explode("buckets").alias("bucket")).join(in_buckets, "bucket").select("window", "item").distinct()
     )
 
     @F.pandas_udf("long")
-    def distance(window: pd.Series, item: pd.Series) -> pd.Series:
-        pairs = ((np.trim_zeros(np.asarray(w), "b"), np.asarray(i)) for w, i in zip(window, item))
-        return pd.Series([edit_distance(w, i, int(allowed_edits(len(i), similarity))) for w, i in pairs], dtype="int64")
+    def distance(windows: pd.Series, words: pd.Series) -> pd.Series:
+        found = np.zeros(len(words), np.int64)
+        shapes = pd.DataFrame({"window": windows.map(len), "item": words.map(len)}).reset_index(drop=True)
+        for (_, n), pairs in shapes.groupby(["window", "item"]):
+            at_once = max(1, WORDS_AT_ONCE // n)
+            for at in range(0, len(pairs), at_once):
+                rows = pairs.index[at : at + at_once]
+                own = np.stack(windows.iloc[rows].to_list())
+                lengths = (own != 0).sum(axis=1)  # no word has the hash 0, with which short texts are filled up
+                found[rows] = edit_distances(own, lengths, np.stack(words.iloc[rows].to_list()), int(allowed_edits(n, similarity)))
+        return pd.Series(found)
 
     verified = (
         candidates.join(windows.drop("buckets"), "window")
-        .join(items.select("item_id", F.col("words").alias("item")), "item_id")
-        .withColumn("distance", distance("words", "item"))
-        .where(F.col("distance") <= F.floor(F.size("item") * (1 - similarity) + 1e-9))
-        .select("window", "item_id", "distance")
+        .join(items.select("item", F.col("words").alias("item_words")), "item")
+        .withColumn("distance", distance("words", "item_words"))
+        .where(F.col("distance") <= F.floor(F.size("item_words") * (1 - similarity) + 1e-9))
+        .select("window", "item", "distance")
     )
     best = F.min(F.struct("distance", "start")).alias("best")
-    near = occurring.select("doc_id", "start", "window").join(verified, "window").groupBy("doc_id", "item_id").agg(best)
-    return near.select("doc_id", "item_id", "best.start", "best.distance")
+    near = occurring.select("doc_id", "start", "window").join(verified, "window").groupBy("doc_id", "item").agg(best)
+    # An id may have several texts.
+    named = near.join(members, "item").groupBy("doc_id", "item_id").agg(F.min("best").alias("best"))
+    return named.select("doc_id", "item_id", "best.start", "best.distance")
 
 
 def _window_keys(windows: np.ndarray) -> np.ndarray:
