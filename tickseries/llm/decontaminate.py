@@ -129,8 +129,8 @@ def repetitions(n: int, target_recall: float = TARGET_RECALL, similarity: float
     return math.ceil(1.1 * _walks_at(n, edits, target_recall))
 
 
-def _random(*parts) -> np.ndarray:
-    x = np.uint64(0)
+def _random(*parts, after=np.uint64(0)) -> np.ndarray:
+    x = after
     for p in parts:
         with np.errstate(over="ignore"):
             x = splitmix((x + np.uint64(0x9E3779B97F4A7C15)) ^ np.asarray(p).astype(np.uint64))
@@ -239,8 +239,13 @@ def pairs_of(words: np.ndarray) -> np.ndarray:
     return (_random(5, words[:-1], words[1:]) >> np.uint64(1)).astype(np.int64)
 
 
-def _of_size(tag: int, size, keys: np.ndarray) -> np.ndarray:
-    return (_random(tag, size, keys) >> np.uint64(1)).astype(np.int64)
+@lru_cache(maxsize=None)
+def _seed(tag: int, size: int) -> np.uint64:
+    return _random(tag, size)
+
+
+def _of_size(tag: int, size: int, keys: np.ndarray) -> np.ndarray:
+    return (_random(keys, after=_seed(tag, size)) >> np.uint64(1)).astype(np.int64)
 
 
 def known_by_size(sized: np.ndarray, words: np.ndarray, pairs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,16 +261,35 @@ def narrowed(starts: np.ndarray, size: int, edit: int, known: np.ndarray, known_
     return starts[few & (pairs[np.maximum(end - 1, starts)] - pairs[starts] <= 2 * edit)]
 
 
+def _reachable(unknown: np.ndarray, block: int, most: int, ahead: int) -> np.ndarray:
+    """Which starts have a block of so many places, with `most` unknown ones at most, that begins there or up to `ahead` places later."""
+    before = np.concatenate(([0], np.cumsum(unknown)))
+    good = before[block:] - before[: len(before) - block] <= most
+    until = np.concatenate(([0], np.cumsum(good)))
+    start = np.arange(len(good))
+    return until[np.minimum(start + ahead + 1, len(good))] > until[start]
+
+
 def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each size the starts of the windows that may be within reach. A text shorter than an item is one window."""
+    """For each size the starts of the windows that may be within reach. A text shorter than an item is one window.
+
+    A window holds blocks of the least size side by side, and one of them has no more than its share of what edits can spoil. Starts without such a
+    block in reach are passed over for all sizes at once.
+    """
     n = len(known)
     words, pairs = (np.concatenate(([0], np.cumsum(~x))) for x in (known, known_pairs))
     for size, edit in zip(sizes[sizes > n].tolist(), edits[sizes > n].tolist()):
         if words[-1] + size - n <= edit:
             yield size, np.zeros(1, np.int64)
     sizes, edits = sizes[sizes <= n], edits[sizes <= n]
-    for low in range(0, n, WINDOWS_AT_ONCE):
-        start = np.arange(low, min(low + WINDOWS_AT_ONCE, n))
+    if not len(sizes):
+        return
+    block, blocks, ahead = int(sizes[0]), sizes // sizes[0], int(sizes[-1] - sizes[0])
+    reach = _reachable(~known, block, int((edits // blocks).max()), ahead)
+    reach &= _reachable(~known_pairs, block - 1, int((2 * edits // blocks).max()), ahead)
+    starts = np.flatnonzero(reach)
+    for low in range(0, len(starts), WINDOWS_AT_ONCE):
+        start = starts[low : low + WINDOWS_AT_ONCE]
         end = start[None, :] + sizes[:, None]
         fits = end <= n
         end = np.minimum(end, n)
