@@ -59,7 +59,7 @@ def words_of(text: str | None, hashes: Hashes | None = None) -> np.ndarray:
     if len(hashes) > WORDS_HELD:
         hashes.clear()
     found = _WORD.findall((text or "").lower())
-    return np.array([hashes[w] for w in found], np.int64)
+    return np.fromiter(map(hashes.__getitem__, found), np.int64, len(found))
 
 
 def allowed_edits(n_words, similarity: float = SIMILARITY):
@@ -373,8 +373,11 @@ def contaminated(
             missing = np.repeat([pd.isna(k) for k, _, _ in found], [len(x) for _, x, _ in found])
             frame = pd.DataFrame({"start": np.concatenate([x for _, x, _ in found])[hit], "size": size, "window": keys[hit]})
             frame["doc_id"] = pd.arrays.IntegerArray(owners[hit], missing[hit])
-            frame["words"] = list(windows[hit])
-            frame["buckets"] = [x for x in lists if len(x)]
+            # What a window holds goes out with its first occurrence in the task only.
+            words_out, buckets_out = (np.full(len(keys), None, object) for _ in range(2))
+            for at in first[new].tolist():
+                words_out[at], buckets_out[at] = windows[at], lists[at]
+            frame["words"], frame["buckets"] = words_out[hit], buckets_out[hit]
             if len(met) > WINDOWS_HELD:
                 met.clear()
             frame = frame.astype({"words": object, "buckets": object})  # also without rows
@@ -406,7 +409,8 @@ def contaminated(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     occurring = materialize(rows.mapInPandas(hits, _HIT), "windows")
-    windows = materialize(occurring.groupBy("window").agg(*[F.first(c).alias(c) for c in ("size", "words", "buckets")]), "windows")
+    windows = occurring.where(F.col("words").isNotNull())
+    windows = materialize(windows.groupBy("window").agg(*[F.first(c).alias(c) for c in ("size", "words", "buckets")]), "windows")
     candidates = (
         windows.select("window", F.explode("buckets").alias("bucket")).join(in_buckets, "bucket").select("window", "item").distinct()
     )
