@@ -246,6 +246,20 @@ def test_byte_bpe(spark, docs, common, monkeypatch):
     assert bpe.encode_documents(docs.where("false"), vocabulary).collect() == []
 
 
+def test_common_words_are_counted_over_all_documents(spark):
+    """More documents than any sample of before: a word of three of them is known, one of two is not."""
+    letters = "concat('q', translate(cast({} as string), '0123456789', 'abcdefghij'))"
+    often, seldom = letters.format("id % 500"), letters.format("500 + id % 10500")
+    docs = spark.range(0, 21_000, 1, 4).selectExpr(f"concat('x ', {often}, ' ', if(id % 10500 < 300, {seldom}, 'x'), ' ', id) as text")
+    found = bpe.common_words(docs, bpe_vocabulary())
+    name = lambda i: " q" + str(i).translate(str.maketrans("0123456789", "abcdefghij"))
+    assert {name(i) for i in range(500)} <= set(found)
+    assert not {name(500 + i) for i in range(300)} & set(found)
+    library = tiktoken.Encoding("own", pat_str=".+", mergeable_ranks=bpe_vocabulary().ranks(), special_tokens={})
+    assert all(ids == library.encode_ordinary(w) for w, ids in found.items())
+    assert dict(bpe.Packed(found).items()) == found
+
+
 def test_folds_and_merges_agree(spark):
     vocabulary = bpe_vocabulary()
     ranks = vocabulary.ranks()

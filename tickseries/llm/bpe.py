@@ -5,9 +5,9 @@ pair of lowest rank (the first of equals) and joins it. The ranks stand in the p
 scanning them, so the literal map is laid out as a hash table, an array of pieces and one of their ranks, with two places
 for each piece. Bytes are written as Latin-1 characters, one each, so that pieces are keys and array elements without escapes.
 
-A fold takes 64 microseconds a word, and a fifth of a corpus' words are nearly all different. So the folds encode the words that many
-documents share, a bounded number, once; documents look those up, and what they have beside them is merged where it
-occurs by the same rule. The README has the figures. Nothing is shuffled, whatever the number of documents or words.
+A fold takes 64 microseconds a word, and a fifth of a corpus' words are nearly all different. So the folds encode the most frequent
+words of all documents, a bounded number, once; documents look those up, and what they have beside them is merged where it
+occurs by the same rule. The README has the figures. Only counts of words are shuffled, no documents and no ids.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from tickseries.llm.common import clear_names, materialize, most_frequent
 
 COMMON_WORDS = 1 << 18
-SAMPLE_DOCUMENTS = 16_384
 FOLD_TASKS = 32
 FOLD_BYTES = 128
 # Words that a task remembers beside the common ones, and documents that it hands on at a time.
@@ -244,23 +243,26 @@ class Vocabulary:
 
 
 def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", most: int = COMMON_WORDS) -> dict[str, list[int]]:
-    """Words that documents share, with their ids from the folds: at most `most`, which the driver holds.
+    """The most frequent words of all documents, with their ids from the folds: at most `most`, which the driver holds.
 
-    They are taken from about SAMPLE_DOCUMENTS documents that a hash of the text picks. Which words they are decides where a
+    Words of three or more occurrences are counted over the whole texts of all documents. Which words they are decides where a
     word is encoded and not how.
     """
     plain = Cutter.patterns(vocabulary.pattern)
-    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
-    picked = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 30)) < int((1 << 30) * share)).select(text)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter = Cutter(plain)
+        cutter, counts = Cutter(plain), Counter()
         for batch in batches:
-            counts = Counter(w for t in batch[text] for w in cutter.words(t))
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-
-    counted = picked.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
-    top = most_frequent(materialize(counted.where(F.octet_length("word") <= FOLD_BYTES), "shared-words"), "n", most)
+            for t in batch[text]:
+                counts.update(cutter.words(t))
+                if len(counts) > WORDS_HELD:
+                    yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+                    counts.clear()
+        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+
+    counts = docs.select(text).mapInPandas(count, "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
+    counted = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
+    top = most_frequent(materialize(counted, "shared-words"), "n", most)
     latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
     groups = top.select("word", latin.alias("latin")).groupBy(F.pmod(F.xxhash64("word"), F.lit(FOLD_TASKS)))
     folded = groups.agg(F.collect_list("word").alias("words"), F.collect_list("latin").alias("latin")).select(
@@ -269,10 +271,25 @@ def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", mo
     return {w: list(ids) for row in folded.collect() for w, ids in zip(row["words"], row["ids"])}
 
 
+class Packed:
+    """Words with their ids as one array, which a task can hold beside what it makes of them."""
+
+    def __init__(self, ids: dict[str, list[int]]):
+        self.words = list(ids)
+        self.ids = np.array([i for own in ids.values() for i in own], np.int32)
+        self.ends = np.cumsum([len(own) for own in ids.values()], dtype=np.int64)
+
+    def items(self) -> Iterator[tuple[str, list[int]]]:
+        at = 0
+        for word, end in zip(self.words, self.ends.tolist()):
+            yield word, self.ids[at:end].tolist()
+            at = end
+
+
 class Encoder:
     """Ids and text of words in one task. It remembers the words that it has met, and forgets them all when they are many."""
 
-    def __init__(self, vocabulary: Vocabulary, plain: tuple[str, str], common: dict[str, list[int]]):
+    def __init__(self, vocabulary: Vocabulary, plain: tuple[str, str], common: Packed):
         self.ranks = vocabulary.ranks()
         self.pieces = {rank: piece for piece, rank in self.ranks.items()}
         self.words = Cutter(plain).words
@@ -313,7 +330,7 @@ def encode_documents(
     """
     added = ADDED if contents and decoded else ADDED.partition(", decoded binary")[0] if contents else ADDED.partition(", ids array")[0]
     docs = clear_names(docs, [x.split()[0] for x in added.split(", ")])
-    plain, common = Cutter.patterns(vocabulary.pattern), common_words(docs, vocabulary, text)
+    plain, common = Cutter.patterns(vocabulary.pattern), Packed(common_words(docs, vocabulary, text))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary, plain, common)
