@@ -258,7 +258,8 @@ def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", mo
                 if len(counts) > WORDS_HELD:
                     yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
                     counts.clear()
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+        if counts:
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     counts = docs.select(text).mapInPandas(count, "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
     counted = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
