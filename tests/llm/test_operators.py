@@ -463,6 +463,39 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, none).collect() == [] == decontaminate.contaminated(docs.where("false"), bench).collect()
 
 
+def test_windows_of_many_sizes_are_narrowed_at_once(monkeypatch):
+    """The windows left are those with few words and pairs that no item of their size has, however many sizes are looked at in one go."""
+    rng = np.random.default_rng(4)
+    items = [rng.integers(1, 40, n) for n in (10, 10, 11, 15, 15, 20, 31)]
+    text = np.concatenate([x for i in items for x in (rng.integers(1, 60, rng.integers(0, 9)), np.where(rng.random(len(i)) < 0.1, 99, i))])
+    sizes = np.unique([len(i) for i in items])
+    edits = decontaminate.allowed_edits(sizes)
+    bitmap = lambda keys: np.packbits(np.isin(np.arange(decontaminate.FILTER_BITS), decontaminate._bits(decontaminate.FILTER_BITS, np.concatenate(keys))))
+    vocabulary, pair_bits = bitmap(items), bitmap([decontaminate.pairs_of(i) for i in items])
+    sized = bitmap([x for i in items for x in (decontaminate._of_size(17, len(i), i), decontaminate._of_size(19, len(i), decontaminate.pairs_of(i)))])
+    few = lambda own, have, most: sum(x not in have for x in own) <= most
+    for words in (text, text[:14], text[:9], items[0][:1]):
+        want = set()
+        for size, most in zip(sizes.tolist(), edits.tolist()):
+            same = [i.tolist() for i in items if len(i) == size]
+            have, have_pairs = {w for i in same for w in i}, {p for i in same for p in zip(i, i[1:])}
+            for start in range(max(1, len(words) - size + 1)):
+                own = words[start : start + size].tolist()
+                if few(own, have, most - (size - len(own))) and few(zip(own, own[1:]), have_pairs, 2 * most):
+                    want.add((size, start))
+        known = decontaminate._holds(vocabulary, words)
+        known_pairs = decontaminate.known_pairs_of(pair_bits, words, known)
+        for at_once in (1, 50, 1 << 18):
+            monkeypatch.setattr(decontaminate, "KEYS_AT_ONCE", at_once)
+            got = set()
+            for found in decontaminate.window_starts(known, known_pairs, sizes, edits):
+                most = [int(decontaminate.allowed_edits(size)) for size, _ in found]
+                for (size, _), starts in zip(found, decontaminate.narrowed(sized, words, found, most)):
+                    got |= {(size, start) for start in starts.tolist()}
+            assert got == want
+    assert want or len(text) > 100
+
+
 @pytest.mark.parametrize("size", [50, 100, 200])
 def test_decontamination_finds_long_items_at_the_edit_limit(spark, size):
     rng = random.Random(size)

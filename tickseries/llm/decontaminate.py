@@ -38,6 +38,7 @@ MEASURED_ONE_BY_ONE = 20
 FILTER_BITS = 1 << 23
 WINDOWS_AT_ONCE = 1 << 14
 WORDS_AT_ONCE = 1 << 20
+KEYS_AT_ONCE = 1 << 18
 WINDOWS_HELD = 1 << 18
 WORDS_HELD = 500_000
 
@@ -208,7 +209,7 @@ def item_words(benchmark: DataFrame, item_id: str = "item_id", text: str = "text
 
 
 def _bits(n_bits: int, keys: np.ndarray) -> np.ndarray:
-    return (splitmix(keys.astype(np.uint64)) % np.uint64(n_bits)).astype(np.int64)
+    return (splitmix(keys.astype(np.uint64)) & np.uint64(n_bits - 1)).astype(np.int64)  # a power of two
 
 
 def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
@@ -236,29 +237,63 @@ def _holds(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def pairs_of(words: np.ndarray) -> np.ndarray:
     """One number per pair of neighbouring words."""
-    return (_random(5, words[:-1], words[1:]) >> np.uint64(1)).astype(np.int64)
+    return _pairs(words[:-1], words[1:])
+
+
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (_random(left, right, after=_seed(5)) >> np.uint64(1)).astype(np.int64)
 
 
 @lru_cache(maxsize=None)
-def _seed(tag: int, size: int) -> np.uint64:
-    return _random(tag, size)
+def _seed(*parts: int) -> np.uint64:
+    return _random(*parts)
 
 
 def _of_size(tag: int, size: int, keys: np.ndarray) -> np.ndarray:
     return (_random(keys, after=_seed(tag, size)) >> np.uint64(1)).astype(np.int64)
 
 
-def known_by_size(sized: np.ndarray, words: np.ndarray, pairs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which words, and which pairs of neighbours, stand in items of one size."""
-    return _holds(sized, _of_size(17, size, words)), _holds(sized, _of_size(19, size, pairs))
+def known_pairs_of(pair_bits: np.ndarray, words: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which pairs of neighbours stand in items; none with a word that stands in no item does."""
+    pairs = known[:-1] & known[1:]
+    at = np.flatnonzero(pairs)
+    pairs[at] = _holds(pair_bits, _pairs(words[at], words[at + 1]))
+    return pairs
 
 
-def narrowed(starts: np.ndarray, size: int, edit: int, known: np.ndarray, known_pairs: np.ndarray) -> np.ndarray:
-    """Those starts whose windows have no more unknown words and pairs than edits can spoil."""
-    words, pairs = (np.concatenate(([0], np.cumsum(~x))) for x in (known, known_pairs))
-    end = np.minimum(starts + size, len(known))
-    few = words[end] - words[starts] + size - (end - starts) <= edit
-    return starts[few & (pairs[np.maximum(end - 1, starts)] - pairs[starts] <= 2 * edit)]
+def narrowed(sized: np.ndarray, words: np.ndarray, found: list[tuple[int, np.ndarray]], edits: list[int]) -> list[np.ndarray]:
+    """Of each size's starts those whose windows have no more words and pairs that stand in no item of the size than edits can spoil.
+
+    Many sizes of a text at once: a row for each, over the places that any window covers.
+    """
+    n, most = len(words), max(size for size, _ in found)
+    starts = np.unique(np.concatenate([own for _, own in found]))
+    change = np.zeros(n + 1, np.int64)
+    change[starts] += 1
+    np.add.at(change, np.minimum(starts + most, n), -1)
+    covered = np.flatnonzero(np.cumsum(change[:n]))
+    own_words = words[covered]
+    own_pairs = _pairs(own_words, words[np.minimum(covered + 1, n - 1)])
+    stay: list[np.ndarray] = []
+    at_once = max(1, KEYS_AT_ONCE // len(covered))
+    for low in range(0, len(found), at_once):
+        some = found[low : low + at_once]
+        in_words, in_pairs = (_unknown(sized, tag, some, keys) for tag, keys in ((17, own_words), (19, own_pairs)))
+        for i, (size, own) in enumerate(some):
+            end = np.minimum(own + size, n)
+            first, last, behind = np.searchsorted(covered, (own, np.maximum(end - 1, own), end))
+            few = in_words[i, behind] - in_words[i, first] + size - (end - own) <= edits[low + i]
+            stay.append(own[few & (in_pairs[i, last] - in_pairs[i, first] <= 2 * edits[low + i])])
+    return stay
+
+
+def _unknown(sized: np.ndarray, tag: int, found: list[tuple[int, np.ndarray]], keys: np.ndarray) -> np.ndarray:
+    """For each size, how many of the first 0, 1, 2, ... keys stand in no item of the size."""
+    seeds = np.array([_seed(tag, size) for size, _ in found], np.uint64)[:, None]
+    unknown = ~_holds(sized, (_random(keys, after=seeds) >> np.uint64(1)).astype(np.int64))
+    before = np.zeros((len(found), len(keys) + 1), np.int64)
+    np.cumsum(unknown, axis=1, out=before[:, 1:])
+    return before
 
 
 def _reachable(unknown: np.ndarray, block: int, most: int, ahead: int) -> np.ndarray:
@@ -270,17 +305,17 @@ def _reachable(unknown: np.ndarray, block: int, most: int, ahead: int) -> np.nda
     return until[np.minimum(start + ahead + 1, len(good))] > until[start]
 
 
-def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each size the starts of the windows that may be within reach. A text shorter than an item is one window.
+def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Sizes with the starts of their windows that may be within reach, so many at a time. A text shorter than an item is one window.
 
     A window holds blocks of the least size side by side, and one of them has no more than its share of what edits can spoil. Starts without such a
     block in reach are passed over for all sizes at once.
     """
     n = len(known)
     words, pairs = (np.concatenate(([0], np.cumsum(~x))) for x in (known, known_pairs))
-    for size, edit in zip(sizes[sizes > n].tolist(), edits[sizes > n].tolist()):
-        if words[-1] + size - n <= edit:
-            yield size, np.zeros(1, np.int64)
+    longer = sizes[(sizes > n) & (words[-1] + sizes - n <= edits)]
+    if len(longer):
+        yield [(size, np.zeros(1, np.int64)) for size in longer.tolist()]
     sizes, edits = sizes[sizes <= n], edits[sizes <= n]
     if not len(sizes):
         return
@@ -295,8 +330,8 @@ def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray,
         end = np.minimum(end, n)
         fits &= words[end] - words[start] <= edits[:, None]
         fits &= pairs[np.maximum(end - 1, start)] - pairs[start] <= 2 * edits[:, None]
-        for i in np.flatnonzero(fits.any(axis=1)):
-            yield int(sizes[i]), start[fits[i]]
+        if len(fitting := np.flatnonzero(fits.any(axis=1))):
+            yield [(int(sizes[i]), start[fits[i]]) for i in fitting]
 
 
 def contaminated(
@@ -330,6 +365,7 @@ def contaminated(
     if not len(sizes):
         return docs.sparkSession.createDataFrame([], nothing)
     edits = allowed_edits(sizes, similarity)
+    edits_of = dict(zip(sizes.tolist(), edits.tolist()))
     n_walks = {n: repetitions(n, target_recall, similarity) for n in sizes.tolist()}
 
     def item_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -390,22 +426,24 @@ def contaminated(
                 words = words_of(t, hashes)
                 if not len(words):
                     continue
-                word_pairs = pairs_of(words)
-                known, known_pairs = _holds(vocabulary, words), _holds(pair_bits, word_pairs)
-                for size, starts in window_starts(known, known_pairs, sizes, edits):
-                    low, high = int(starts[0]), int(starts[-1]) + size
-                    own = known_by_size(sized, words[low:high], word_pairs[low : high - 1], size)
-                    starts = low + narrowed(starts - low, size, int(allowed_edits(size, similarity)), *own)
-                    at_once = max(1, min(WINDOWS_AT_ONCE, WORDS_AT_ONCE // size))
-                    for at in range(0, len(starts), at_once):
-                        some = starts[at : at + at_once]
-                        places = some[:, None] + np.arange(size)[None, :]
-                        windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
-                        waiting.setdefault(size, []).append((key, some, windows))
-                        if sum(len(x) for _, x, _ in waiting[size]) >= at_once:
-                            yield embed(size, waiting.pop(size))
-            for size in list(waiting):
-                yield embed(size, waiting.pop(size))
+                known = _holds(vocabulary, words)
+                known_pairs = known_pairs_of(pair_bits, words, known)
+                for found in window_starts(known, known_pairs, sizes, edits):
+                    most = [edits_of[size] for size, _ in found]
+                    for (size, _), starts in zip(found, narrowed(sized, words, found, most)):
+                        at_once = max(1, min(WINDOWS_AT_ONCE, WORDS_AT_ONCE // size))
+                        for at in range(0, len(starts), at_once):
+                            some = starts[at : at + at_once]
+                            places = some[:, None] + np.arange(size)[None, :]
+                            windows = np.where(places < len(words), words[np.minimum(places, len(words) - 1)], 0)
+                            waiting.setdefault(size, []).append((key, some, windows))
+                            if sum(len(x) for _, x, _ in waiting[size]) >= at_once:
+                                yield embed(size, waiting.pop(size))
+            if sum(x.size for same in waiting.values() for _, _, x in same) > WORDS_AT_ONCE:
+                for size in list(waiting):
+                    yield embed(size, waiting.pop(size))
+        for size in list(waiting):
+            yield embed(size, waiting.pop(size))
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     occurring = materialize(rows.mapInPandas(hits, _HIT), "windows")
