@@ -553,6 +553,28 @@ def test_added_tokens_are_as_in_the_library():
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
 
 
+def test_words_are_put_together_from_their_pieces(monkeypatch):
+    """A word with marks behind it takes the ids of its letters, which the tokenizer sees once for all tasks of a process."""
+    encoder, library = idfiles.WordEncoder(public_tokenizers.path(WORD_FILE)), Tokenizer.from_file(public_tokenizers.path(WORD_FILE))
+    words = encoder.open()
+    assert encoder.open() is words and words.literal_ascii
+    words._forget()
+    merged, model = [], idfiles._Words._merged
+    monkeypatch.setattr(idfiles._Words, "_merged", lambda self, pieces: merged.extend(pieces) or model(self, pieces))
+    rng = random.Random(3)
+    parts = ["foo", "Bar", "é", "ßü", ",", "...", '"', "'s", "12", "\x00", "\x7f", "\u2019", "a\u0301", "\u212b", "-"]
+    texts = ["foo foo, foo. (foo) foo-foo 7foo", None, *(" ".join("".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(9)) for _ in range(900))]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(words, texts)):
+            assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 1], text
+    assert merged.count("foo") == 1 and len(merged) == len(set(merged))
+    monkeypatch.setattr(words, "_add", None)
+    with pytest.raises(TypeError):
+        words.places([["unheard"]])
+    monkeypatch.undo()
+    assert [x.tolist() for x in encoder.encode(words, ["unheard, foo"])] == [[*library.encode("unheard, foo", add_special_tokens=False).ids, 1]]
+
+
 def test_dictionary_of_a_corpus_of_nulls_and_copies(spark):
     """Null, empty and repeated texts take no place in the sample, and long texts are sampled over their whole length."""
     texts = [prose(i, 60) for i in range(1500)] + [None] * 3000 + [""] * 500 + [prose(0, 60)] * 3000

@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -34,7 +35,7 @@ LEVEL = 3
 END_ID = 1
 DOCUMENTS_PER_FILE = 4_096
 TEXTS_AT_ONCE = 128
-WORDS_HELD = 200_000
+WORDS_HELD = 400_000
 WORDS_AT_ONCE = 1_000
 ROWS_AT_ONCE = 1_024
 
@@ -49,33 +50,37 @@ class WordEncoder:
 
     Strings of the file's own added tokens in a text are those tokens, as in the library.
 
-    The tokenizer drops white space and never merges across it, so each distinct word is encoded once in a task and documents are
-    put together from the ids of their words. Words of letters with marks behind them, nearly all, go to the tokenizer as long
-    texts: it cuts such a word into its letters and its marks, and the last token of each piece ends in the vocabulary's word end, so
-    the ids can be told apart again. Other words are encoded one by one.
+    The tokenizer drops white space and never merges across it, so a process encodes each distinct word once, and documents are put
+    together from the ids of their words. It cuts a word into letters, digits and marks and merges within such a piece only, so
+    words are put together from the ids of their pieces in turn. Pieces of printable ASCII, nearly all, go to the tokenizer's model, as its
+    other steps leave them as they are; other pieces go to the tokenizer as long texts, in which the last token of each ends in the
+    vocabulary's word end, so the ids can be told apart again. Words whose pieces take a closer look are encoded one by one.
     """
 
     path: str
     end_id: int = END_ID
 
     def open(self) -> _Words:
-        # A task has one core; threads of the tokenizer's own would each hold memory of theirs.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        return _Words(self)
+        return _opened(self)
 
     def encode(self, words: _Words, texts) -> Iterator[np.ndarray]:
         """The ids of each text."""
         end = np.array([self.end_id], np.uint32)
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             for own in words.places([words.cut(t) for t in texts[at : at + TEXTS_AT_ONCE]]):
-                n = words.lengths[own]
-                first = np.cumsum(n) - n
-                at_id = np.arange(int(n.sum())) + np.repeat(words.starts[own] - first, n)
-                yield np.concatenate([words.pool[at_id], end])
+                yield np.concatenate([words.pool[_spans(words.starts[own], words.lengths[own])], end])
+
+
+class _Places(dict):
+    """Places by word; a new word gets the next."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
 
 
 class _Words:
-    """The words that a task has met: their places in a pool of ids. Forgets them all when they are many."""
+    """The words that a process has met, and their pieces: their places in a pool of ids. Forgets them all when they are many."""
 
     def __init__(self, encoder: WordEncoder):
         from tokenizers import Tokenizer
@@ -93,10 +98,11 @@ class _Words:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = bool(word_end) and token.endswith(word_end)
+        self.literal_ascii = _leaves_ascii(self.tokenizer)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Places()
         self.pool, self.lengths, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def places(self, documents: list[list[str]]) -> list[np.ndarray]:
@@ -104,14 +110,54 @@ class _Words:
         if len(self.known) > WORDS_HELD:
             self._forget()
         known = self.known
-        found = [np.array([known.setdefault(w, len(known)) for w in words], np.int64) for words in documents]
-        new = list(islice(known, len(self.lengths), None))
-        if new:
-            ids, lengths = self._encode(new)
-            self.pool, self.lengths = np.concatenate([self.pool, ids]), np.concatenate([self.lengths, lengths])
-            self.starts = np.cumsum(self.lengths) - self.lengths
+        try:
+            found = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in documents]
+            if len(known) > len(self.lengths):
+                self._learn()
+        except BaseException:
+            self._forget()  # places without ids must not outlive the call
+            raise
         return found
 
+    def _learn(self) -> None:
+        """Add the ids of the words that have a place but none yet: first of those that are one piece, then of those put together."""
+        known, first = self.known, len(self.lengths)
+        words = list(islice(known, first, None))
+        single, joined, n_parts, parts = [], [], [], []  # places; parts one after another
+        for place, word in enumerate(words, first):
+            letters = word.rstrip(_MARKS)
+            if letters.isalpha() and (letters.isascii() or letters.lower().isalpha()):
+                if len(letters) == len(word):
+                    continue
+                own = letters, word[len(letters) :]
+            elif not (own := _pieces(word)):
+                single.append(place)
+                continue
+            elif len(own) == 1:
+                continue
+            joined.append(place)
+            n_parts.append(len(own))
+            parts.extend([known[p] for p in own])
+        words.extend(islice(known, first + len(words), None))
+        self.lengths = np.append(self.lengths, np.zeros(len(words), np.int64))
+        self.starts = np.append(self.starts, np.zeros(len(words), np.int64))
+        whole = np.setdiff1d(np.arange(first, len(known)), joined + single, assume_unique=True).tolist()
+        plain, others = [], []
+        for place in whole:
+            word = words[place - first]
+            (plain if self.literal_ascii and word.isascii() and word.isprintable() else others).append(place)
+        self._add(plain, *self._merged([words[i - first] for i in plain]))
+        self._add(others, *self._encoded([words[i - first] for i in others]))
+        self._add(single, *_flat([self._single(words[i - first]) for i in single]))
+        if joined:
+            n, parts = np.array(n_parts, np.int64), np.array(parts, np.int64)
+            ids = self.pool[_spans(self.starts[parts], self.lengths[parts])]
+            self._add(joined, ids, np.add.reduceat(self.lengths[parts], np.cumsum(n) - n))
+
+    def _add(self, places: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.lengths[places], self.starts[places] = lengths, len(self.pool) + np.cumsum(lengths) - lengths
+        self.pool = np.concatenate([self.pool, ids])
+
     def cut(self, text: str | None) -> list[str]:
         """The words of a text; an added token is a word that begins with a space, as no other does."""
         parts = self.literal.split(text) if text and self.literal else [text]
@@ -119,44 +165,68 @@ class _Words:
             return _words(text)
         return [word for i, part in enumerate(parts) for word in ([_ADDED + part] if i % 2 else _words(part))]
 
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = np.fromiter(map(_pieces, words), np.int64, len(words))
-        plain = np.flatnonzero(pieces)
-        texts = [" ".join([words[i] for i in plain[at : at + WORDS_AT_ONCE]]) for at in range(0, len(plain), WORDS_AT_ONCE)]
-        parts = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        encoded = np.concatenate([np.zeros(0, np.uint32), *parts])
-        closed = np.flatnonzero(self.ends[encoded]) + 1
-        if len(closed) != pieces.sum() or len(closed) and closed[-1] != len(encoded):
-            plain, encoded, stops = plain[:0], encoded[:0], closed[:0]  # not such a vocabulary: word by word
-        else:
-            stops = closed[np.cumsum(pieces[plain]) - 1]
-        lengths = np.zeros(len(words), np.int64)
-        lengths[plain] = np.diff(stops, prepend=0)
-        others = np.setdiff1d(np.arange(len(words)), plain)
-        single = [self._single(words[i]) for i in others]
-        lengths[others] = list(map(len, single))
-        starts = np.cumsum(lengths) - lengths
-        ids = np.zeros(int(lengths.sum()), np.uint32)
-        ids[np.arange(len(encoded)) + np.repeat(starts[plain] - (stops - lengths[plain]), lengths[plain])] = encoded
-        for i, own in zip(others, single):
-            ids[starts[i] : starts[i] + len(own)] = own
-        return ids, lengths
-
+    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by the model alone, one after another, and how many each has."""
+        merge, ids, lengths = self.tokenizer.model.tokenize, [], []
+        for piece in pieces:
+            tokens = merge(piece.lower())
+            lengths.append(len(tokens))
+            ids.extend([t.id for t in tokens])
+        return np.array(ids, np.uint32), np.array(lengths, np.int64)
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by all steps of the tokenizer, as long texts."""
+        found = []
+        for at in range(0, len(pieces), WORDS_AT_ONCE):
+            some = pieces[at : at + WORDS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            closed = np.flatnonzero(self.ends[ids]) + 1
+            if len(closed) == len(some) and closed[-1] == len(ids):
+                found.append((ids, np.diff(closed, prepend=0)))
+            else:  # not such a vocabulary: word by word
+                found.append(_flat([self._single(p) for p in some]))
+        return tuple(np.concatenate([none, *x]) for none, x in zip(_flat([]), zip(*found) if found else ((), ())))
 
     def _single(self, word: str) -> np.ndarray:
         ids = [self.added[word]] if word in self.added else self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, np.uint32)
 
 
-def _pieces(word: str) -> int:
-    """Into how many pieces the tokenizer cuts a word: runs of letters, single digits and runs of marks. 0 if that takes a closer look:
+def _flat(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, one after another."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+@lru_cache(maxsize=1)
+def _opened(encoder: WordEncoder) -> _Words:
+    """One for all tasks of a process, which run one after another."""
+    # A task has one core; threads of the tokenizer's own would each hold memory of theirs.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _Words(encoder)
+
+
+def _leaves_ascii(tokenizer) -> bool:
+    """Whether all that the tokenizer does to pieces of printable ASCII before its model is to lower their case."""
+    normalizer, cutter = tokenizer.normalizer, tokenizer.pre_tokenizer
+    for low in [chr(c).lower() for c in range(33, 127)]:
+        if normalizer and normalizer.normalize_str(low) != low or cutter and [p for p, _ in cutter.pre_tokenize_str(low)] != [low]:
+            return False
+    return True
+
+
+def _pieces(word: str) -> list[str]:
+    """The pieces into which the tokenizer cuts a word: runs of letters, single digits and runs of marks. None if that takes a closer look:
     apostrophes begin pieces of their own, and what is neither ASCII nor a letter may be a number or may join a letter."""
     if word.isascii():
-        return 0 if "'" in word or word.startswith(_ADDED) else 1 if word.isalpha() else len(_RUNS.findall(word))
+        return [] if "'" in word or word.startswith(_ADDED) else [word] if word.isalpha() else _RUNS.findall(word)
     letters = word.rstrip(_MARKS)
     if not letters.isalpha() or not letters.lower().isalpha():
-        return 0
-    return 1 if len(letters) == len(word) else 2
+        return []
+    return [word] if len(letters) == len(word) else [letters, word[len(letters) :]]
 
 
 _RUNS = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
