@@ -258,6 +258,8 @@ def test_common_words_are_counted_over_all_documents(spark):
     library = tiktoken.Encoding("own", pat_str=".+", mergeable_ranks=bpe_vocabulary().ranks(), special_tokens={})
     assert all(ids == library.encode_ordinary(w) for w, ids in found.items())
     assert dict(bpe.Packed(found).items()) == found
+    nothing = spark.createDataFrame([(None,), ("",), (None,)], "text string").repartition(3)
+    assert bpe.common_words(nothing, bpe_vocabulary()) == {}
 
 
 def test_folds_and_merges_agree(spark):
