@@ -96,6 +96,12 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, sf_dir):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect() == []
 
 
+def test_stages_hand_small_batches_to_python(spark):
+    corpus_pipeline.begin(spark)
+    sizes = spark.range(0, 5_000, 1, 1).mapInPandas(lambda batches: (b.iloc[:1].assign(id=len(b)) for b in batches), "id long").collect()
+    assert sum(r["id"] for r in sizes) == 5_000 and max(r["id"] for r in sizes) == corpus_pipeline.ROWS_AT_ONCE
+
+
 def test_whole_pipeline_keeps_clean_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = corpus_pipeline.language(spark, docs, sf_dir)
