@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -498,6 +499,53 @@ def test_windows_of_many_sizes_are_narrowed_at_once(monkeypatch):
     assert want or len(text) > 100
 
 
+def test_words_of_many_texts_are_hashed_at_once(monkeypatch):
+    """Equal words have equal hashes and others differ, in whichever text, place or slice they stand."""
+    rng = random.Random(6)
+    parts = ["foo", "Foo", "oof", "f", "\u00e9t\u00e9", "_", "7", "\u0130", "\U0001d4d0", "x" * 70, " ", "\n", "-", "'", "\u2019", "\u0301", "\x00"]
+    texts = [None, "", "...", "one", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(400)), "\u03a3\u03a3", ""]
+    want = [re.findall(r"\w+", (t or "").lower()) for t in texts]
+    for at_once in (1, 40, 1 << 17):
+        monkeypatch.setattr(decontaminate, "CHARACTERS_AT_ONCE", at_once)
+        words, begins = decontaminate.words_of_all(texts)
+        assert np.diff(begins).tolist() == [len(w) for w in want] and begins[0] == 0
+        of = dict(zip([w for own in want for w in own], words.tolist()))
+        assert [of[w] for own in want for w in own] == words.tolist() and len(set(of.values())) == len(of) and min(words) > 0
+        assert all(decontaminate.words_of(t).tolist() == [of[w] for w in own] for t, own in zip(texts, want))
+    assert [x.tolist() for x in decontaminate.words_of_all([])] == [[], [0]]
+
+
+def test_texts_without_windows_are_passed_over(monkeypatch):
+    """Looked at many at once, no text with windows in reach is lost, and texts without words of the benchmark are not looked at one by one."""
+    rng = random.Random(7)
+    bitmap = lambda keys: np.packbits(np.isin(np.arange(decontaminate.FILTER_BITS), decontaminate._bits(decontaminate.FILTER_BITS, np.concatenate(keys))))
+    for lengths in ((6, 9, 14, 30), (1, 12)):
+        items = [[f"w{rng.randint(0, 80)}" for _ in range(n)] for n in lengths for _ in range(2)]
+        texts = [None, "", "w1"]
+        for i in range(300):
+            own = edited(items[i % len(items)], rng.randint(0, len(items[i % len(items)]) // 4), rng) if i % 3 else []
+            around = [[rng.choice(["so", "clean", f"w{rng.randint(0, 80)}"]) for _ in range(rng.randint(0, 9))] for _ in range(2)]
+            texts.append(" ".join([*around[0], *own, *around[1]]))
+        texts += ["nothing here but clean words and more of them"] * 50
+        hashed = [decontaminate.words_of(" ".join(i)) for i in items]
+        vocabulary, pair_bits = bitmap(hashed), bitmap([decontaminate.pairs_of(i) for i in hashed])
+        sizes = np.array(sorted(lengths))
+        edits = decontaminate.allowed_edits(sizes)
+        starts = lambda known, pairs: [(size, s.tolist()) for found in decontaminate.window_starts(known, pairs, sizes, edits) for size, s in found]
+        want = {}
+        for i, t in enumerate(texts):
+            words = decontaminate.words_of(t)
+            known = decontaminate._holds(vocabulary, words)
+            if len(words) and (found := starts(known, decontaminate.known_pairs_of(pair_bits, words, known))):
+                want[i] = found
+        batch = pd.DataFrame({"doc_id": range(len(texts)), "text": pd.Series(texts, dtype=object)})
+        for at_once in (1, 300, 1 << 17):
+            monkeypatch.setattr(decontaminate, "CHARACTERS_AT_ONCE", at_once)
+            got = {i: starts(known, pairs) for i, _, known, pairs in decontaminate._looked_at(batch, vocabulary, pair_bits, sizes, edits)}
+            assert want == {i: x for i, x in got.items() if x} and len(want) > 50
+            assert max(got) < len(texts) - 50
+
+
 @pytest.mark.parametrize("size", [50, 100, 200])
 def test_decontamination_finds_long_items_at_the_edit_limit(spark, size):
     rng = random.Random(size)

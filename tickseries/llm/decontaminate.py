@@ -17,12 +17,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,27 +40,59 @@ WINDOWS_AT_ONCE = 1 << 14
 WORDS_AT_ONCE = 1 << 20
 KEYS_AT_ONCE = 1 << 18
 WINDOWS_HELD = 1 << 18
-WORDS_HELD = 500_000
+CHARACTERS_AT_ONCE = 1 << 17
 
 _WORD = re.compile(r"\w+")
+_GAP = re.compile(r"\W")
 _HIT = "doc_id long, start long, size long, window long, words array<long>, buckets array<long>"
 
 
-class Hashes(dict):
-    """Hashes over 0 of the words that a task has met; forgets them all when they are many."""
+@lru_cache(maxsize=1)
+def _characters() -> np.ndarray:
+    """A random number by code point for what words are made of, and 0 for all else."""
+    every = np.arange(sys.maxunicode + 1, dtype="<u4")
+    found = np.zeros(len(every), np.uint64)
+    for run in _WORD.finditer(every.tobytes().decode("utf-32-le", "surrogatepass")):
+        found[run.start() : run.end()] = _random(3, every[run.start() : run.end()]) | np.uint64(1)
+    return found
+
 
-    def __missing__(self, word: str) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word.encode()) >> 1 | 1
-        return found
+@lru_cache(maxsize=1)
+def _places(n: int) -> np.ndarray:
+    """A random number for each of the first n places in a word."""
+    return _random(23, np.arange(n)) | np.uint64(1)
 
 
-def words_of(text: str | None, hashes: Hashes | None = None) -> np.ndarray:
+def words_of_all(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of texts in lower case, without punctuation, as 64-bit hashes over 0, one text after another, and where each text begins,
+    with the end behind the last.
+
+    A hash mixes the sum of its characters' numbers times those of their places, so all words of many characters take a few array operations.
+    """
+    lowered = [(t or "").lower() for t in texts]
+    joined = "\n".join(lowered)
+    begins = np.cumsum([0, *(len(t) + 1 for t in lowered)])
+    hashes, starts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while at < len(joined):
+        gap = _GAP.search(joined, at + CHARACTERS_AT_ONCE)  # no word is cut
+        end = gap.start() if gap else len(joined)
+        numbers = _characters()[np.frombuffer(joined[at:end].encode("utf-32-le", "surrogatepass"), "<u4")]
+        inside = numbers != 0
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        if len(edges):
+            lengths = edges[1::2] - edges[::2]
+            first = np.cumsum(lengths) - lengths
+            place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+            sums = np.add.reduceat(numbers[inside] * _places(1 << int(lengths.max()).bit_length())[place], first)
+            hashes.append((splitmix(sums) >> np.uint64(1)).astype(np.int64) | 1)
+            starts.append(edges[::2] + at)
+        at = end
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), begins)
+
+
+def words_of(text: str | None) -> np.ndarray:
     """The words of a text in lower case, without punctuation, as 64-bit hashes."""
-    hashes = Hashes() if hashes is None else hashes
-    if len(hashes) > WORDS_HELD:
-        hashes.clear()
-    found = _WORD.findall((text or "").lower())
-    return np.fromiter(map(hashes.__getitem__, found), np.int64, len(found))
+    return words_of_all([text])[0]
 
 
 def allowed_edits(n_words, similarity: float = SIMILARITY):
@@ -305,6 +337,28 @@ def _reachable(unknown: np.ndarray, block: int, most: int, ahead: int) -> np.nda
     return until[np.minimum(start + ahead + 1, len(good))] > until[start]
 
 
+def promising(known: np.ndarray, known_pairs: np.ndarray, begins: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Which of many texts, one after another, may have windows within reach: all for which `window_starts` has any, and few others."""
+    before = np.concatenate(([0], np.cumsum(~known)))
+    n, unknown = np.diff(begins), np.diff(before[begins])
+    # A text shorter than an item: the words that it lacks take edits too.
+    left = np.append(np.maximum.accumulate((edits - sizes)[::-1])[::-1], np.iinfo(np.int64).min // 2)
+    found = unknown - n <= left[np.searchsorted(sizes, n, side="right")]
+    block = int(sizes[0])
+    if len(known) >= block:
+        until = np.concatenate(([0], np.cumsum(_near_blocks(known, known_pairs, sizes, edits))))
+        last = np.clip(begins[1:] - block + 1, 0, len(until) - 1)
+        found |= until[last] > until[np.minimum(begins[:-1], last)]
+    return np.flatnonzero(found & (n > 0))
+
+
+def _near_blocks(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """Which starts have blocks of the least size in reach that lack no more than their share of what edits can spoil."""
+    block, blocks, ahead = int(sizes[0]), sizes // sizes[0], int(sizes[-1] - sizes[0])
+    reach = _reachable(~known, block, int((edits // blocks).max()), ahead)
+    return reach & _reachable(~known_pairs, block - 1, int((2 * edits // blocks).max()), ahead)
+
+
 def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Sizes with the starts of their windows that may be within reach, so many at a time. A text shorter than an item is one window.
 
@@ -319,10 +373,7 @@ def window_starts(known: np.ndarray, known_pairs: np.ndarray, sizes: np.ndarray,
     sizes, edits = sizes[sizes <= n], edits[sizes <= n]
     if not len(sizes):
         return
-    block, blocks, ahead = int(sizes[0]), sizes // sizes[0], int(sizes[-1] - sizes[0])
-    reach = _reachable(~known, block, int((edits // blocks).max()), ahead)
-    reach &= _reachable(~known_pairs, block - 1, int((2 * edits // blocks).max()), ahead)
-    starts = np.flatnonzero(reach)
+    starts = np.flatnonzero(_near_blocks(known, known_pairs, sizes, edits))
     for low in range(0, len(starts), WINDOWS_AT_ONCE):
         start = starts[low : low + WINDOWS_AT_ONCE]
         end = start[None, :] + sizes[:, None]
@@ -419,15 +470,9 @@ def contaminated(
             frame = frame.astype({"words": object, "buckets": object})  # also without rows
             return frame[["doc_id", "start", "size", "window", "words", "buckets"]]
 
-        hashes = Hashes()
         waiting: dict[int, list[tuple]] = {}
         for batch in batches:
-            for key, t in batch.itertuples(index=False):
-                words = words_of(t, hashes)
-                if not len(words):
-                    continue
-                known = _holds(vocabulary, words)
-                known_pairs = known_pairs_of(pair_bits, words, known)
+            for key, words, known, known_pairs in _looked_at(batch, vocabulary, pair_bits, sizes, edits):
                 for found in window_starts(known, known_pairs, sizes, edits):
                     most = [edits_of[size] for size, _ in found]
                     for (size, _), starts in zip(found, narrowed(sized, words, found, most)):
@@ -480,6 +525,22 @@ def contaminated(
     return named.select("doc_id", "item_id", "best.start", "best.distance")
 
 
+def _looked_at(batch: pd.DataFrame, vocabulary: np.ndarray, pair_bits: np.ndarray, sizes: np.ndarray, edits: np.ndarray) -> Iterator[tuple]:
+    """Of the texts that may have windows within reach: doc_id, words, which words and which pairs of neighbours stand in items.
+
+    Texts are looked at many at a time; a pair of words of two texts may let a text through, but is no pair of either.
+    """
+    texts = batch["text"].tolist()
+    group = np.cumsum([len(t or "") for t in texts]) // CHARACTERS_AT_ONCE
+    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
+        words, begins = words_of_all([texts[i] for i in rows])
+        known = _holds(vocabulary, words)
+        known_pairs = known_pairs_of(pair_bits, words, known)
+        for i in promising(known, known_pairs, begins, sizes, edits):
+            first, end = begins[i], begins[i + 1]
+            yield batch["doc_id"].iat[rows[i]], words[first:end], known[first:end], known_pairs[first : end - 1]
+
+
 def _window_keys(windows: np.ndarray) -> np.ndarray:
     keys = _random(13, np.full(len(windows), windows.shape[1]))
     for column in windows.T:
