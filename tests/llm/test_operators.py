@@ -625,6 +625,42 @@ def test_words_are_put_together_from_their_pieces(monkeypatch):
     assert [x.tolist() for x in encoder.encode(words, ["unheard, foo"])] == [[*library.encode("unheard, foo", add_special_tokens=False).ids, 1]]
 
 
+def test_closing_marks_are_words_of_their_own():
+    """So that a word is learned once whatever closes it; words that take a closer look stay whole."""
+    encoder, library = idfiles.WordEncoder(public_tokenizers.path(WORD_FILE)), Tokenizer.from_file(public_tokenizers.path(WORD_FILE))
+    words = encoder.open()
+    assert words.cut("Foo, bar... \u00e9t\u00e9).\nfoo") == ["foo", ",", "bar", "...", "\u00e9t\u00e9", ").", "foo"]
+    assert words.cut("it', a.b 7. e\u0301. .x, ..") == ["it',", "a.b", "7.", "e\u0301.", ".x", ",", ".."]
+    rng = random.Random(12)
+    parts = ["foo", "Z", "\u00e9", "\u00df", "\u00c5", "\u0144", "\u0130", "\u03a3", ",", ".", "]", "<", "'", "'s", '"', "7", "\u00bd", "\u0338", "\u0301", " ", "\n", "\t", "\x1c", "\x85", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(4000)]
+    for text, ids in zip(texts, encoder.encode(words, texts)):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+
+
+def test_common_words_are_not_forgotten(monkeypatch):
+    """When a process holds too many words it keeps those met twice or more, and ids stay those of the library."""
+    encoder, library = idfiles.WordEncoder(public_tokenizers.path(WORD_FILE)), Tokenizer.from_file(public_tokenizers.path(WORD_FILE))
+    words = encoder.open()
+    words._forget()
+    merged, model = [], idfiles._Words._merged
+    monkeypatch.setattr(idfiles._Words, "_merged", lambda self, pieces: merged.extend(pieces) or model(self, pieces))
+    monkeypatch.setattr(idfiles, "WORDS_HELD", 60)
+    monkeypatch.setattr(idfiles, "CHARACTERS_AT_ONCE", 300)
+    rng = random.Random(5)
+    rare = lambda: "".join(rng.choices("abcdefgh", k=9))
+    texts = [None, "", *(f"often, usual {rare()}. don't-{rare()} {rare()} usual often \u00e9t\u00e9" for _ in range(400))]
+    for text, ids in zip(texts, encoder.encode(words, texts)):
+        assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 1], text
+        assert len(words.known) == len(words.lengths) == len(words.starts) == len(words.uses) < 200
+    assert merged.count("often") == merged.count("usual") == 1 and len(set(merged)) > 800
+    monkeypatch.setattr(idfiles, "WORDS_HELD", 2)
+    texts = [" ".join("often usual seldom never".split()[: 1 + i % 4]) for i in range(200)]
+    for text, ids in zip(texts, encoder.encode(words, texts)):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+    words._forget()
+
+
 def test_dictionary_of_a_corpus_of_nulls_and_copies(spark):
     """Null, empty and repeated texts take no place in the sample, and long texts are sampled over their whole length."""
     texts = [prose(i, 60) for i in range(1500)] + [None] * 3000 + [""] * 500 + [prose(0, 60)] * 3000

@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import islice
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ RUN_IDS, RUNS = 100, 5
 LEVEL = 3
 END_ID = 1
 DOCUMENTS_PER_FILE = 4_096
-TEXTS_AT_ONCE = 128
+CHARACTERS_AT_ONCE = 1 << 21
 WORDS_HELD = 400_000
 WORDS_AT_ONCE = 1_000
 ROWS_AT_ONCE = 1_024
@@ -51,7 +51,7 @@ class WordEncoder:
     Strings of the file's own added tokens in a text are those tokens, as in the library.
 
     The tokenizer drops white space and never merges across it, so a process encodes each distinct word once, and documents are put
-    together from the ids of their words. It cuts a word into letters, digits and marks and merges within such a piece only, so
+    together from the ids of their words. Marks that close a word are words of their own. It cuts a word into letters, digits and marks and merges within such a piece only, so
     words are put together from the ids of their pieces in turn. Pieces of printable ASCII, nearly all, go to the tokenizer's model, as its
     other steps leave them as they are; other pieces go to the tokenizer as long texts, in which the last token of each ends in the
     vocabulary's word end, so the ids can be told apart again. Words whose pieces take a closer look are encoded one by one.
@@ -66,21 +66,27 @@ class WordEncoder:
     def encode(self, words: _Words, texts) -> Iterator[np.ndarray]:
         """The ids of each text."""
         end = np.array([self.end_id], np.uint32)
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            for own in words.places([words.cut(t) for t in texts[at : at + TEXTS_AT_ONCE]]):
+        group = np.cumsum([len(t or "") for t in texts]) // CHARACTERS_AT_ONCE
+        for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
+            for own in words.places([words.cut(texts[i]) for i in rows]):
                 yield np.concatenate([words.pool[_spans(words.starts[own], words.lengths[own])], end])
 
 
 class _Places(dict):
-    """Places by word; a new word gets the next."""
+    """Places by word; a new word gets the next and is noted."""
+
+    def __init__(self, held=()):
+        super().__init__(held)
+        self.new: list[str] = []
 
     def __missing__(self, word: str) -> int:
         place = self[word] = len(self)
+        self.new.append(word)
         return place
 
 
 class _Words:
-    """The words that a process has met, and their pieces: their places in a pool of ids. Forgets them all when they are many."""
+    """The words that a process has met, and their pieces: their places in a pool of ids. When they are many, those met once are forgotten."""
 
     def __init__(self, encoder: WordEncoder):
         from tokenizers import Tokenizer
@@ -104,16 +110,31 @@ class _Words:
     def _forget(self) -> None:
         self.known = _Places()
         self.pool, self.lengths, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep what was met twice or more, the most met half of what may be held at most; later meetings count more."""
+        stay = np.flatnonzero(self.uses > 1)
+        if len(stay) > WORDS_HELD // 2:
+            stay = np.sort(stay[np.argsort(-self.uses[stay], kind="stable")[: WORDS_HELD // 2]])
+        kept = np.zeros(len(self.uses), bool)
+        kept[stay] = True
+        self.known = _Places(zip(list(compress(self.known, kept.tolist())), range(len(stay))))
+        self.pool = self.pool[_spans(self.starts[stay], self.lengths[stay])]
+        self.lengths, self.uses = self.lengths[stay], self.uses[stay] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def places(self, documents: list[list[str]]) -> list[np.ndarray]:
         """The places of each document's words, which hold until the next call."""
         if len(self.known) > WORDS_HELD:
-            self._forget()
+            self._forget_rare()
         known = self.known
         try:
             found = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in documents]
             if len(known) > len(self.lengths):
                 self._learn()
+            if found:
+                self.uses += np.bincount(np.concatenate(found), minlength=len(known))
         except BaseException:
             self._forget()  # places without ids must not outlive the call
             raise
@@ -121,34 +142,36 @@ class _Words:
 
     def _learn(self) -> None:
         """Add the ids of the words that have a place but none yet: first of those that are one piece, then of those put together."""
-        known, first = self.known, len(self.lengths)
-        words = list(islice(known, first, None))
+        known, first, words = self.known, len(self.lengths), self.known.new
         single, joined, n_parts, parts = [], [], [], []  # places; parts one after another
-        for place, word in enumerate(words, first):
-            letters = word.rstrip(_MARKS)
-            if letters.isalpha() and (letters.isascii() or letters.lower().isalpha()):
-                if len(letters) == len(word):
+        plain, others = ([], []), ([], [])  # places and pieces
+        ascii_goes = self.literal_ascii
+        for place, word in enumerate(words, first):  # parts that are new join the list at its end
+            if word.isascii():
+                if word.isalpha() or (own := _pieces(word)) and len(own) == 1:
+                    to = plain if ascii_goes and word.isprintable() else others
+                    to[0].append(place)
+                    to[1].append(word)
                     continue
-                own = letters, word[len(letters) :]
-            elif not (own := _pieces(word)):
-                single.append(place)
-                continue
-            elif len(own) == 1:
+            elif word.isalpha() and word.lower().isalpha():
+                others[0].append(place)
+                others[1].append(word)
                 continue
-            joined.append(place)
-            n_parts.append(len(own))
-            parts.extend([known[p] for p in own])
-        words.extend(islice(known, first + len(words), None))
+            else:
+                own = _pieces(word)
+            if own:
+                joined.append(place)
+                n_parts.append(len(own))
+                parts.extend([known[p] for p in own])
+            else:
+                single.append((place, word))
+        known.new = []
         self.lengths = np.append(self.lengths, np.zeros(len(words), np.int64))
         self.starts = np.append(self.starts, np.zeros(len(words), np.int64))
-        whole = np.setdiff1d(np.arange(first, len(known)), joined + single, assume_unique=True).tolist()
-        plain, others = [], []
-        for place in whole:
-            word = words[place - first]
-            (plain if self.literal_ascii and word.isascii() and word.isprintable() else others).append(place)
-        self._add(plain, *self._merged([words[i - first] for i in plain]))
-        self._add(others, *self._encoded([words[i - first] for i in others]))
-        self._add(single, *_flat([self._single(words[i - first]) for i in single]))
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
+        self._add(plain[0], *self._merged(plain[1]))
+        self._add(others[0], *self._encoded(others[1]))
+        self._add([place for place, _ in single], *_flat([self._single(word) for _, word in single]))
         if joined:
             n, parts = np.array(n_parts, np.int64), np.array(parts, np.int64)
             ids = self.pool[_spans(self.starts[parts], self.lengths[parts])]
@@ -231,17 +254,20 @@ def _pieces(word: str) -> list[str]:
 
 _RUNS = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
+_CLOSING = re.compile(r"[{0}](?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff].)[{0}]*(?=[ \n]|\Z)".format(re.escape(_MARKS)))
 # Letters whose lower case Python and the tokenizer see differently, and marks that join lower-case letters only.
 _CASED = re.compile("[\u0130\u03a3\u0300-\u036f]")
 _TO_SPACE = {ord(c): " " for c in _SEPARATE}
 
 
 def _words(text: str | None) -> list[str]:
-    """Split at white space, which the tokenizer drops; it does not count \x1c to \x1f, as str.split() does."""
+    """Split at white space, which the tokenizer drops; it does not count \x1c to \x1f, as str.split() does. It also cuts between a letter
+    and a mark, so marks behind a word's last letter are split off."""
     if not text:
         return []
-    if not _CASED.search(text):
+    if text.isascii() or not _CASED.search(text):
         text = text.lower()  # as the tokenizer does, so that fewer words differ
+    text = _CLOSING.sub(r" \g<0>", text)
     return text.translate(_TO_SPACE).split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
@@ -260,7 +286,7 @@ def train_dictionary(docs: DataFrame, encoder: WordEncoder, text: str = "text")
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = encoder.open()
         for batch in batches:
-            yield pd.DataFrame({"ids": [_runs(x).astype("<u4").tobytes() for x in encoder.encode(words, batch["text"])]})
+            yield pd.DataFrame({"ids": [_runs(x).astype("<u4").tobytes() for x in encoder.encode(words, batch["text"].tolist())]})
 
     samples = sorted(bytes(r[0]) for r in picked.select("text").mapInPandas(sample, "ids binary").collect())
     try:
