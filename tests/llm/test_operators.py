@@ -263,6 +263,19 @@ def test_common_words_are_counted_over_all_documents(spark):
     assert bpe.common_words(nothing, bpe_vocabulary()) == {}
 
 
+def test_common_words_stay_out_of_the_driver(spark, docs, tmp_path, monkeypatch):
+    """Neither the words nor their ids are collected; tasks read them from the files of a folder."""
+    fetched, whole = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: fetched.append(df.columns) or whole(df))
+    found = bpe.encode_documents(docs, bpe_vocabulary(), contents=False)
+    assert not [c for c in fetched if {"word", "words", "ids"} & set(c)]
+    assert found.agg(F.sum("n_tokens")).first()[0] > 0
+    ids = {f"{w}{i}": list(range(i % 4)) for i, w in enumerate(["a", " é", "\n", "你", "𝒳"] * 20)}
+    spark.createDataFrame([*ids.items()], "word string, ids array<int>").repartition(5).write.parquet(folder := f"{tmp_path}/words")
+    packed = bpe.Packed.read(folder)
+    assert len(packed.words) == len(ids) and dict(packed.items()) == ids
+
+
 def test_folds_and_merges_agree(spark):
     vocabulary = bpe_vocabulary()
     ranks = vocabulary.ranks()

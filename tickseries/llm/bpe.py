@@ -7,7 +7,8 @@ for each piece. Bytes are written as Latin-1 characters, one each, so that piece
 
 A fold takes 64 microseconds a word, and a fifth of a corpus' words are nearly all different. So the folds encode the most frequent
 words of all documents, a bounded number, once; documents look those up, and what they have beside them is merged where it
-occurs by the same rule. The README has the figures. Only counts of words are shuffled, no documents and no ids.
+occurs by the same rule. The README has the figures. Only counts of words are shuffled, no documents and no ids. The common
+words and their ids lie in the shared folder, where each task reads them; the driver holds none.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickseries.llm.common import clear_names, materialize, most_frequent
+from tickseries.llm.common import clear_names, file_system, materialize, most_frequent, work_dir
 
 COMMON_WORDS = 1 << 18
 FOLD_TASKS = 32
@@ -242,11 +245,11 @@ class Vocabulary:
         return read_ranks(self.path)
 
 
-def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", most: int = COMMON_WORDS) -> dict[str, list[int]]:
-    """The most frequent words of all documents, with their ids from the folds: at most `most`, which the driver holds.
+def fold_common(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", most: int = COMMON_WORDS) -> str:
+    """The folder of a table (word, ids) with the most frequent words of all documents and their ids from the folds: at most `most`.
 
     Words of three or more occurrences are counted over the whole texts of all documents. Which words they are decides where a
-    word is encoded and not how.
+    word is encoded and not how. Tasks write the table and tasks read it (`Packed.read`); none of it reaches the driver.
     """
     plain = Cutter.patterns(vocabulary.pattern)
 
@@ -265,11 +268,16 @@ def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", mo
     counted = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
     top = most_frequent(materialize(counted, "shared-words"), "n", most)
     latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
-    groups = top.select("word", latin.alias("latin")).groupBy(F.pmod(F.xxhash64("word"), F.lit(FOLD_TASKS)))
-    folded = groups.agg(F.collect_list("word").alias("words"), F.collect_list("latin").alias("latin")).select(
-        "words", fold_merges(F.col("latin"), rank_table(vocabulary.ranks())).alias("ids")
-    )
-    return {w: list(ids) for row in folded.collect() for w, ids in zip(row["words"], row["ids"])}
+    ids = F.get(fold_merges(F.array(latin), rank_table(vocabulary.ranks())), F.lit(0))
+    folder = work_dir(docs.sparkSession, "common-words")
+    # No shuffle in the plan that has the rank table: adaptive execution would print the table anew for each of its steps.
+    top.coalesce(FOLD_TASKS).select("word", ids.alias("ids")).write.parquet(folder)
+    return folder
+
+
+def common_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", most: int = COMMON_WORDS) -> dict[str, list[int]]:
+    """The words of `fold_common` with their ids, for a caller that holds them all."""
+    return dict(Packed.read(fold_common(docs, vocabulary, text, most)).items())
 
 
 class Packed:
@@ -280,6 +288,22 @@ class Packed:
         self.ids = np.array([i for own in ids.values() for i in own], np.int32)
         self.ends = np.cumsum([len(own) for own in ids.values()], dtype=np.int64)
 
+    @classmethod
+    def read(cls, folder: str) -> Packed:
+        """The words of a table (word, ids) in the shared folder, file by file."""
+        fs, path = file_system(folder)
+        packed = cls({})
+        ids, sizes = [packed.ids], [packed.ends]
+        for file in sorted(x.path for x in fs.get_file_info(pafs.FileSelector(path)) if x.base_name.endswith(".parquet")):
+            with fs.open_input_file(file) as source:
+                rows = pq.read_table(source, columns=["word", "ids"], use_threads=False)
+            for batch in rows.to_batches():
+                packed.words += batch["word"].to_pylist()
+                ids.append(batch["ids"].flatten().to_numpy())
+                sizes.append(batch["ids"].value_lengths().to_numpy())
+        packed.ids, packed.ends = np.concatenate(ids), np.cumsum(np.concatenate(sizes), dtype=np.int64)
+        return packed
+
     def items(self) -> Iterator[tuple[str, list[int]]]:
         at = 0
         for word, end in zip(self.words, self.ends.tolist()):
@@ -331,10 +355,10 @@ def encode_documents(
     """
     added = ADDED if contents and decoded else ADDED.partition(", decoded binary")[0] if contents else ADDED.partition(", ids array")[0]
     docs = clear_names(docs, [x.split()[0] for x in added.split(", ")])
-    plain, common = Cutter.patterns(vocabulary.pattern), Packed(common_words(docs, vocabulary, text))
+    plain, common = Cutter.patterns(vocabulary.pattern), fold_common(docs, vocabulary, text)
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary, plain, common)
+        encoder = Encoder(vocabulary, plain, Packed.read(common))
         for batch in batches:
             for at in range(0, len(batch), ROWS_OUT):
                 yield some(encoder, batch.iloc[at : at + ROWS_OUT])
